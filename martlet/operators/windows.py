@@ -5,9 +5,9 @@
   holding a third of all rows is cut to one row per map task before it moves.
 * ``lead_within_key`` -- ``LEAD(v) OVER (PARTITION BY k ORDER BY o)``. A plain
   window sends every row of a key to one task; here the rows are first
-  range-partitioned on (k, o), so a hot key is spread over several ordered
-  chunks, the lead is taken inside each chunk, and the last row of a chunk
-  takes the first value of the key's next chunk.
+  range-partitioned on (k, o) and checkpointed, so a hot key is spread over
+  several ordered chunks, the lead is taken inside each chunk, and the last
+  row of a chunk takes the first value of the key's next chunk.
 * ``global_row_number`` -- ``ROW_NUMBER() OVER (ORDER BY o)`` without funnelling
   all rows into one partition: range-partition and sort, checkpoint (so both
   passes see the same partitions), count rows per partition, turn the counts
@@ -53,9 +53,15 @@ def lead_within_key(
 
     ``order`` must be a total order inside a key (end it with a unique column).
     """
+    ensure_checkpoint_dir(df.sparkSession)
     n = _num_partitions(df, num_partitions)
-    ranged = df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys], *order).withColumn(
-        "_chunk", F.spark_partition_id()
+    # Range bounds come from sampling and are not guaranteed to repeat between
+    # two executions, so the chunk-tagged rows are checkpointed once and both
+    # uses below (rows and chunk summaries) read the same assignment.
+    ranged = (
+        df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys], *order)
+        .withColumn("_chunk", F.spark_partition_id())
+        .checkpoint(eager=True)
     )
     w_chunk = W.partitionBy(*keys, "_chunk").orderBy(*order)
     local = (

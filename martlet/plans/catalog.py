@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.plans import explore
+from martlet.plans import cleaning, explore
 from martlet.plans.warehouse import Warehouse
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -32,4 +32,67 @@ def register(name: str):
 def _sales_by_category(wh: Warehouse) -> DataFrame:
     return explore.sales_by_category(wh.fact(customers=False), wh.dim_products)
 
+
+
+# ---- layers and cleaning operators -----------------------------------------
+
+
+def _layer(name: str, getter: Callable[[Warehouse], DataFrame]) -> None:
+    register(name)(getter)
+
+
+for _t in ("crm_cust_info", "crm_prd_info", "crm_sales_details", "erm_customers",
+           "erm_customer_location", "erm_product_category"):
+    _layer(f"silver_{_t}", lambda wh, _t=_t: wh.silver[_t])
+
+_layer("dim_customers", lambda wh: wh.dim_customers)
+_layer("dim_products", lambda wh: wh.dim_products)
+_layer("fact_sales", lambda wh: wh.fact())
+
+
+@register("dedup_latest")
+def _dedup_latest(wh: Warehouse) -> DataFrame:
+    return cleaning.latest_order_per_customer(wh.table("orders"))
+
+
+@register("version_end_dates")
+def _version_end_dates(wh: Warehouse) -> DataFrame:
+    return cleaning.event_validity(wh.table("events"))
+
+
+@register("dense_surrogate_key")
+def _dense_surrogate_key(wh: Warehouse) -> DataFrame:
+    return cleaning.numbered_orders(wh.table("orders"))
+
+
+@register("decode_dates")
+def _decode_dates(wh: Warehouse) -> DataFrame:
+    return cleaning.decoded_dates(wh.bronze["crm_sales_details"])
+
+
+@register("repair_sales")
+def _repair_sales(wh: Warehouse) -> DataFrame:
+    return cleaning.repaired_money(wh.bronze["crm_sales_details"])
+
+
+@register("code_maps")
+def _code_maps(wh: Warehouse) -> DataFrame:
+    return cleaning.code_maps(wh.bronze["crm_cust_info"], wh.bronze["erm_customers"])
+
+
+@register("key_normalise")
+def _key_normalise(wh: Warehouse) -> DataFrame:
+    return cleaning.key_normalise(wh.bronze["erm_customers"], wh.bronze["erm_customer_location"])
+
+
+@register("country_standardise")
+def _country_standardise(wh: Warehouse) -> DataFrame:
+    return wh.silver["erm_customer_location"]
+
+
+@register("gender_merge")
+def _gender_merge(wh: Warehouse) -> DataFrame:
+    return cleaning.gender_merge(wh.silver["crm_cust_info"], wh.silver["erm_customers"])
+
+
 FLAGSHIP = "sales_by_category"
