@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.plans import cleaning, explore
+from martlet.plans import advanced, cleaning, explore
 from martlet.plans.warehouse import Warehouse
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -95,4 +95,75 @@ def _gender_merge(wh: Warehouse) -> DataFrame:
     return cleaning.gender_merge(wh.silver["crm_cust_info"], wh.silver["erm_customers"])
 
 
-FLAGSHIP = "sales_by_category"
+
+# ---- more exploratory queries -----------------------------------------------
+
+# Thresholds scaled to the testdata's money amounts (every customer and product
+# there sells far more than the source system's cut-offs); the functions'
+# defaults keep the source values.
+PRODUCT_SEGMENTS = {"high": 2_000_000, "mid": 1_400_000}
+CUSTOMER_SEGMENTS = {"high": 3_000_000, "mid": 1_500_000}
+COST_BANDS = {"high": 970, "low": 930}
+CUSTOMER_TYPE = {"min_months": 12, "min_spend": 2_000_000}
+
+
+def _dated_only(wh: Warehouse) -> DataFrame:
+    return wh.fact(products=False, customers=False)
+
+
+register("order_date_range")(lambda wh: explore.order_date_range(_dated_only(wh)))
+register("total_sales")(lambda wh: explore.total_sales(_dated_only(wh)))
+register("total_quantity")(lambda wh: explore.total_quantity(_dated_only(wh)))
+register("avg_unit_price")(lambda wh: explore.avg_unit_price(_dated_only(wh)))
+register("distinct_orders")(lambda wh: explore.distinct_orders(_dated_only(wh)))
+register("distinct_customers")(lambda wh: explore.distinct_customers(wh.fact(products=False)))
+register("total_order_number")(
+    lambda wh: explore.distinct_customers(wh.fact(products=False), name="total_order_number")
+)
+register("distinct_products")(lambda wh: explore.distinct_products(wh.fact(customers=False)))
+register("kpi_summary")(lambda wh: explore.kpi_summary(wh.fact()))
+register("customers_by_country")(lambda wh: explore.customers_by_country(wh.customer_attributes))
+register("customers_by_gender")(lambda wh: explore.customers_by_gender(wh.customer_attributes))
+register("products_by_category")(lambda wh: explore.products_by_category(wh.active_products, key="_prd_id"))
+register("avg_cost_by_category")(lambda wh: explore.avg_cost_by_category(wh.active_products))
+register("revenue_per_customer")(
+    lambda wh: explore.revenue_per_customer(wh.fact(products=False), wh.customer_attributes)
+)
+register("quantity_by_country")(
+    lambda wh: explore.quantity_by_country(wh.fact(products=False), wh.customer_attributes)
+)
+register("top5_products")(lambda wh: explore.top_products(wh.fact(customers=False), wh.dim_products, 5))
+register("bottom5_products")(lambda wh: explore.bottom_products(wh.fact(customers=False), wh.dim_products, 5))
+
+
+# ---- advanced analysis and reports ------------------------------------------
+
+register("monthly_trend")(lambda wh: advanced.monthly_trend(wh.fact(products=False)))
+register("cumulative_sales")(lambda wh: advanced.cumulative_sales(_dated_only(wh)))
+register("product_yoy")(lambda wh: advanced.product_yoy(wh.fact(customers=False), wh.dim_products))
+register("cost_band")(lambda wh: advanced.cost_band(wh.active_products, **COST_BANDS))
+register("customer_type")(
+    lambda wh: advanced.customer_type(wh.fact(products=False), wh.dim_customers, **CUSTOMER_TYPE)
+)
+register("customer_type_fixed")(
+    lambda wh: advanced.customer_type(
+        wh.fact(products=False), wh.dim_customers, months_mode="total_months", **CUSTOMER_TYPE
+    )
+)
+register("customer_type_counts")(
+    lambda wh: advanced.customer_type_counts(wh.fact(products=False), wh.dim_customers, **CUSTOMER_TYPE)
+)
+register("customer_type_counts_fixed")(
+    lambda wh: advanced.customer_type_counts(
+        wh.fact(products=False), wh.dim_customers, months_mode="total_months", **CUSTOMER_TYPE
+    )
+)
+register("product_report")(
+    lambda wh: advanced.product_report(wh.fact(), wh.dim_products, wh.as_of, **PRODUCT_SEGMENTS)
+)
+register("customer_report")(
+    lambda wh: advanced.customer_report(wh.fact(), wh.dim_customers, wh.as_of, **CUSTOMER_SEGMENTS)
+)
+
+
+FLAGSHIP = "customer_report"

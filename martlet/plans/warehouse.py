@@ -52,6 +52,12 @@ class Warehouse:
         s = self.silver
         return gold.customer_attributes(s["crm_cust_info"], s["erm_customers"], s["erm_customer_location"])
 
+    @cached_property
+    def active_products(self) -> DataFrame:
+        """Product dimension without the surrogate key (no numbering job);
+        ``_prd_id`` identifies a row one-to-one like ``product_key`` does."""
+        return gold.active_products(self.silver["crm_prd_info"], self.silver["erm_product_category"])
+
     @cached_property
     def dim_products(self) -> DataFrame:
         return gold.dim_products(self.silver["crm_prd_info"], self.silver["erm_product_category"])
