@@ -88,8 +88,10 @@ def global_row_number(
     order: list[Column],
     out: str,
     num_partitions: int | None = None,
+    total: str | None = None,
 ) -> DataFrame:
-    """Add ``out`` = ``ROW_NUMBER() OVER (ORDER BY order)`` as BIGINT 1..n.
+    """Add ``out`` = ``ROW_NUMBER() OVER (ORDER BY order)`` as BIGINT 1..n
+    (and, if ``total`` is given, the row count n as that column).
 
     ``order`` must be unique for the numbering to be deterministic. The sorted
     frame is checkpointed to the session's reliable checkpoint folder so the
@@ -115,11 +117,14 @@ def global_row_number(
         F.coalesce(
             F.sum("_cnt").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
         ).alias("_offset"),
+        F.sum("_cnt").over(W.partitionBy()).alias("_total"),
     )
     numbered = local.join(F.broadcast(offsets), "_part").withColumn(
         out, (F.col("_offset") + F.col("_pos") + 1).cast("long")
     )
-    return numbered.drop("_part", "_mid", "_pos", "_offset")
+    if total:
+        numbered = numbered.withColumn(total, F.col("_total").cast("long"))
+    return numbered.drop("_part", "_mid", "_pos", "_offset", "_total")
 
 
 def ntile_from_row_number(rn: Column, total: Column, buckets: int) -> Column:

@@ -10,7 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.plans import advanced, cleaning, explore
+import datetime as dt
+
+from martlet.operators import gold
+from martlet.plans import advanced, cleaning, explore, incremental, insight, quality, rfm
+from martlet.streaming import daily_counts
 from martlet.plans.warehouse import Warehouse
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -166,4 +170,57 @@ register("customer_report")(
 )
 
 
+
+# ---- analyses reported without code ---------------------------------------
+
+register("quarterly_trend")(lambda wh: insight.quarterly_trend(_dated_only(wh)))
+register("line_revenue")(lambda wh: insight.line_revenue(wh.fact(customers=False), wh.dim_products))
+register("country_share")(lambda wh: insight.country_share(wh.fact(products=False), wh.customer_attributes))
+register("seasonality")(lambda wh: insight.seasonality(_dated_only(wh)))
+register("age_gender")(lambda wh: insight.age_gender(wh.fact(products=False), wh.customer_attributes, wh.as_of))
+register("top10_aov")(lambda wh: insight.top_products_aov(wh.fact(customers=False), wh.dim_products, 10))
+register("gross_margin")(lambda wh: insight.gross_margin(wh.fact(customers=False), wh.dim_products))
+register("yoy_growth")(lambda wh: insight.yoy_growth(_dated_only(wh)))
+register("revenue_per_customer_country")(
+    lambda wh: insight.revenue_per_customer_country(wh.fact(products=False), wh.customer_attributes)
+)
+
+
+@register("discontinued_share")
+def _discontinued_share(wh: Warehouse) -> DataFrame:
+    dim = wh.dim_products_with_source_end
+    return insight.discontinued_share(gold.fact_sales(wh.silver["crm_sales_details"], dim), dim)
+
+
+register("version_flags")(lambda wh: insight.version_flags(wh.silver_products_with_source_end))
+register("whitespace_strip")(lambda wh: insight.strip_text_columns(wh.bronze["crm_cust_info"]))
+register("headline_kpis")(lambda wh: insight.headline_kpis(wh.fact()))
+
+
+def _audit(wh: Warehouse) -> DataFrame:
+    return quality.cleaning_audit(wh.bronze, wh.silver, wh.fact(), wh.customer_attributes, wh.as_of)
+
+
+register("cleaning_audit")(_audit)
+register("dq_checks")(lambda wh: quality.dq_checks(_audit(wh)))
+
+
+# ---- next steps: incremental, CDC, streaming, RFM ---------------------------
+
+INITIAL_LOAD_BEFORE = dt.date(2000, 1, 1)
+
+register("rfm")(lambda wh: rfm.rfm_scores(wh.fact(products=False), wh.as_of))
+register("incremental_load")(
+    lambda wh: incremental.incremental_load(
+        wh.spark, wh.silver["crm_sales_details"], "sls_order_dt", INITIAL_LOAD_BEFORE
+    )
+)
+register("cdc_merge")(
+    lambda wh: incremental.cdc_merge(
+        wh.silver["crm_cust_info"], incremental.customer_change_feed(wh.table("orders"))
+    )
+)
+register("stream_daily_counts")(lambda wh: daily_counts.run_daily_counts(wh.spark, wh.sf_dir))
+
+
 FLAGSHIP = "customer_report"
