@@ -119,12 +119,17 @@ def clean_product_category(bronze: DataFrame) -> DataFrame:
     return conform(bronze, SILVER["erm_product_category"])
 
 
-def silver_tables(bronze: dict[str, DataFrame], as_of: dt.date, keep_source_end: bool = False) -> dict[str, DataFrame]:
-    return {
-        "crm_cust_info": clean_cust_info(bronze["crm_cust_info"]),
-        "crm_prd_info": clean_prd_info(bronze["crm_prd_info"], keep_source_end=keep_source_end),
-        "crm_sales_details": clean_sales_details(bronze["crm_sales_details"]),
-        "erm_customers": clean_erp_customers(bronze["erm_customers"], as_of),
-        "erm_customer_location": clean_customer_location(bronze["erm_customer_location"]),
-        "erm_product_category": clean_product_category(bronze["erm_product_category"]),
-    }
+def silver_tables(bronze, as_of: dt.date, keep_source_end: bool = False):
+    """The six silver tables, each built lazily from its bronze table."""
+    from martlet.sources.testdata import LazyTables
+
+    return LazyTables(
+        {
+            "crm_cust_info": lambda: clean_cust_info(bronze["crm_cust_info"]),
+            "crm_prd_info": lambda: clean_prd_info(bronze["crm_prd_info"], keep_source_end=keep_source_end),
+            "crm_sales_details": lambda: clean_sales_details(bronze["crm_sales_details"]),
+            "erm_customers": lambda: clean_erp_customers(bronze["erm_customers"], as_of),
+            "erm_customer_location": lambda: clean_customer_location(bronze["erm_customer_location"]),
+            "erm_product_category": lambda: clean_product_category(bronze["erm_product_category"]),
+        }
+    )

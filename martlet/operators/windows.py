@@ -5,12 +5,12 @@
   holding a third of all rows is cut to one row per map task before it moves.
 * ``lead_within_key`` -- ``LEAD(v) OVER (PARTITION BY k ORDER BY o)``. A plain
   window sends every row of a key to one task; here the rows are first
-  range-partitioned on (k, o) and checkpointed, so a hot key is spread over
+  range-partitioned on (k, o) and staged once, so a hot key is spread over
   several ordered chunks, the lead is taken inside each chunk, and the last
   row of a chunk takes the first value of the key's next chunk.
 * ``global_row_number`` -- ``ROW_NUMBER() OVER (ORDER BY o)`` without funnelling
-  all rows into one partition: range-partition and sort, checkpoint (so both
-  passes see the same partitions), count rows per partition, turn the counts
+  all rows into one partition: range-partition and sort, stage the result (so
+  both passes see the same partitions), count rows per partition, turn the counts
   into offsets over a table with one row per partition, add local positions.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from martlet.session import ensure_checkpoint_dir
+from martlet.session import ensure_checkpoint_dir, stage_table
 
 
 def _num_partitions(df: DataFrame, n: int | None) -> int:
@@ -56,12 +56,13 @@ def lead_within_key(
     ensure_checkpoint_dir(df.sparkSession)
     n = _num_partitions(df, num_partitions)
     # Range bounds come from sampling and are not guaranteed to repeat between
-    # two executions, so the chunk-tagged rows are checkpointed once and both
-    # uses below (rows and chunk summaries) read the same assignment.
-    ranged = (
-        df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys], *order)
-        .withColumn("_chunk", F.spark_partition_id())
-        .checkpoint(eager=True)
+    # two executions, so the chunk-tagged rows are written once (a staged table
+    # in the shared checkpoint folder) and both uses below read that table.
+    ranged = stage_table(
+        df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys], *order).withColumn(
+            "_chunk", F.spark_partition_id()
+        ),
+        "lead-chunks",
     )
     w_chunk = W.partitionBy(*keys, "_chunk").orderBy(*order)
     local = (
@@ -94,9 +95,10 @@ def global_row_number(
     (and, if ``total`` is given, the row count n as that column).
 
     ``order`` must be unique for the numbering to be deterministic. The sorted
-    frame is checkpointed to the session's reliable checkpoint folder so the
-    counting pass and the numbering pass read identical partitions, even if
-    executors are lost in between.
+    frame, tagged with partition index and position, is written once to the
+    shared checkpoint folder, so the counting pass and the numbering pass read
+    identical data even if executors are lost in between; the numbered result
+    is staged as well, which gives joins against it real size statistics.
     """
     ensure_checkpoint_dir(df.sparkSession)
     n = _num_partitions(df, num_partitions)
@@ -106,7 +108,7 @@ def global_row_number(
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
     )
-    ranged = ranged.checkpoint(eager=True)
+    ranged = stage_table(ranged, "row-number")
     # monotonically_increasing_id = (partition index << 33) + position in partition
     local = ranged.withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_part").cast("long"), 33))
     counts = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_cnt"))
@@ -124,7 +126,7 @@ def global_row_number(
     )
     if total:
         numbered = numbered.withColumn(total, F.col("_total").cast("long"))
-    return numbered.drop("_part", "_mid", "_pos", "_offset", "_total")
+    return stage_table(numbered.drop("_part", "_mid", "_pos", "_offset", "_total"), "numbered")
 
 
 def ntile_from_row_number(rn: Column, total: Column, buckets: int) -> Column:

@@ -71,3 +71,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="martlet-ckpt-", dir=os.environ.get("TMPDIR"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def stage_table(df, label: str):
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read
+    it back: cuts the lineage (a lost executor never forces a recompute of the
+    stage) and gives the planner the real file size, so a small result is
+    broadcast by ``autoBroadcastJoinThreshold`` and a large one is not."""
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/martlet-{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

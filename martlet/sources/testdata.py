@@ -154,7 +154,9 @@ def bronze_erm_product_category(part: DataFrame) -> DataFrame:
 
 
 def _yyyymmdd(c: Column) -> Column:
-    return F.date_format(c, "yyyyMMdd")
+    """Date as ``yyyyMMdd`` text, built arithmetically (cheaper than a formatter)."""
+    code = F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)
+    return F.lpad(code.cast("string"), 8, "0")
 
 
 def bronze_crm_sales_details(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
@@ -204,18 +206,35 @@ def _conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def bronze_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All six bronze tables as lazy DataFrames over the given testdata folder."""
-    customer = read_table(spark, sf_dir, "customer")
-    nation = read_table(spark, sf_dir, "nation")
-    part = read_table(spark, sf_dir, "part")
-    return {
-        "crm_cust_info": bronze_crm_cust_info(customer),
-        "crm_prd_info": bronze_crm_prd_info(part),
-        "crm_sales_details": bronze_crm_sales_details(
-            read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "orders"), part
-        ),
-        "erm_customers": bronze_erm_customers(customer),
-        "erm_customer_location": bronze_erm_customer_location(customer, nation),
-        "erm_product_category": bronze_erm_product_category(part),
-    }
+class LazyTables(dict):
+    """Mapping of table name -> DataFrame that builds each table on first use."""
+
+    def __init__(self, builders):
+        super().__init__()
+        self._builders = dict(builders)
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = self._builders[name]()
+        self[name] = df
+        return df
+
+    def names(self) -> list[str]:
+        return list(self._builders)
+
+
+def bronze_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
+    """All six bronze tables over the given testdata folder, each built lazily."""
+
+    def t(name: str) -> DataFrame:
+        return read_table(spark, sf_dir, name)
+
+    return LazyTables(
+        {
+            "crm_cust_info": lambda: bronze_crm_cust_info(t("customer")),
+            "crm_prd_info": lambda: bronze_crm_prd_info(t("part")),
+            "crm_sales_details": lambda: bronze_crm_sales_details(t("lineitem"), t("orders"), t("part")),
+            "erm_customers": lambda: bronze_erm_customers(t("customer")),
+            "erm_customer_location": lambda: bronze_erm_customer_location(t("customer"), t("nation")),
+            "erm_product_category": lambda: bronze_erm_product_category(t("part")),
+        }
+    )
