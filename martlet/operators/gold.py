@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions import codes
-from martlet.operators.windows import global_row_number
+from martlet.operators.windows import global_row_number, latest_per_key
 
 DIM_CUSTOMER_COLUMNS = [
     "customer_id",
@@ -90,6 +90,11 @@ def dim_customers(cust: DataFrame, erp: DataFrame, loc: DataFrame) -> DataFrame:
 def active_products(prd: DataFrame, cat: DataFrame) -> DataFrame:
     """Current product versions (no end date) left-joined to their category."""
     pi = prd.where(F.col("prd_end_dt").isNull()).alias("pi")
+    return _with_category(pi, cat, "src_prd_end_dt" in prd.columns)
+
+
+def _with_category(pi: DataFrame, cat: DataFrame, has_source_end: bool) -> DataFrame:
+    pi = pi.alias("pi")
     pc = cat.alias("pc")
     joined = pi.join(pc, F.col("pi.cat_id") == F.col("pc.id"), "left")
     cols = [
@@ -105,15 +110,38 @@ def active_products(prd: DataFrame, cat: DataFrame) -> DataFrame:
         F.col("pi.prd_start_dt").alias("start_date"),
         F.col("pi.prd_end_dt").alias("end_date"),
     ]
-    if "src_prd_end_dt" in prd.columns:
+    if has_source_end:
         cols.append(F.col("pi.src_prd_end_dt").alias("src_end_date"))
     return joined.select(*cols)
 
 
-def dim_products(prd: DataFrame, cat: DataFrame) -> DataFrame:
+def current_versions(silver_prd_without_end: DataFrame, cat: DataFrame) -> DataFrame:
+    """The rows whose rebuilt end date is NULL, without computing the end dates.
+
+    ``LEAD(start) OVER (PARTITION BY raw key ORDER BY start NULLS LAST, id)``
+    is NULL exactly for the last version with a start date and for versions
+    without one, so the current versions are the keep-latest row among dated
+    versions plus all undated ones: one keep-latest shuffle (skew-safe through
+    its partial window-group limit) instead of the full version history.
+    ``silver_prd_without_end`` is the silver product table before the end-date
+    step, still carrying the raw key as ``_raw_key``.
+    """
+    dated = latest_per_key(
+        silver_prd_without_end.where(F.col("prd_start_dt").isNotNull()),
+        "_raw_key",
+        [F.desc("prd_start_dt"), F.desc("prd_id")],
+    )
+    undated = silver_prd_without_end.where(F.col("prd_start_dt").isNull())
+    current = dated.unionByName(undated).withColumn("prd_end_dt", F.lit(None).cast("date")).drop("_raw_key")
+    return _with_category(current, cat, "src_prd_end_dt" in current.columns)
+
+
+def dim_products(prd: DataFrame, cat: DataFrame, active: DataFrame | None = None) -> DataFrame:
     """``product_key`` = dense surrogate 1..n in ``prd_id`` order; ``product_id``
-    = natural key. Only active versions."""
-    active = active_products(prd, cat)
+    = natural key. Only active versions (pass ``active`` if already selected,
+    e.g. by ``current_versions``)."""
+    if active is None:
+        active = active_products(prd, cat)
     numbered = global_row_number(active, [F.asc("_prd_id")], "product_key")
     extra = ["src_end_date"] if "src_end_date" in active.columns else []
     return numbered.select(*DIM_PRODUCT_COLUMNS, *extra)

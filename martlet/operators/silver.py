@@ -79,6 +79,24 @@ def clean_prd_info(bronze: DataFrame, keep_source_end: bool = False) -> DataFram
     return conform(out, T.StructType(fields))
 
 
+def clean_prd_info_without_end(bronze: DataFrame, keep_source_end: bool = False) -> DataFrame:
+    """Silver product columns except the rebuilt end date, plus the raw key as
+    ``_raw_key`` (what the end date is partitioned by)."""
+    cols = [
+        "prd_id",
+        codes.category_id("prd_key").alias("cat_id"),
+        codes.product_key("prd_key").alias("prd_key"),
+        "prd_nm",
+        F.coalesce("prd_cost", F.lit(0)).cast(SILVER["crm_prd_info"]["prd_cost"].dataType).alias("prd_cost"),
+        codes.product_line("prd_line").alias("prd_line"),
+        "prd_start_dt",
+        F.col("prd_key").alias("_raw_key"),
+    ]
+    if keep_source_end:
+        cols.append(F.col("prd_end_dt").alias("src_prd_end_dt"))
+    return bronze.select(*cols)
+
+
 def clean_sales_details(bronze: DataFrame) -> DataFrame:
     """Date codes decoded (order date guarded), sales and price repaired."""
     out = bronze.select(

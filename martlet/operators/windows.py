@@ -97,8 +97,9 @@ def global_row_number(
     ``order`` must be unique for the numbering to be deterministic. The sorted
     frame, tagged with partition index and position, is written once to the
     shared checkpoint folder, so the counting pass and the numbering pass read
-    identical data even if executors are lost in between; the numbered result
-    is staged as well, which gives joins against it real size statistics.
+    identical data even if executors are lost in between. The result carries a
+    broadcast hint only when that staged table is under the broadcast
+    threshold.
     """
     ensure_checkpoint_dir(df.sparkSession)
     n = _num_partitions(df, num_partitions)
@@ -126,7 +127,25 @@ def global_row_number(
     )
     if total:
         numbered = numbered.withColumn(total, F.col("_total").cast("long"))
-    return stage_table(numbered.drop("_part", "_mid", "_pos", "_offset", "_total"), "numbered")
+    numbered = numbered.drop("_part", "_mid", "_pos", "_offset", "_total")
+    # The join with the offsets hides the staged table's size from the planner
+    # (join estimates multiply), so apply Spark's own broadcast rule here: the
+    # staged file size against autoBroadcastJoinThreshold.
+    if _staged_bytes(ranged) <= _broadcast_threshold(df.sparkSession):
+        numbered = F.broadcast(numbered)
+    return numbered
+
+
+def _staged_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _broadcast_threshold(spark) -> int:
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        return int(raw)
+    except ValueError:
+        return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(raw))
 
 
 def ntile_from_row_number(rn: Column, total: Column, buckets: int) -> Column:

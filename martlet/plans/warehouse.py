@@ -25,13 +25,16 @@ class Warehouse:
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
+        self._scans: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return testdata.read_table(self.spark, self.sf_dir, name)
+        if name not in self._scans:
+            self._scans[name] = testdata.read_table(self.spark, self.sf_dir, name)
+        return self._scans[name]
 
     @cached_property
     def bronze(self) -> dict[str, DataFrame]:
-        return testdata.bronze_tables(self.spark, self.sf_dir)
+        return testdata.bronze_tables(self.spark, self.sf_dir, self.table)
 
     @cached_property
     def silver(self) -> dict[str, DataFrame]:
@@ -52,19 +55,23 @@ class Warehouse:
         s = self.silver
         return gold.customer_attributes(s["crm_cust_info"], s["erm_customers"], s["erm_customer_location"])
 
+    def _current_products(self, keep_source_end: bool = False) -> DataFrame:
+        prd = silver.clean_prd_info_without_end(self.bronze["crm_prd_info"], keep_source_end)
+        return gold.current_versions(prd, self.silver["erm_product_category"])
+
     @cached_property
     def active_products(self) -> DataFrame:
         """Product dimension without the surrogate key (no numbering job);
         ``_prd_id`` identifies a row one-to-one like ``product_key`` does."""
-        return gold.active_products(self.silver["crm_prd_info"], self.silver["erm_product_category"])
+        return self._current_products()
 
     @cached_property
     def dim_products(self) -> DataFrame:
-        return gold.dim_products(self.silver["crm_prd_info"], self.silver["erm_product_category"])
+        return gold.dim_products(None, None, active=self.active_products)
 
     @cached_property
     def dim_products_with_source_end(self) -> DataFrame:
-        return gold.dim_products(self.silver_products_with_source_end, self.silver["erm_product_category"])
+        return gold.dim_products(None, None, active=self._current_products(keep_source_end=True))
 
     @cached_property
     def customer_keys(self) -> DataFrame:

@@ -34,6 +34,27 @@ def read_csv(
     )
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+# A scan smaller than this is left alone even if it is a single task.
+SPREAD_MIN_BYTES = 2 * 1024 * 1024
+
+
+def spread_scan(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Round-robin an input whose scan yields fewer partitions than the
+    cluster's parallelism (e.g. a file with one Parquet row group is one task,
+    whatever its size). Large inputs already have at least as many splits as
+    cores and are returned unchanged, so this adds no shuffle at scale; tiny
+    inputs are not worth a shuffle either."""
+    spark = df.sparkSession
+    parallelism = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= parallelism:
+        return df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) < min_bytes:
+        return df
+    return df.repartition(parallelism)
+
+
+def read_parquet(spark: SparkSession, path: str, spread: bool = True) -> DataFrame:
     """Full table scan; column pruning and filters reach the reader via Catalyst."""
-    return spark.read.parquet(path)
+    df = spark.read.parquet(path)
+    return spread_scan(df) if spread else df

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.schemas import BRONZE, COST, MONEY
+from martlet.sources.files import read_parquet
 
 TABLES = (
     "region",
@@ -57,7 +58,7 @@ DUE_DAYS = 30  # due date = order date + 30 days
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _pick(index: Column, values: list) -> Column:
@@ -222,11 +223,19 @@ class LazyTables(dict):
         return list(self._builders)
 
 
-def bronze_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
-    """All six bronze tables over the given testdata folder, each built lazily."""
+def bronze_tables(spark: SparkSession, sf_dir: str, table=None) -> LazyTables:
+    """All six bronze tables over the given testdata folder, each built lazily.
+    ``table(name)`` supplies source scans (default: one memoised scan each)."""
+
+    scans: dict[str, DataFrame] = {}
 
     def t(name: str) -> DataFrame:
-        return read_table(spark, sf_dir, name)
+        if table is not None:
+            return table(name)
+        # one scan definition per source table, shared by every bronze table
+        if name not in scans:
+            scans[name] = read_table(spark, sf_dir, name)
+        return scans[name]
 
     return LazyTables(
         {
