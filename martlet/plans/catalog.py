@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 import datetime as dt
 
 from martlet.operators import gold
-from martlet.plans import advanced, cleaning, explore, incremental, insight, quality, rfm
+from martlet.plans import advanced, cleaning, explore, incremental, insight, load, quality, rfm
 from martlet.streaming import daily_counts
 from martlet.plans.warehouse import Warehouse
 
@@ -34,7 +34,7 @@ def register(name: str):
 
 @register("sales_by_category")
 def _sales_by_category(wh: Warehouse) -> DataFrame:
-    return explore.sales_by_category(wh.fact(customers=False), wh.dim_products)
+    return explore.sales_by_category(wh.fact(customers=False, surrogate=False), wh.products_by_version)
 
 
 
@@ -124,8 +124,8 @@ register("distinct_customers")(lambda wh: explore.distinct_customers(wh.fact(pro
 register("total_order_number")(
     lambda wh: explore.distinct_customers(wh.fact(products=False), name="total_order_number")
 )
-register("distinct_products")(lambda wh: explore.distinct_products(wh.fact(customers=False)))
-register("kpi_summary")(lambda wh: explore.kpi_summary(wh.fact()))
+register("distinct_products")(lambda wh: explore.distinct_products(wh.fact(customers=False, surrogate=False)))
+register("kpi_summary")(lambda wh: explore.kpi_summary(wh.fact(surrogate=False)))
 register("customers_by_country")(lambda wh: explore.customers_by_country(wh.customer_attributes))
 register("customers_by_gender")(lambda wh: explore.customers_by_gender(wh.customer_attributes))
 register("products_by_category")(lambda wh: explore.products_by_category(wh.active_products, key="_prd_id"))
@@ -136,15 +136,21 @@ register("revenue_per_customer")(
 register("quantity_by_country")(
     lambda wh: explore.quantity_by_country(wh.fact(products=False), wh.customer_attributes)
 )
-register("top5_products")(lambda wh: explore.top_products(wh.fact(customers=False), wh.dim_products, 5))
-register("bottom5_products")(lambda wh: explore.bottom_products(wh.fact(customers=False), wh.dim_products, 5))
+register("top5_products")(
+    lambda wh: explore.top_products(wh.fact(customers=False, surrogate=False), wh.products_by_version, 5)
+)
+register("bottom5_products")(
+    lambda wh: explore.bottom_products(wh.fact(customers=False, surrogate=False), wh.products_by_version, 5)
+)
 
 
 # ---- advanced analysis and reports ------------------------------------------
 
 register("monthly_trend")(lambda wh: advanced.monthly_trend(wh.fact(products=False)))
 register("cumulative_sales")(lambda wh: advanced.cumulative_sales(_dated_only(wh)))
-register("product_yoy")(lambda wh: advanced.product_yoy(wh.fact(customers=False), wh.dim_products))
+register("product_yoy")(
+    lambda wh: advanced.product_yoy(wh.fact(customers=False, surrogate=False), wh.products_by_version)
+)
 register("cost_band")(lambda wh: advanced.cost_band(wh.active_products, **COST_BANDS))
 register("customer_type")(
     lambda wh: advanced.customer_type(wh.fact(products=False), wh.dim_customers, **CUSTOMER_TYPE)
@@ -174,12 +180,16 @@ register("customer_report")(
 # ---- analyses reported without code ---------------------------------------
 
 register("quarterly_trend")(lambda wh: insight.quarterly_trend(_dated_only(wh)))
-register("line_revenue")(lambda wh: insight.line_revenue(wh.fact(customers=False), wh.dim_products))
+register("line_revenue")(
+    lambda wh: insight.line_revenue(wh.fact(customers=False, surrogate=False), wh.products_by_version)
+)
 register("country_share")(lambda wh: insight.country_share(wh.fact(products=False), wh.customer_attributes))
 register("seasonality")(lambda wh: insight.seasonality(_dated_only(wh)))
 register("age_gender")(lambda wh: insight.age_gender(wh.fact(products=False), wh.customer_attributes, wh.as_of))
 register("top10_aov")(lambda wh: insight.top_products_aov(wh.fact(customers=False), wh.dim_products, 10))
-register("gross_margin")(lambda wh: insight.gross_margin(wh.fact(customers=False), wh.dim_products))
+register("gross_margin")(
+    lambda wh: insight.gross_margin(wh.fact(customers=False, surrogate=False), wh.products_by_version)
+)
 register("yoy_growth")(lambda wh: insight.yoy_growth(_dated_only(wh)))
 register("revenue_per_customer_country")(
     lambda wh: insight.revenue_per_customer_country(wh.fact(products=False), wh.customer_attributes)
@@ -188,17 +198,17 @@ register("revenue_per_customer_country")(
 
 @register("discontinued_share")
 def _discontinued_share(wh: Warehouse) -> DataFrame:
-    dim = wh.dim_products_with_source_end
+    dim = wh.current_products_with_source_end.withColumnRenamed("_prd_id", "product_key")
     return insight.discontinued_share(gold.fact_sales(wh.silver["crm_sales_details"], dim), dim)
 
 
 register("version_flags")(lambda wh: insight.version_flags(wh.silver_products_with_source_end))
 register("whitespace_strip")(lambda wh: insight.strip_text_columns(wh.bronze["crm_cust_info"]))
-register("headline_kpis")(lambda wh: insight.headline_kpis(wh.fact()))
+register("headline_kpis")(lambda wh: insight.headline_kpis(wh.fact(surrogate=False)))
 
 
 def _audit(wh: Warehouse) -> DataFrame:
-    return quality.cleaning_audit(wh.bronze, wh.silver, wh.fact(), wh.customer_attributes, wh.as_of)
+    return quality.cleaning_audit(wh, wh.customer_attributes)
 
 
 register("cleaning_audit")(_audit)
@@ -223,4 +233,7 @@ register("cdc_merge")(
 register("stream_daily_counts")(lambda wh: daily_counts.run_daily_counts(wh.spark, wh.sf_dir))
 
 
+register("load_warehouse")(lambda wh: load.loaded_row_counts(wh, PRODUCT_SEGMENTS, CUSTOMER_SEGMENTS))
+
+
 FLAGSHIP = "customer_report"

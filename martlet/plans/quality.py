@@ -7,12 +7,10 @@ measured rates against thresholds from a small rule list.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlet.functions import codes
+from martlet.functions import codes, dates
 
 NOT_AVAILABLE = codes.NOT_AVAILABLE
 
@@ -22,6 +20,7 @@ def _count_if(cond: Column) -> Column:
 
 
 def _stack(one_row: DataFrame, table: str) -> DataFrame:
+    """Every column of a one-row aggregate -> (table_name, metric, value) rows."""
     metrics = [c for c in one_row.columns]
     args = ", ".join(f"'{m}', CAST(`{m}` AS DOUBLE)" for m in metrics)
     return one_row.select(
@@ -29,11 +28,20 @@ def _stack(one_row: DataFrame, table: str) -> DataFrame:
     )
 
 
-def cleaning_audit(bronze: dict[str, DataFrame], silver: dict[str, DataFrame], fact: DataFrame,
-                   customers: DataFrame, as_of: dt.date) -> DataFrame:
+def _stack_pairs(one_row: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """(table, metric) per column of a one-row aggregate -> (table_name, metric, value) rows."""
+    args = ", ".join(f"'{t}', '{m}', CAST(`{m}` AS DOUBLE)" for t, m in pairs)
+    return one_row.select(F.expr(f"stack({len(pairs)}, {args}) AS (table_name, metric, value)"))
+
+
+def cleaning_audit(wh, customers: DataFrame) -> DataFrame:
     """What the cleaning did, per table: rows in/out, superseded versions,
     repaired money, invalid dates, normalised keys and countries, gender gaps
-    before and after the merge, fact key match rates."""
+    before and after the merge, fact key match rates.
+
+    The sales metrics of all three layers come from one pass: the bronze
+    lines with their cleaned values and dimension keys side by side."""
+    bronze, silver = wh.bronze, wh.silver
     parts = []
 
     parts.append(_stack(bronze["crm_cust_info"].agg(F.count(F.lit(1)).alias("bronze_rows")), "crm_cust_info"))
@@ -57,31 +65,53 @@ def cleaning_audit(bronze: dict[str, DataFrame], silver: dict[str, DataFrame], f
             "crm_prd_info",
         )
     )
+    # superseded versions = all versions - current versions (those whose
+    # rebuilt end date is NULL), from two one-row counts
+    versions = bronze["crm_prd_info"].agg(F.count(F.lit(1)).alias("_n")).unionByName(
+        wh.active_products.agg((-F.count(F.lit(1))).alias("_n"))
+    )
     parts.append(
-        _stack(
-            silver["crm_prd_info"].agg(_count_if(F.col("prd_end_dt").isNotNull()).alias("superseded_versions")),
-            "crm_prd_info",
-        )
+        _stack(versions.agg(F.sum("_n").alias("superseded_versions")), "crm_prd_info")
     )
 
     s, q, p = F.col("sls_sales"), F.col("sls_quantity"), F.col("sls_price")
-    parts.append(
-        _stack(
-            bronze["crm_sales_details"].agg(
-                F.count(F.lit(1)).alias("bronze_rows"),
-                _count_if(s.isNull() | (s <= 0) | (s != F.abs(q) * F.abs(p))).alias("sales_recalculated"),
-                _count_if(p.isNull() | (p <= 0)).alias("price_repaired"),
-            ),
-            "crm_sales_details",
-        )
+    lines = bronze["crm_sales_details"].select(
+        "sls_prd_key",
+        "sls_cust_id",
+        (s.isNull() | (s <= 0) | (s != F.abs(q) * F.abs(p))).alias("_recalc"),
+        (p.isNull() | (p <= 0)).alias("_reprice"),
+        dates.decode_yyyymmdd_guarded("sls_order_dt").isNull().alias("_bad_order_dt"),
+        dates.decode_yyyymmdd("sls_ship_dt").isNull().alias("_bad_ship_dt"),
+    )
+    keyed_lines = lines.alias("l").join(
+        wh.products_by_version.select("product_key", "product_id").alias("dp"),
+        F.col("l.sls_prd_key") == F.col("dp.product_id"),
+        "left",
+    ).join(wh.customer_keys.alias("dc"), F.col("l.sls_cust_id") == F.col("dc.customer_key"), "left")
+    n = F.count(F.lit(1))
+    sales = keyed_lines.agg(
+        n.alias("bronze_rows"),
+        _count_if(F.col("_recalc")).alias("sales_recalculated"),
+        _count_if(F.col("_reprice")).alias("price_repaired"),
+        _count_if(F.col("_bad_order_dt")).alias("order_date_invalid"),
+        _count_if(F.col("_bad_ship_dt")).alias("ship_date_invalid"),
+        n.alias("fact_rows"),
+        (F.count("dp.product_key") / n).alias("product_match_rate"),
+        (F.count("dc.customer_key") / n).alias("customer_match_rate"),
     )
     parts.append(
-        _stack(
-            silver["crm_sales_details"].agg(
-                _count_if(F.col("sls_order_dt").isNull()).alias("order_date_invalid"),
-                _count_if(F.col("sls_ship_dt").isNull()).alias("ship_date_invalid"),
-            ),
-            "crm_sales_details",
+        _stack_pairs(
+            sales,
+            [
+                ("crm_sales_details", "bronze_rows"),
+                ("crm_sales_details", "sales_recalculated"),
+                ("crm_sales_details", "price_repaired"),
+                ("crm_sales_details", "order_date_invalid"),
+                ("crm_sales_details", "ship_date_invalid"),
+                ("gold", "fact_rows"),
+                ("gold", "product_match_rate"),
+                ("gold", "customer_match_rate"),
+            ],
         )
     )
 
@@ -90,7 +120,7 @@ def cleaning_audit(bronze: dict[str, DataFrame], silver: dict[str, DataFrame], f
             bronze["erm_customers"].agg(
                 F.count(F.lit(1)).alias("bronze_rows"),
                 _count_if(F.col("cid").startswith(codes.CUSTOMER_ID_PREFIX)).alias("prefix_stripped"),
-                _count_if(F.col("birth_date") > F.lit(as_of)).alias("future_birth_dates"),
+                _count_if(F.col("birth_date") > F.lit(wh.as_of)).alias("future_birth_dates"),
             ),
             "erm_customers",
         )
@@ -109,16 +139,6 @@ def cleaning_audit(bronze: dict[str, DataFrame], silver: dict[str, DataFrame], f
         )
     )
 
-    parts.append(
-        _stack(
-            fact.agg(
-                F.count(F.lit(1)).alias("fact_rows"),
-                (F.count("product_key") / F.count(F.lit(1))).alias("product_match_rate"),
-                (F.count("customer_key") / F.count(F.lit(1))).alias("customer_match_rate"),
-            ),
-            "gold",
-        )
-    )
     parts.append(
         _stack(
             customers.agg((_count_if(F.col("gender") == NOT_AVAILABLE) / F.count(F.lit(1))).alias("gender_na_rate")),

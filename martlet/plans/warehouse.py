@@ -69,6 +69,10 @@ class Warehouse:
     def dim_products(self) -> DataFrame:
         return gold.dim_products(None, None, active=self.active_products)
 
+    @cached_property
+    def current_products_with_source_end(self) -> DataFrame:
+        return self._current_products(keep_source_end=True)
+
     @cached_property
     def dim_products_with_source_end(self) -> DataFrame:
         return gold.dim_products(None, None, active=self._current_products(keep_source_end=True))
@@ -79,11 +83,20 @@ class Warehouse:
         dimension's left joins keep exactly these)."""
         return self.silver["crm_cust_info"].select(F.col("cst_id").alias("customer_key"))
 
-    def fact(self, products: bool = True, customers: bool = True) -> DataFrame:
+    @cached_property
+    def products_by_version(self) -> DataFrame:
+        """The product dimension keyed by the current version's id instead of
+        the dense surrogate: for queries that use ``product_key`` only to join
+        the fact to product attributes (the two keys are in one-to-one
+        correspondence), this skips the numbering job."""
+        return self.active_products.withColumnRenamed("_prd_id", "product_key")
+
+    def fact(self, products: bool = True, customers: bool = True, surrogate: bool = True) -> DataFrame:
         """``fact_sales``; pass ``False`` for a dimension whose key the caller
-        never reads, and that join is left out (it cannot change row counts)."""
-        return gold.fact_sales(
-            self.silver["crm_sales_details"],
-            self.dim_products if products else None,
-            self.customer_keys if customers else None,
-        )
+        never reads, and that join is left out (it cannot change row counts).
+        ``surrogate=False`` keys products by version id (see
+        ``products_by_version``); only for queries that never output the key."""
+        dim = None
+        if products:
+            dim = self.dim_products if surrogate else self.products_by_version
+        return gold.fact_sales(self.silver["crm_sales_details"], dim, self.customer_keys if customers else None)

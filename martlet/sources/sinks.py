@@ -31,13 +31,23 @@ def with_audit(df: DataFrame) -> DataFrame:
     return df.withColumn(AUDIT_COLUMN, F.current_timestamp())
 
 
-def overwrite_table(df: DataFrame, table: str, schema: T.StructType | None = None, audit: bool = True) -> None:
-    """Drop-and-create / truncate-and-insert as one overwrite of a Parquet table."""
+def overwrite_table(
+    df: DataFrame,
+    table: str,
+    schema: T.StructType | None = None,
+    audit: bool = True,
+    path: str | None = None,
+) -> None:
+    """Drop-and-create / truncate-and-insert as one overwrite of a Parquet table
+    (stored at ``path`` when given, else in the session's warehouse folder)."""
     if schema is not None:
         df = conform(df, schema)
     if audit:
         df = with_audit(df)
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+    writer = df.write.mode("overwrite").format("parquet")
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
 
 
 def overwrite_path(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
