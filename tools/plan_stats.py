@@ -34,6 +34,7 @@ def main() -> None:
             "sort_merge_joins": len(re.findall(r"SortMergeJoin", plan)),
             "broadcast_joins": len(re.findall(r"BroadcastHashJoin", plan)),
             "python_udfs": len(re.findall(r"PythonUDF|ArrowEvalPython|BatchEvalPython", plan)),
+            "nested_loop_or_cartesian": len(re.findall(r"BroadcastNestedLoopJoin|CartesianProduct", plan)),
         }
     spark.stop()
     print(json.dumps(out))
