@@ -131,21 +131,28 @@ def global_row_number(
     # The join with the offsets hides the staged table's size from the planner
     # (join estimates multiply), so apply Spark's own broadcast rule here: the
     # staged file size against autoBroadcastJoinThreshold.
-    if _staged_bytes(ranged) <= _broadcast_threshold(df.sparkSession):
+    staged = _staged_bytes(ranged)
+    if staged is not None and staged <= _broadcast_threshold(df.sparkSession):
         numbered = F.broadcast(numbered)
     return numbered
 
 
-def _staged_bytes(df: DataFrame) -> int:
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def _staged_bytes(df: DataFrame) -> int | None:
+    """Planner size of a staged (file-backed) table; None if unavailable, in
+    which case no hint is given and AQE decides from runtime sizes."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return None
 
 
 def _broadcast_threshold(spark) -> int:
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        return int(raw)
-    except ValueError:
-        return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(raw))
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if raw.endswith(suffix) and raw[: -len(suffix)].strip().lstrip("-").isdigit():
+            return int(raw[: -len(suffix)]) * units[suffix]
+    return int(raw) if raw.lstrip("-").isdigit() else 10 * (1 << 20)
 
 
 def ntile_from_row_number(rn: Column, total: Column, buckets: int) -> Column:

@@ -55,20 +55,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     directory. A non-local session without a configured folder is an error:
     checkpoints on machine-local disk would not survive executor loss.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext on this session type: use the setting alone
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc is not None else str(spark.conf.get("spark.master", ""))
+        if not master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at shared storage "
                 "so checkpoints survive executor loss"
             )
         configured = tempfile.mkdtemp(prefix="martlet-ckpt-", dir=os.environ.get("TMPDIR"))
+        try:
+            spark.conf.set("spark.checkpoint.dir", configured)
+        except Exception:  # core setting not modifiable at runtime; the context keeps it below
+            pass
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

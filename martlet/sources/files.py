@@ -44,12 +44,14 @@ def spread_scan(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     whatever its size). Large inputs already have at least as many splits as
     cores and are returned unchanged, so this adds no shuffle at scale; tiny
     inputs are not worth a shuffle either."""
-    spark = df.sparkSession
-    parallelism = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= parallelism:
+    try:
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= parallelism:
+            return df
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # session without JVM-side access (e.g. Spark Connect): leave the scan as is
         return df
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(size)) < min_bytes:
+    if size < min_bytes:
         return df
     return df.repartition(parallelism)
 
