@@ -23,8 +23,13 @@ from pyspark.sql import Window as W
 from martlet.session import ensure_checkpoint_dir, stage_table
 
 
-def _num_partitions(df: DataFrame, n: int | None) -> int:
-    return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _by_range(df: DataFrame, n: int | None, *cols) -> DataFrame:
+    """Range-partition on ``cols``. Without an explicit ``n`` the count comes
+    from ``spark.sql.shuffle.partitions`` and AQE may coalesce adjacent ranges
+    toward the advisory partition size (coalesced ranges stay in order), so
+    small inputs do not become hundreds of tiny partitions and large ones keep
+    partitions of a bounded size."""
+    return df.repartitionByRange(n, *cols) if n else df.repartitionByRange(*cols)
 
 
 def latest_per_key(
@@ -54,12 +59,11 @@ def lead_within_key(
     ``order`` must be a total order inside a key (end it with a unique column).
     """
     ensure_checkpoint_dir(df.sparkSession)
-    n = _num_partitions(df, num_partitions)
     # Range bounds come from sampling and are not guaranteed to repeat between
     # two executions, so the chunk-tagged rows are written once (a staged table
     # in the shared checkpoint folder) and both uses below read that table.
     ranged = stage_table(
-        df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys], *order).withColumn(
+        _by_range(df, num_partitions, *[F.col(k).asc_nulls_first() for k in keys], *order).withColumn(
             "_chunk", F.spark_partition_id()
         ),
         "lead-chunks",
@@ -70,7 +74,8 @@ def lead_within_key(
         .withColumn("_last", F.lead(F.lit(True)).over(w_chunk).isNull())
         .withColumn("_pos", F.row_number().over(w_chunk))
     )
-    # one row per (key, chunk) with its first value; a hot key has at most n
+    # one row per (key, chunk) with its first value; a hot key has at most as
+    # many chunks as there are range partitions
     firsts = local.where(F.col("_pos") == 1).select(*keys, "_chunk", F.col(value).alias("_first"))
     following = firsts.select(
         *keys,
@@ -102,9 +107,8 @@ def global_row_number(
     threshold.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    n = _num_partitions(df, num_partitions)
     ranged = (
-        df.repartitionByRange(n, *order)
+        _by_range(df, num_partitions, *order)
         .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())

@@ -38,9 +38,15 @@ def run_daily_counts(
     schema: T.StructType | None = None,
     watermark: str = "1 hour",
     max_files_per_trigger: int | None = None,
+    state_partitions: int | None = None,
 ) -> DataFrame:
     """Process everything available (``availableNow``) and return the final
-    daily counts as a batch DataFrame (day, event_type, events)."""
+    daily counts as a batch DataFrame (day, event_type, events).
+
+    Streaming state is partitioned by the shuffle-partition count in force
+    when the query first starts (it is then fixed in its checkpoint) and is
+    not coalesced by AQE; ``state_partitions`` (default: the cluster's core
+    count) sets it for this query only."""
     if schema is None:
         schema = spark.read.parquet(os.path.join(source_dir, file_glob)).schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
@@ -54,13 +60,20 @@ def run_daily_counts(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("_batch", F.lit(batch_id).cast("long")).write.mode("append").parquet(out)
 
-    query = (
-        counts.writeStream.outputMode("update")
-        .foreachBatch(write_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    if state_partitions is None:
+        state_partitions = spark.sparkContext.defaultParallelism
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        query = (
+            counts.writeStream.outputMode("update")
+            .foreachBatch(write_batch)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
     query.awaitTermination()
     result_schema = "day date, event_type string, events bigint"
     try:

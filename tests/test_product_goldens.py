@@ -1,6 +1,9 @@
-"""Golden product rows (copied as literals from the source project's product
-and category extracts) through CSV ingestion, silver cleaning and the gold
-product dimension."""
+"""Golden product rows through CSV ingestion, silver cleaning and the gold
+product dimension.
+
+Fixed values: the CSV rows below are copied verbatim from the source system's
+product and category extracts (a handful of rows covering every rule), so the
+expected results are the source system's own."""
 
 from __future__ import annotations
 
@@ -34,10 +37,10 @@ CO_PD,Components,Pedals,Yes
 @pytest.fixture(scope="module")
 def sources(spark, tmp_path_factory):
     d = tmp_path_factory.mktemp("csv")
-    (d / "prd_info.csv").write_text(PRODUCTS_CSV)
-    (d / "cat.csv").write_text(CATEGORIES_CSV)
-    prd = read_csv(spark, str(d / "prd_info.csv"), "crm_prd_info")
-    cat = read_csv(spark, str(d / "cat.csv"), "erm_product_category")
+    (d / "products.csv").write_text(PRODUCTS_CSV)
+    (d / "categories.csv").write_text(CATEGORIES_CSV)
+    prd = read_csv(spark, str(d / "products.csv"), "crm_prd_info")
+    cat = read_csv(spark, str(d / "categories.csv"), "erm_product_category")
     return prd, cat
 
 

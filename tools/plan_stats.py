@@ -27,8 +27,11 @@ def main() -> None:
         qe = df._jdf.queryExecution()
         qe.executedPlan().execute().count()  # run this plan so AQE finalises it
         plan = qe.executedPlan().toString()
+        # an adaptive plan prints its final plan, then the initial one
+        if "== Final Plan ==" in plan:
+            plan = plan.split("== Final Plan ==", 1)[1].split("== Initial Plan ==", 1)[0]
         out[name] = {
-            "shuffles": len(re.findall(r"\bExchange (hashpartitioning|rangepartitioning|RoundRobin|SinglePartition)", plan)),
+            "shuffles": len(re.findall(r"\bExchange (hashpartitioning|rangepartitioning|RoundRobinPartitioning|SinglePartition)", plan)),
             "single_partition": len(re.findall(r"Exchange SinglePartition", plan)),
             "broadcasts": len(re.findall(r"BroadcastExchange", plan)),
             "sort_merge_joins": len(re.findall(r"SortMergeJoin", plan)),
