@@ -151,13 +151,17 @@ def fact_sales(
     sales: DataFrame,
     products: DataFrame | None = None,
     customers: DataFrame | None = None,
+    raw_customer_key: bool = False,
 ) -> DataFrame:
     """Sales lines with the product surrogate key and the customer natural key.
 
     Both dimension joins are left joins, so the fact has exactly one row per
     sales line (the dimensions are unique on their join keys). A dimension
     passed as ``None`` is not joined and its key column is absent -- callers
-    that never read a key skip that join entirely.
+    that never read a key skip that join entirely. ``raw_customer_key`` exposes
+    the sales line's customer id as ``customer_key`` without the join (orphan
+    ids are *not* nulled): for callers that aggregate per customer and then
+    inner-join the customer dimension, which drops orphans anyway.
     """
     sd = sales.alias("sd")
     out = sd
@@ -170,6 +174,8 @@ def fact_sales(
         dc = customers.select("customer_key").alias("dc")
         out = out.join(dc, F.col("sd.sls_cust_id") == F.col("dc.customer_key"), "left")
         cols.append(F.col("dc.customer_key"))
+    elif raw_customer_key:
+        cols.append(F.col("sd.sls_cust_id").alias("customer_key"))
     cols += [
         F.col("sd.sls_order_dt").alias("order_date"),
         F.col("sd.sls_ship_dt").alias("shipping_date"),

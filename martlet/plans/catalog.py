@@ -131,10 +131,10 @@ register("customers_by_gender")(lambda wh: explore.customers_by_gender(wh.custom
 register("products_by_category")(lambda wh: explore.products_by_category(wh.active_products, key="_prd_id"))
 register("avg_cost_by_category")(lambda wh: explore.avg_cost_by_category(wh.active_products))
 register("revenue_per_customer")(
-    lambda wh: explore.revenue_per_customer(wh.fact(products=False), wh.customer_attributes)
+    lambda wh: explore.revenue_per_customer(wh.fact_by_customer_id(), wh.customer_attributes)
 )
 register("quantity_by_country")(
-    lambda wh: explore.quantity_by_country(wh.fact(products=False), wh.customer_attributes)
+    lambda wh: explore.quantity_by_country(wh.fact_by_customer_id(), wh.customer_attributes)
 )
 register("top5_products")(
     lambda wh: explore.top_products(wh.fact(customers=False, surrogate=False), wh.products_by_version, 5)
@@ -153,26 +153,28 @@ register("product_yoy")(
 )
 register("cost_band")(lambda wh: advanced.cost_band(wh.active_products, **COST_BANDS))
 register("customer_type")(
-    lambda wh: advanced.customer_type(wh.fact(products=False), wh.dim_customers, **CUSTOMER_TYPE)
+    lambda wh: advanced.customer_type(wh.fact_by_customer_id(), wh.dim_customers, **CUSTOMER_TYPE)
 )
 register("customer_type_fixed")(
     lambda wh: advanced.customer_type(
-        wh.fact(products=False), wh.dim_customers, months_mode="total_months", **CUSTOMER_TYPE
+        wh.fact_by_customer_id(), wh.dim_customers, months_mode="total_months", **CUSTOMER_TYPE
     )
 )
 register("customer_type_counts")(
-    lambda wh: advanced.customer_type_counts(wh.fact(products=False), wh.dim_customers, **CUSTOMER_TYPE)
+    lambda wh: advanced.customer_type_counts(wh.fact_by_customer_id(), wh.dim_customers, **CUSTOMER_TYPE)
 )
 register("customer_type_counts_fixed")(
     lambda wh: advanced.customer_type_counts(
-        wh.fact(products=False), wh.dim_customers, months_mode="total_months", **CUSTOMER_TYPE
+        wh.fact_by_customer_id(), wh.dim_customers, months_mode="total_months", **CUSTOMER_TYPE
     )
 )
 register("product_report")(
     lambda wh: advanced.product_report(wh.fact(), wh.dim_products, wh.as_of, **PRODUCT_SEGMENTS)
 )
 register("customer_report")(
-    lambda wh: advanced.customer_report(wh.fact(), wh.dim_customers, wh.as_of, **CUSTOMER_SEGMENTS)
+    lambda wh: advanced.customer_report(
+        wh.fact_by_customer_id(products=True), wh.dim_customers, wh.as_of, **CUSTOMER_SEGMENTS
+    )
 )
 
 
@@ -183,16 +185,18 @@ register("quarterly_trend")(lambda wh: insight.quarterly_trend(_dated_only(wh)))
 register("line_revenue")(
     lambda wh: insight.line_revenue(wh.fact(customers=False, surrogate=False), wh.products_by_version)
 )
-register("country_share")(lambda wh: insight.country_share(wh.fact(products=False), wh.customer_attributes))
+register("country_share")(lambda wh: insight.country_share(wh.fact_by_customer_id(), wh.customer_attributes))
 register("seasonality")(lambda wh: insight.seasonality(_dated_only(wh)))
-register("age_gender")(lambda wh: insight.age_gender(wh.fact(products=False), wh.customer_attributes, wh.as_of))
+register("age_gender")(
+    lambda wh: insight.age_gender(wh.fact_by_customer_id(), wh.customer_attributes, wh.as_of)
+)
 register("top10_aov")(lambda wh: insight.top_products_aov(wh.fact(customers=False), wh.dim_products, 10))
 register("gross_margin")(
     lambda wh: insight.gross_margin(wh.fact(customers=False, surrogate=False), wh.products_by_version)
 )
 register("yoy_growth")(lambda wh: insight.yoy_growth(_dated_only(wh)))
 register("revenue_per_customer_country")(
-    lambda wh: insight.revenue_per_customer_country(wh.fact(products=False), wh.customer_attributes)
+    lambda wh: insight.revenue_per_customer_country(wh.fact_by_customer_id(), wh.customer_attributes)
 )
 
 
@@ -219,7 +223,7 @@ register("dq_checks")(lambda wh: quality.dq_checks(_audit(wh)))
 
 INITIAL_LOAD_BEFORE = dt.date(2000, 1, 1)
 
-register("rfm")(lambda wh: rfm.rfm_scores(wh.fact(products=False), wh.as_of))
+register("rfm")(lambda wh: rfm.rfm_scores(wh.fact_by_customer_id(), wh.as_of, wh.customer_keys))
 register("incremental_load")(
     lambda wh: incremental.incremental_load(
         wh.spark, wh.silver["crm_sales_details"], "sls_order_dt", INITIAL_LOAD_BEFORE

@@ -20,8 +20,11 @@ from martlet.plans.explore import money
 BUCKETS = 5
 
 
-def customer_rfm_base(fact: DataFrame, as_of: dt.date) -> DataFrame:
-    return (
+def customer_rfm_base(fact: DataFrame, as_of: dt.date, customers: DataFrame | None = None) -> DataFrame:
+    """Per customer: days since the last order, distinct orders, spend. If the
+    fact carries raw customer ids, pass the valid ``customers`` keys: the
+    per-customer rows are semi-joined to them after the aggregation."""
+    per = (
         fact.where(F.col("order_date").isNotNull() & F.col("customer_key").isNotNull())
         .groupBy("customer_key")
         .agg(
@@ -30,6 +33,9 @@ def customer_rfm_base(fact: DataFrame, as_of: dt.date) -> DataFrame:
             F.sum("sales_amount").alias("_monetary"),
         )
     )
+    if customers is not None:
+        per = per.join(customers.select("customer_key"), "customer_key", "left_semi")
+    return per
 
 
 def _score(df: DataFrame, order: list, name: str) -> DataFrame:
@@ -37,10 +43,10 @@ def _score(df: DataFrame, order: list, name: str) -> DataFrame:
     return numbered.withColumn(name, ntile_from_row_number(F.col("_rn"), F.col("_n"), BUCKETS)).drop("_rn", "_n")
 
 
-def rfm_scores(fact: DataFrame, as_of: dt.date) -> DataFrame:
+def rfm_scores(fact: DataFrame, as_of: dt.date, customers: DataFrame | None = None) -> DataFrame:
     """Scores 1..5 where 5 is best: most recent, most frequent, highest spend.
     Ties are ordered by customer key so every score is deterministic."""
-    base = customer_rfm_base(fact, as_of)
+    base = customer_rfm_base(fact, as_of, customers)
     scored = _score(base, [F.desc("recency_days"), F.asc("customer_key")], "r_score")
     scored = _score(scored, [F.asc("frequency"), F.asc("customer_key")], "f_score")
     scored = _score(scored, [F.asc_nulls_first("_monetary"), F.asc("customer_key")], "m_score")

@@ -91,6 +91,16 @@ class Warehouse:
         correspondence), this skips the numbering job."""
         return self.active_products.withColumnRenamed("_prd_id", "product_key")
 
+    def fact_by_customer_id(self, products: bool = False, surrogate: bool = True) -> DataFrame:
+        """Fact whose ``customer_key`` is the sales line's raw customer id (no
+        customer join): only for queries that aggregate per customer and then
+        inner-join a customer dimension, so orphan ids drop out there and the
+        fact is never shuffled for the join."""
+        dim = None
+        if products:
+            dim = self.dim_products if surrogate else self.products_by_version
+        return gold.fact_sales(self.silver["crm_sales_details"], dim, None, raw_customer_key=True)
+
     def fact(self, products: bool = True, customers: bool = True, surrogate: bool = True) -> DataFrame:
         """``fact_sales``; pass ``False`` for a dimension whose key the caller
         never reads, and that join is left out (it cannot change row counts).

@@ -72,3 +72,26 @@ def test_sinks_overwrite_is_idempotent(spark, tmp_path):
     overwrite_path(df, str(tmp_path / "t"))
     overwrite_path(df, str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).count() == 10
+
+
+def test_raw_customer_id_fact_drops_orphans_like_the_join(wh, spark):
+    """Aggregating on the raw sales customer id and inner-joining the customer
+    dimension equals the reference form (fact left-joined to customers first),
+    also when a sales line refers to a customer that does not exist."""
+    from martlet.operators import gold
+    from martlet.plans import explore, rfm
+
+    sales = wh.silver["crm_sales_details"]
+    orphan = sales.limit(3).withColumn("sls_cust_id", F.lit(-42).cast("long"))
+    sales = sales.unionByName(orphan)
+    joined = gold.fact_sales(sales, None, wh.customer_keys)
+    raw = gold.fact_sales(sales, None, None, raw_customer_key=True)
+    assert raw.where("customer_key = -42").count() == 3 and joined.where("customer_key IS NULL").count() == 3
+
+    a = explore.revenue_per_customer(joined, wh.customer_attributes)
+    b = explore.revenue_per_customer(raw, wh.customer_attributes)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+    r1 = rfm.customer_rfm_base(joined, wh.as_of)
+    r2 = rfm.customer_rfm_base(raw, wh.as_of, wh.customer_keys)
+    assert r1.exceptAll(r2).count() == 0 and r2.exceptAll(r1).count() == 0
