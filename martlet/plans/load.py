@@ -12,20 +12,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martlet.operators import silver as silver_ops
 from martlet.plans import advanced
 from martlet.plans.incremental import work_path
 from martlet.plans.warehouse import Warehouse
 from martlet.schemas import BRONZE, SILVER
 from martlet.sources import sinks
 
-GOLD_VIEWS = ("fact_sales", "rpt_product_report", "rpt_customer_report")
-
-
 def load_warehouse(wh: Warehouse, product_segments: dict, customer_segments: dict) -> dict[str, str]:
     """Write every layer; return ``{layer.table: kind}`` for what was created."""
     spark = wh.spark
-    sinks.create_namespaces(spark)
     root = work_path(spark, "warehouse")
+    sinks.create_namespaces(spark, root=root)
     created: dict[str, str] = {}
 
     for name, schema in BRONZE.items():
@@ -33,8 +31,6 @@ def load_warehouse(wh: Warehouse, product_segments: dict, customer_segments: dic
         created[f"bronze.{name}"] = "table"
     # silver reads the written bronze tables, as a scheduled load would
     bronze_tables = {name: spark.table(f"bronze.{name}") for name in BRONZE}
-    from martlet.operators import silver as silver_ops
-
     cleaned = silver_ops.silver_tables(bronze_tables, wh.as_of)
     for name, schema in SILVER.items():
         sinks.overwrite_table(cleaned[name], f"silver.{name}", schema, path=f"{root}/silver/{name}")

@@ -15,9 +15,12 @@ from martlet.schemas import AUDIT_COLUMN
 LAYERS = ("bronze", "silver", "gold")
 
 
-def create_namespaces(spark: SparkSession, names: tuple[str, ...] = LAYERS) -> None:
+def create_namespaces(spark: SparkSession, names: tuple[str, ...] = LAYERS, root: str | None = None) -> None:
+    """Create each namespace if missing; with ``root``, its folder is placed
+    there (shared storage) rather than in the session's warehouse folder."""
     for name in names:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+        location = f" LOCATION '{root.rstrip('/')}/{name}.db'" if root else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{location}")
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
