@@ -22,17 +22,35 @@ def _year(c: str) -> Column:
     return F.year(c).cast("long")
 
 
-def monthly_trend(fact: DataFrame) -> DataFrame:
-    return (
-        fact.where(F.col("order_date").isNotNull())
-        .groupBy(_year("order_date").alias("order_year"), F.month("order_date").cast("long").alias("order_month"))
-        .agg(
+def monthly_trend(fact: DataFrame, customers: DataFrame | None = None) -> DataFrame:
+    """Sales, distinct customers and quantity per order year and month.
+
+    With ``customers`` (valid customer keys) the fact may carry raw sales
+    customer ids: it is first aggregated to (month, customer id) -- map-side
+    partial aggregation, one row per pair crosses the shuffle -- and only those
+    pairs are matched against the customer keys; unmatched ids still add their
+    sales and quantity but are not counted as customers, as in the reference
+    (fact left-joined to customers first)."""
+    month = [_year("order_date").alias("order_year"), F.month("order_date").cast("long").alias("order_month")]
+    dated = fact.where(F.col("order_date").isNotNull())
+    if customers is None:
+        per_month = dated.groupBy(*month).agg(
             money(F.sum("sales_amount")).alias("total_sales"),
             F.countDistinct("customer_key").alias("total_customers"),
             F.sum("quantity").cast("long").alias("total_quantity"),
         )
-        .orderBy(F.asc_nulls_last("order_year"), F.asc_nulls_last("order_month"))
-    )
+    else:
+        pairs = dated.groupBy(*month, "customer_key").agg(
+            F.sum("sales_amount").alias("_s"), F.sum("quantity").alias("_q")
+        )
+        keys = customers.select(F.col("customer_key").alias("_valid"))
+        matched = pairs.join(keys, pairs.customer_key == keys._valid, "left")
+        per_month = matched.groupBy("order_year", "order_month").agg(
+            money(F.sum("_s")).alias("total_sales"),
+            F.countDistinct("_valid").alias("total_customers"),
+            F.sum("_q").cast("long").alias("total_quantity"),
+        )
+    return per_month.orderBy(F.asc_nulls_last("order_year"), F.asc_nulls_last("order_month"))
 
 
 def yearly_sales(fact: DataFrame) -> DataFrame:

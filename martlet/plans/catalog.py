@@ -120,9 +120,13 @@ register("total_sales")(lambda wh: explore.total_sales(_dated_only(wh)))
 register("total_quantity")(lambda wh: explore.total_quantity(_dated_only(wh)))
 register("avg_unit_price")(lambda wh: explore.avg_unit_price(_dated_only(wh)))
 register("distinct_orders")(lambda wh: explore.distinct_orders(_dated_only(wh)))
-register("distinct_customers")(lambda wh: explore.distinct_customers(wh.fact(products=False)))
+register("distinct_customers")(
+    lambda wh: explore.distinct_customers(wh.fact_by_customer_id(), customers=wh.customer_keys)
+)
 register("total_order_number")(
-    lambda wh: explore.distinct_customers(wh.fact(products=False), name="total_order_number")
+    lambda wh: explore.distinct_customers(
+        wh.fact_by_customer_id(), name="total_order_number", customers=wh.customer_keys
+    )
 )
 register("distinct_products")(lambda wh: explore.distinct_products(wh.fact(customers=False, surrogate=False)))
 register("kpi_summary")(lambda wh: explore.kpi_summary(wh.fact(surrogate=False)))
@@ -146,7 +150,7 @@ register("bottom5_products")(
 
 # ---- advanced analysis and reports ------------------------------------------
 
-register("monthly_trend")(lambda wh: advanced.monthly_trend(wh.fact(products=False)))
+register("monthly_trend")(lambda wh: advanced.monthly_trend(wh.fact_by_customer_id(), wh.customer_keys))
 register("cumulative_sales")(lambda wh: advanced.cumulative_sales(_dated_only(wh)))
 register("product_yoy")(
     lambda wh: advanced.product_yoy(wh.fact(customers=False, surrogate=False), wh.products_by_version)

@@ -39,10 +39,19 @@ def avg_unit_price(fact: DataFrame) -> DataFrame:
     return fact.agg(money(F.avg("unit_price")).alias("avg_unit_price"))
 
 
-def distinct_customers(fact: DataFrame, name: str = "distinct_customers") -> DataFrame:
+def distinct_customers(
+    fact: DataFrame, name: str = "distinct_customers", customers: DataFrame | None = None
+) -> DataFrame:
     """``total_order_number`` in the source is this same customer count under a
-    misleading name; pass ``name`` to reproduce it."""
-    return fact.agg(F.countDistinct("customer_key").alias(name))
+    misleading name; pass ``name`` to reproduce it. With ``customers`` (valid
+    keys) the fact may carry raw sales customer ids: the distinct ids are
+    found first (partial aggregation) and only they are matched."""
+    if customers is None:
+        return fact.agg(F.countDistinct("customer_key").alias(name))
+    ids = fact.where(F.col("customer_key").isNotNull()).select("customer_key").distinct()
+    return ids.join(customers.select("customer_key"), "customer_key", "left_semi").agg(
+        F.count(F.lit(1)).alias(name)
+    )
 
 
 def distinct_products(fact: DataFrame) -> DataFrame:

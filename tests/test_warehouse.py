@@ -95,3 +95,11 @@ def test_raw_customer_id_fact_drops_orphans_like_the_join(wh, spark):
     r1 = rfm.customer_rfm_base(joined, wh.as_of)
     r2 = rfm.customer_rfm_base(raw, wh.as_of, wh.customer_keys)
     assert r1.exceptAll(r2).count() == 0 and r2.exceptAll(r1).count() == 0
+
+    m1 = advanced.monthly_trend(joined)
+    m2 = advanced.monthly_trend(raw, wh.customer_keys)
+    assert m1.exceptAll(m2).count() == 0 and m2.exceptAll(m1).count() == 0
+
+    d1 = explore.distinct_customers(joined).first()[0]
+    d2 = explore.distinct_customers(raw, customers=wh.customer_keys).first()[0]
+    assert d1 == d2
