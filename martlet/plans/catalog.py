@@ -175,7 +175,7 @@ register("product_report")(
 )
 register("customer_report")(
     lambda wh: advanced.customer_report(
-        wh.fact_by_customer_id(products=True), wh.dim_customers, wh.as_of, **CUSTOMER_SEGMENTS
+        wh.fact_by_customer_id(products=True, surrogate=False), wh.dim_customers, wh.as_of, **CUSTOMER_SEGMENTS
     )
 )
 
