@@ -1,11 +1,13 @@
 """Gold layer: customer and product dimensions with dense surrogate keys, and
 the sales fact.
 
-Joins are plain equi-joins written without hints: Catalyst broadcasts a side
-whose estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` and AQE
-converts a shuffle join to a broadcast one when the *measured* size of a side
-is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``; beyond that they
-stay sort-merge joins (with AQE splitting skewed partitions).
+Joins are plain equi-joins: Catalyst broadcasts a side whose estimated size is
+under ``spark.sql.autoBroadcastJoinThreshold`` and AQE converts a shuffle join
+to a broadcast one when the *measured* size of a side is under
+``spark.sql.adaptive.autoBroadcastJoinThreshold``; beyond that they stay
+sort-merge joins (with AQE splitting skewed partitions). The only hint is the
+one ``global_row_number`` puts on a numbered dimension whose staged size passed
+that same threshold check.
 """
 
 from __future__ import annotations

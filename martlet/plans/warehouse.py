@@ -3,7 +3,8 @@
 ``Warehouse`` only memoises DataFrames: bronze (bound from the source tables),
 silver (cleaned), gold dimensions and fact builders. Nothing is computed until
 an action runs, except the dense surrogate numbering of the two dimensions,
-which checkpoints its sorted input once per warehouse.
+which stages its sorted input once (a Parquet table in the shared checkpoint
+folder) per warehouse.
 """
 
 from __future__ import annotations
