@@ -4,9 +4,10 @@ age x gender, top products with order value, gross margin, growth, revenue per
 customer by country, discontinued-product exposure, version flags, text
 clean-up and the headline KPI row.
 
-Ratios are DOUBLE divisions of exact decimal totals; rounded money ratios are
-rounded half-up to cents on decimals. Shares use a window over the already
-aggregated rows (a handful of groups), never over fact rows.
+Ratios are DOUBLE divisions of exact decimal totals (NULL, not an error, for a
+zero denominator); rounded money ratios are rounded half-up to cents on
+decimals. Shares use a window over the already aggregated rows (a handful of
+groups), never over fact rows.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ AGE_BANDS = [(None, 25, "<25"), (25, 35, "25-34"), (35, 45, "35-44"), (45, 55, "
 
 
 def _share(part: str, whole: Column) -> Column:
-    return F.col(part).cast("double") / whole.cast("double")
+    return F.try_divide(F.col(part).cast("double"), whole.cast("double"))
 
 
 def quarterly_trend(fact: DataFrame) -> DataFrame:
@@ -83,7 +84,7 @@ def country_share(fact: DataFrame, customers: DataFrame) -> DataFrame:
         "country",
         money("_s").alias("total_sales"),
         _share("_s", total).alias("revenue_share"),
-        (running.cast("double") / total.cast("double")).alias("cumulative_share"),
+        F.try_divide(running.cast("double"), total.cast("double")).alias("cumulative_share"),
     ).orderBy(F.desc_nulls_last("total_sales"), "country")
 
 
@@ -96,9 +97,10 @@ def seasonality(fact: DataFrame) -> DataFrame:
         .agg(F.sum("sales_amount").alias("_s"), F.countDistinct("order_number").alias("total_orders"))
     )
     whole = W.partitionBy()
-    index = (F.col("_s").cast("double") * F.count(F.lit(1)).over(whole).cast("double")) / F.sum("_s").over(
-        whole
-    ).cast("double")
+    index = F.try_divide(
+        F.col("_s").cast("double") * F.count(F.lit(1)).over(whole).cast("double"),
+        F.sum("_s").over(whole).cast("double"),
+    )
     return months.select(
         "order_month",
         money("_s").alias("total_sales"),
@@ -187,7 +189,7 @@ def gross_margin(fact: DataFrame, products: DataFrame) -> DataFrame:
         "is_total",
         money("_s").alias("total_sales"),
         money("_c").alias("total_cost"),
-        ((F.col("_s") - F.col("_c")).cast("double") / F.col("_s").cast("double")).alias("gross_margin"),
+        F.try_divide((F.col("_s") - F.col("_c")).cast("double"), F.col("_s").cast("double")).alias("gross_margin"),
     ).orderBy("is_total", F.desc_nulls_last("total_sales"))
 
 
@@ -207,7 +209,7 @@ def yoy_growth(fact: DataFrame, base_year: int | None = None) -> DataFrame:
     staged = years.withColumn("_prev", F.lag("_total").over(by_year)).withColumn("_base", base)
 
     def pct(a: str, b: str) -> Column:
-        return (F.col(a) - F.col(b)).cast("double") / F.col(b).cast("double") * 100.0
+        return F.try_divide((F.col(a) - F.col(b)).cast("double"), F.col(b).cast("double")) * 100.0
 
     return staged.select(
         "order_year",

@@ -96,8 +96,8 @@ def cleaning_audit(wh, customers: DataFrame) -> DataFrame:
         _count_if(F.col("_bad_order_dt")).alias("order_date_invalid"),
         _count_if(F.col("_bad_ship_dt")).alias("ship_date_invalid"),
         n.alias("fact_rows"),
-        (F.count("dp.product_key") / n).alias("product_match_rate"),
-        (F.count("dc.customer_key") / n).alias("customer_match_rate"),
+        F.try_divide(F.count("dp.product_key"), n).alias("product_match_rate"),
+        F.try_divide(F.count("dc.customer_key"), n).alias("customer_match_rate"),
     )
     parts.append(
         _stack_pairs(
@@ -141,7 +141,9 @@ def cleaning_audit(wh, customers: DataFrame) -> DataFrame:
 
     parts.append(
         _stack(
-            customers.agg((_count_if(F.col("gender") == NOT_AVAILABLE) / F.count(F.lit(1))).alias("gender_na_rate")),
+            customers.agg(
+                F.try_divide(_count_if(F.col("gender") == NOT_AVAILABLE), F.count(F.lit(1))).alias("gender_na_rate")
+            ),
             "gold",
         )
     )
@@ -190,9 +192,9 @@ def dq_checks(audit: DataFrame) -> DataFrame:
                 measured = F.lit(1.0) - measured
         elif name.endswith("loss_rate"):
             # rows lost between layers, relative to the input
-            measured = (col(table, num) - col(table, den)) / col(table, num)
+            measured = F.try_divide(col(table, num) - col(table, den), col(table, num))
         else:
-            measured = col(table, num) / col(table, den)
+            measured = F.try_divide(col(table, num), col(table, den))
         exprs.append(measured.cast("double").alias(name))
     measured_row = wide.select(*exprs)
     args = ", ".join(f"'{name}', `{name}`, CAST({float(th)!r} AS DOUBLE)" for name, _, _, th in DQ_RULES)
