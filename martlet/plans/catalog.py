@@ -127,6 +127,7 @@ register("total_order_number")(
     )
 )
 register("distinct_products")(lambda wh: explore.distinct_products(wh.fact(customers=False, surrogate=False)))
+register("distinct_counts")(lambda wh: explore.distinct_counts(wh.fact(surrogate=False)))
 register("kpi_summary")(lambda wh: explore.kpi_summary(wh.fact(surrogate=False)))
 register("customers_by_country")(lambda wh: explore.customers_by_country(wh.customer_attributes))
 register("customers_by_gender")(lambda wh: explore.customers_by_gender(wh.customer_attributes))

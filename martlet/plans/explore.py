@@ -54,6 +54,15 @@ def distinct_customers(
     )
 
 
+def distinct_counts(fact: DataFrame) -> DataFrame:
+    """The three distinct counts of the KPI list in one aggregate (one scan)."""
+    return fact.agg(
+        F.countDistinct("customer_key").alias("distinct_customers"),
+        F.countDistinct("product_key").alias("distinct_products"),
+        F.countDistinct("order_number").alias("distinct_orders"),
+    )
+
+
 def distinct_products(fact: DataFrame) -> DataFrame:
     return fact.agg(F.countDistinct("product_key").alias("distinct_products"))
 
