@@ -7,11 +7,16 @@ measured rates against thresholds from a small rule list.
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions import codes, dates
 
+if TYPE_CHECKING:
+    from martlet.plans.warehouse import Warehouse
+
 NOT_AVAILABLE = codes.NOT_AVAILABLE
 
 
@@ -34,7 +39,7 @@ def _stack_pairs(one_row: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     return one_row.select(F.expr(f"stack({len(pairs)}, {args}) AS (table_name, metric, value)"))
 
 
-def cleaning_audit(wh, customers: DataFrame) -> DataFrame:
+def cleaning_audit(wh: Warehouse, customers: DataFrame) -> DataFrame:
     """What the cleaning did, per table: rows in/out, superseded versions,
     repaired money, invalid dates, normalised keys and countries, gender gaps
     before and after the merge, fact key match rates.
