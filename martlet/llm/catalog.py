@@ -4,13 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.llm import packing, simhash, token_files, tokens
+from martlet.llm import bm25, chat, decontam, packing, pii, secrets, simhash, token_files, tokens, toxicity, warc
 from martlet.llm.common import scratch, table
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"), path_col="source")
+    return found.select(
+        "doc_id",
+        "start",
+        "end",
+        F.sha2("candidate", 256).alias("candidate_sha256"),
+        "probability",
+        F.col("is_secret").cast("int").alias("is_secret"),
+    )
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, tokens.tokenizer_path())
@@ -30,6 +42,54 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs))
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count, pii.BASE_KINDS),
+        F.sha2(pii.spans_text(base), 256).alias("base_sha256"),
+        pii.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat.rotate(table(spark, sf_dir, "conversations"))
+    return rows.withColumn("loss_spans", chat.spans_text(F.col("loss_spans")))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_on_labels(docs, table(spark, sf_dir, "labels"))
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), model.score_column(F.col("text")).alias("score")
+    )
+    return rows.select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.REJECT_FROM).cast("int").alias("predicted"),
+    )
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    index = warc.write_archives(table(spark, sf_dir, "pages"), path)
+    records = warc.read_records(index, path)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "bm25")
+    bm25.build_index(table(spark, sf_dir, "documents"), path)
+    return bm25.search(path, bm25.self_queries(spark, path), k=10)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_distance=4)
     return rows.select(
@@ -37,10 +97,23 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("tie").withColumn("reparameterised", F.col("reparameterised").cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
     "op2_token_files": op2_token_files,
     "op3_packing": op3_packing,
+    "op4_pii": op4_pii,
+    "op5_chat": op5_chat,
+    "op6_toxicity": op6_toxicity,
+    "op7_warc": op7_warc,
+    "op8_bm25": op8_bm25,
     "op9_simhash": op9_simhash,
+    "op10_decontam": op10_decontam,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Queries that SQL can state; the others are tested against brute force in tests/llm.
+ORACLE_SQL: dict[str, str] = {"op5_chat": chat.ORACLE_SQL, "op7_warc": warc.ORACLE_SQL}
