@@ -55,6 +55,9 @@ EXCEPTIONS = ("trash can", "trash bin", "class clown", "clown fish", "stupid eas
 #: Least score of a document that is rejected.
 REJECT_FROM = 0.3
 
+#: The logistic curve before any label is seen: bias, factors of sum and share.
+CURVE = (-5.0, 1.5, 2.5)
+
 PREFIXES = range(4, 10)
 MAX_TERMS = 2_000
 MIN_DOCS = 5
@@ -62,7 +65,7 @@ MIN_G2 = 25.0
 MIN_WEIGHT = 1.0
 LENGTH_SCALE = 100.0
 
-_SIGNS = re.compile(r"(?<=\w)[@$!](?=\w)")
+_SIGNS = re.compile(r"(?<=\w)[@$!]+(?=\w)")
 
 
 @lru_cache(maxsize=1)
@@ -81,7 +84,7 @@ def _fold_table() -> dict[int, str]:
 def fold(text: str) -> str:
     """Folded text with a space before and after it."""
     if "@" in text or "$" in text or "!" in text:
-        text = _SIGNS.sub(lambda m: SUBSTITUTES[m[0]], text)
+        text = _SIGNS.sub(lambda m: "".join(SUBSTITUTES[c] for c in m[0]), text)
     return f" {text.lower().translate(_fold_table())} "
 
 
@@ -183,13 +186,15 @@ def choose_terms(counts: list[tuple[str, int, int]], toxic: int, clean: int) ->
     return chosen
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Newton's method with a small ridge; x has a column of ones first."""
-    w = np.zeros(x.shape[1])
+def logistic(x: np.ndarray, y: np.ndarray, prior: tuple[float, ...], ridge: float = 1.0) -> np.ndarray:
+    """Newton's method from, and held with ``ridge`` to, the ``prior``."""
+    center = np.array(prior)
+    w = center.copy()
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (y - p) - ridge * w)
-        w += step
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        step = np.linalg.solve(hessian, x.T @ (y - p) - ridge * (w - center))
+        w += np.clip(step, -1, 1)
         if np.abs(step).max() < 1e-8:
             break
     return w
@@ -259,10 +264,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> Toxic
 
     rows = sample.select(weigh("text").alias("w"), "toxic").select("w.weight", "w.words", "toxic").collect() if toxic and clean else []
     if not rows:
-        return ToxicityModel(draft.terms, (-3.0, 1.0, 1.0))
+        return ToxicityModel(draft.terms, CURVE)
     x = np.array([(1.0, *features(r.weight, r.words)) for r in rows])
     y = np.array([float(r.toxic > 0) for r in rows])
-    return ToxicityModel(draft.terms, tuple(float(v) for v in logistic(x, y)))
+    return ToxicityModel(draft.terms, tuple(float(v) for v in logistic(x, y, CURVE)))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
