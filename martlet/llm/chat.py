@@ -116,24 +116,24 @@ WITH t AS (
   FROM conversations
 ), n AS (
   SELECT conv_id, replace(r, '|>', '| >') AS role, x,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r, x) - 1 AS at
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r, x) - 1 AS place
   FROM t
-), c AS (SELECT *, at // {CHUNK_TURNS} AS chunk FROM n),
+), c AS (SELECT *, CAST(floor(place / {CHUNK_TURNS}.0) AS BIGINT) AS chunk FROM n),
 s AS (SELECT DISTINCT conv_id, role AS speaker FROM n WHERE role <> '{SYSTEM}'),
 h AS (
-  SELECT c.conv_id, s.speaker, c.chunk, c.at, c.role, c.x,
+  SELECT c.conv_id, s.speaker, c.chunk, c.place, c.role, c.x,
          CASE WHEN c.role = '{SYSTEM}' THEN '<|system|>' WHEN c.role = s.speaker THEN '<|assistant|>'
               ELSE '<|user name=' || c.role || '|>' END || chr(10) AS head
   FROM c JOIN s ON c.conv_id IS NOT DISTINCT FROM s.conv_id
 ), o AS (
   SELECT *, sum(length(head) + length(x) + {len(CLOSE)}) OVER
-           (PARTITION BY conv_id, speaker, chunk ORDER BY at ROWS UNBOUNDED PRECEDING) AS stop
+           (PARTITION BY conv_id, speaker, chunk ORDER BY place ROWS UNBOUNDED PRECEDING) AS stop
   FROM h
 )
 SELECT conv_id, speaker, CAST(chunk AS BIGINT) AS chunk, count(*) AS turns,
-       string_agg(head || x || '<|end|>' || chr(10), '' ORDER BY at) AS text,
+       string_agg(head || x || '<|end|>' || chr(10), '' ORDER BY place) AS text,
        coalesce(string_agg(CASE WHEN role = speaker THEN
-         CAST(CAST(stop - {len(CLOSE)} - length(x) AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(stop AS BIGINT) AS VARCHAR) END, ',' ORDER BY at), '')
+         CAST(CAST(stop - {len(CLOSE)} - length(x) AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(stop AS BIGINT) AS VARCHAR) END, ',' ORDER BY place), '')
          AS loss_spans
 FROM o GROUP BY conv_id, speaker, chunk
 """

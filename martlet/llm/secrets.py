@@ -170,17 +170,24 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def distant_labels(rows: DataFrame, max_labelled: int) -> DataFrame:
-    """Labelled findings from the candidates' own contexts; in every other row,
-    by a hash, the context features are hidden (zero)."""
-    hide = F.pmod(F.xxhash64("candidate", "before"), F.lit(2)) == 0
+    """Labelled findings from the candidates' own contexts. In every other row,
+    by a hash, the context is hidden: no marks, neighbours of arbitrary length."""
+    by = F.xxhash64("candidate", "before")
+    hide = F.pmod(by, F.lit(2)) == 0
+    hidden = {
+        "word_before": F.pmod(F.shiftright(by, 8), F.lit(12)).cast("double"),
+        "word_after": F.pmod(F.shiftright(by, 24), F.lit(12)).cast("double"),
+    }
     chosen = (
         rows.withColumn("label", F.col("credential_before"))
         .orderBy(F.xxhash64("doc_id", "start", "candidate"), "doc_id", "start", "candidate")
         .limit(max_labelled)
     )
-    return chosen.select(
-        "label", *[F.when(hide, F.lit(0.0)).otherwise(F.col(f)).alias(f) if f in CONTEXT else F.col(f) for f in FEATURES]
-    )
+
+    def seen(f: str) -> Column:
+        return F.when(hide, hidden.get(f, F.lit(0.0))).otherwise(F.col(f)).alias(f) if f in CONTEXT else F.col(f)
+
+    return chosen.select("label", *map(seen, FEATURES))
 
 
 def scan(

@@ -10,7 +10,7 @@ from tests.llm.test_pii import plain_spans
 from tests.llm.test_simhash import brute_classes, brute_fingerprint
 from tests.llm.test_tokens import check_pieces, plain  # noqa: F401
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"  # the smallest with enough labels to learn from
 
 
 def test_stages_in_order(spark):
@@ -55,7 +55,7 @@ def test_every_stage_takes_effect(spark, plain):  # noqa: F811
 
 def test_run_and_odd_columns(spark):
     got = P.run(spark, SF)
-    assert got.count() > 0 and len({r.doc_id for r in got.select("doc_id").collect()}) < 200
+    assert got.count() > 0 and got.select("doc_id").distinct().count() < 1000
     odd = spark.createDataFrame(
         [(1, None, 5, "a"), (1, "", 5, "a"), (None, "one two three a@b.co", 5, "b"), (2, "one two three four five", 9, "c"),
          (2, "one two three four five", 9, "c")],
