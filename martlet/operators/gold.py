@@ -5,9 +5,7 @@ Joins are plain equi-joins: Catalyst broadcasts a side whose estimated size is
 under ``spark.sql.autoBroadcastJoinThreshold`` and AQE converts a shuffle join
 to a broadcast one when the *measured* size of a side is under
 ``spark.sql.adaptive.autoBroadcastJoinThreshold``; beyond that they stay
-sort-merge joins (with AQE splitting skewed partitions). The only hint is the
-one ``global_row_number`` puts on a numbered dimension whose staged size passed
-that same threshold check.
+sort-merge joins (with AQE splitting skewed partitions).
 """
 
 from __future__ import annotations
@@ -154,6 +152,7 @@ def fact_sales(
     products: DataFrame | None = None,
     customers: DataFrame | None = None,
     raw_customer_key: bool = False,
+    raw_product_id: bool = False,
 ) -> DataFrame:
     """Sales lines with the product surrogate key and the customer natural key.
 
@@ -163,7 +162,8 @@ def fact_sales(
     that never read a key skip that join entirely. ``raw_customer_key`` exposes
     the sales line's customer id as ``customer_key`` without the join (orphan
     ids are *not* nulled): for callers that aggregate per customer and then
-    inner-join the customer dimension, which drops orphans anyway.
+    inner-join the customer dimension, which drops orphans anyway;
+    ``raw_product_id`` exposes the line's product key as ``product_id`` likewise.
     """
     sd = sales.alias("sd")
     out = sd
@@ -172,6 +172,8 @@ def fact_sales(
         dp = products.select("product_key", "product_id").alias("dp")
         out = out.join(dp, F.col("sd.sls_prd_key") == F.col("dp.product_id"), "left")
         cols.append(F.col("dp.product_key"))
+    elif raw_product_id:
+        cols.append(F.col("sd.sls_prd_key").alias("product_id"))
     if customers is not None:
         dc = customers.select("customer_key").alias("dc")
         out = out.join(dc, F.col("sd.sls_cust_id") == F.col("dc.customer_key"), "left")

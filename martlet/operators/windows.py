@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from martlet.session import ensure_checkpoint_dir, stage_table
+from martlet.session import stage_table
 
 
 def _by_range(df: DataFrame, n: int | None, *cols) -> DataFrame:
@@ -58,35 +58,37 @@ def lead_within_key(
 
     ``order`` must be a total order inside a key (end it with a unique column).
     """
-    ensure_checkpoint_dir(df.sparkSession)
     # Range bounds come from sampling and are not guaranteed to repeat between
-    # two executions, so the chunk-tagged rows are written once (a staged table
-    # in the shared checkpoint folder) and both uses below read that table.
+    # two executions, so the sorted rows, tagged with chunk and position, are
+    # written once (a staged table in the shared checkpoint folder) and both
+    # uses below read that table.
+    in_order = [*[F.col(k).asc_nulls_first() for k in keys], *order]
     ranged = stage_table(
-        _by_range(df, num_partitions, *[F.col(k).asc_nulls_first() for k in keys], *order).withColumn(
-            "_chunk", F.spark_partition_id()
-        ),
+        _by_range(df, num_partitions, *in_order)
+        .sortWithinPartitions(*in_order)
+        .withColumn("_chunk", F.spark_partition_id())
+        .withColumn("_pos", F.monotonically_increasing_id()),
         "lead-chunks",
     )
-    w_chunk = W.partitionBy(*keys, "_chunk").orderBy(*order)
-    local = (
-        ranged.withColumn("_lead", F.lead(value).over(w_chunk))
-        .withColumn("_last", F.lead(F.lit(True)).over(w_chunk).isNull())
-        .withColumn("_pos", F.row_number().over(w_chunk))
+    w_chunk = W.partitionBy(*keys, "_chunk").orderBy("_pos")
+    local = ranged.withColumn("_lead", F.lead(value).over(w_chunk)).withColumn(
+        "_last", F.lead(F.lit(True)).over(w_chunk).isNull()
     )
-    # one row per (key, chunk) with its first value; a hot key has at most as
-    # many chunks as there are range partitions
-    firsts = local.where(F.col("_pos") == 1).select(*keys, "_chunk", F.col(value).alias("_first"))
+    # first value of every (key, chunk): a partial aggregate, and at most as many
+    # rows for a hot key as there are range partitions
+    firsts = ranged.groupBy(*keys, "_chunk").agg(F.min_by(F.struct(value), "_pos").alias("_first"))
     following = firsts.select(
-        *keys,
-        "_chunk",
-        F.lead("_first").over(W.partitionBy(*keys).orderBy("_chunk")).alias("_next_first"),
+        *[F.col(k).alias(f"_next_{i}") for i, k in enumerate(keys)],
+        F.col("_chunk").alias("_next_chunk"),
+        F.lead(F.col("_first")[value]).over(W.partitionBy(*keys).orderBy("_chunk")).alias("_next_first"),
     )
-    joined = local.join(following, [*keys, "_chunk"], "left")
-    result = joined.withColumn(
+    same = F.col("_chunk") == F.col("_next_chunk")
+    for i, k in enumerate(keys):
+        same = same & local[k].eqNullSafe(F.col(f"_next_{i}"))
+    result = local.join(following, same, "left").withColumn(
         out, F.when(F.col("_last"), F.col("_next_first")).otherwise(F.col("_lead"))
     )
-    return result.drop("_chunk", "_lead", "_last", "_pos", "_next_first")
+    return result.select(*df.columns, out)
 
 
 def global_row_number(
@@ -102,11 +104,8 @@ def global_row_number(
     ``order`` must be unique for the numbering to be deterministic. The sorted
     frame, tagged with partition index and position, is written once to the
     shared checkpoint folder, so the counting pass and the numbering pass read
-    identical data even if executors are lost in between. The result carries a
-    broadcast hint only when that staged table is under the broadcast
-    threshold.
+    identical data even if executors are lost in between.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     ranged = (
         _by_range(df, num_partitions, *order)
         .sortWithinPartitions(*order)
@@ -132,33 +131,9 @@ def global_row_number(
     if total:
         numbered = numbered.withColumn(total, F.col("_total").cast("long"))
     numbered = numbered.drop("_part", "_mid", "_pos", "_offset", "_total")
-    # The join with the offsets hides the staged table's size from the planner
-    # (join estimates multiply), so apply Spark's own broadcast rule here: the
-    # staged file size against autoBroadcastJoinThreshold.
-    staged = _staged_bytes(ranged)
-    if staged is not None and staged <= _broadcast_threshold(df.sparkSession):
-        numbered = F.broadcast(numbered)
     return numbered
 
 
-def _staged_bytes(df: DataFrame) -> int | None:
-    """Planner size of a staged (file-backed) table; None if unavailable, in
-    which case no hint is given and AQE decides from runtime sizes."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
-
-
-def _broadcast_threshold(spark) -> int:
-    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    for suffix in sorted(units, key=len, reverse=True):
-        if raw.endswith(suffix) and raw[: -len(suffix)].strip().lstrip("-").isdigit():
-            return int(raw[: -len(suffix)]) * units[suffix]
-    return int(raw) if raw.lstrip("-").isdigit() else 10 * (1 << 20)
-
-
 def ntile_from_row_number(rn: Column, total: Column, buckets: int) -> Column:
     """``NTILE(buckets)`` from a 1-based row number and the row count.
 

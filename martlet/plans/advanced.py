@@ -173,7 +173,10 @@ def customer_type_counts(
     min_spend: float = 3000,
     months_mode: str = "reference",
 ) -> DataFrame:
-    spend = _customer_spending(fact, customers, months_mode)
+    """How many customers are of each type; ``customers`` need only their
+    natural keys, since the surrogate is not part of the answer."""
+    keys = customers.select("customer_key", F.col("customer_key").alias("customer_id"))
+    spend = _customer_spending(fact, keys, months_mode)
     typed = spend.select(
         _customer_type(F.col("total_months"), F.col("_spend"), min_months, min_spend).alias("customer_type")
     )
@@ -184,22 +187,24 @@ def customer_type_counts(
     )
 
 
-def _per_key_metrics(fact: DataFrame, key: str, other_key: str, other_name: str) -> DataFrame:
-    """Order/sales metrics per dimension key over dated fact rows. Two distinct
-    counts make Catalyst expand the rows once per distinct column; the partial
-    aggregates on (key, distinct column) spread a hot key over many tasks."""
-    return (
-        fact.where(F.col("order_date").isNotNull() & F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(
-            F.countDistinct("order_number").alias("total_orders"),
-            F.sum("sales_amount").alias("_sales"),
-            F.sum("quantity").cast("long").alias("total_quantity"),
-            F.countDistinct(other_key).alias(other_name),
-            F.max("order_date").alias("_last"),
-            F.min("order_date").alias("_first"),
-        )
+def _per_key_metrics(lines: DataFrame, key: str, other: str, members: DataFrame, counted: str) -> DataFrame:
+    """Order and sales metrics per ``key`` over dated lines, and ``counted``
+    distinct ids of ``other`` that ``members`` knows. Sums, orders and partner
+    ids are aggregated apart, each with a partial aggregate before its shuffle,
+    and joined per key; no line is expanded or shuffled for a dimension."""
+    dated = lines.where(F.col("order_date").isNotNull() & F.col(key).isNotNull())
+    sums = dated.groupBy(key).agg(
+        F.sum("sales_amount").alias("_sales"),
+        F.sum("quantity").cast("long").alias("total_quantity"),
+        F.max("order_date").alias("_last"),
+        F.min("order_date").alias("_first"),
+        F.countDistinct("order_number").alias("total_orders"),
+    )
+    pairs = dated.where(F.col(other).isNotNull()).select(key, other).distinct()
+    partners = (
+        pairs.join(members.select(other), other, "left_semi").groupBy(key).agg(F.count(F.lit(1)).alias(counted))
     )
+    return sums.join(partners, key, "left").withColumn(counted, F.coalesce(counted, F.lit(0).cast("long")))
 
 
 def _kpis(as_of: dt.date, high: float, mid: float, labels: tuple[str, str, str], segment: str) -> list[Column]:
@@ -216,15 +221,17 @@ def _kpis(as_of: dt.date, high: float, mid: float, labels: tuple[str, str, str],
 
 
 def product_report(
-    fact: DataFrame,
+    lines: DataFrame,
     products: DataFrame,
+    customer_keys: DataFrame,
     as_of: dt.date,
     high: float = 50000,
     mid: float = 10000,
 ) -> DataFrame:
-    metrics = _per_key_metrics(fact, "product_key", "customer_key", "total_customers")
+    """One row per sold product; ``lines`` carry raw ``product_id`` and ``customer_key``."""
+    metrics = _per_key_metrics(lines, "product_id", "customer_key", customer_keys, "total_customers")
     dim = products.select("product_key", "product_id", "product_name", "category", "subcategory", "cost")
-    joined = metrics.join(dim, "product_key")
+    joined = metrics.join(dim, "product_id")
     k = _kpis(as_of, high, mid, ("High-Performer", "Mid-Range", "Low-Performer"), "revenue_segment")
     return joined.select(
         "product_key",
@@ -246,13 +253,15 @@ def product_report(
 
 
 def customer_report(
-    fact: DataFrame,
+    lines: DataFrame,
     customers: DataFrame,
+    product_ids: DataFrame,
     as_of: dt.date,
     high: float = 5000,
     mid: float = 1000,
 ) -> DataFrame:
-    metrics = _per_key_metrics(fact, "customer_key", "product_key", "total_products")
+    """One row per buying customer; ``lines`` carry raw ``product_id`` and ``customer_key``."""
+    metrics = _per_key_metrics(lines, "customer_key", "product_id", product_ids, "total_products")
     dim = customers.select(
         "customer_id", "customer_key", "first_name", "last_name", "gender", "marital_status", "country", "birth_date"
     )

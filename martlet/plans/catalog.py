@@ -127,8 +127,8 @@ register("total_order_number")(
     )
 )
 register("distinct_products")(lambda wh: explore.distinct_products(wh.fact(customers=False, surrogate=False)))
-register("distinct_counts")(lambda wh: explore.distinct_counts(wh.fact(surrogate=False)))
-register("kpi_summary")(lambda wh: explore.kpi_summary(wh.fact(surrogate=False)))
+register("distinct_counts")(lambda wh: explore.distinct_counts(wh.sales_lines, wh.customer_keys, wh.product_ids))
+register("kpi_summary")(lambda wh: explore.kpi_summary(wh.sales_lines, wh.customer_keys, wh.product_ids))
 register("customers_by_country")(lambda wh: explore.customers_by_country(wh.customer_attributes))
 register("customers_by_gender")(lambda wh: explore.customers_by_gender(wh.customer_attributes))
 register("products_by_category")(lambda wh: explore.products_by_category(wh.active_products, key="_prd_id"))
@@ -164,19 +164,21 @@ register("customer_type_fixed")(
     )
 )
 register("customer_type_counts")(
-    lambda wh: advanced.customer_type_counts(wh.fact_by_customer_id(), wh.dim_customers, **CUSTOMER_TYPE)
+    lambda wh: advanced.customer_type_counts(wh.fact_by_customer_id(), wh.customer_keys, **CUSTOMER_TYPE)
 )
 register("customer_type_counts_fixed")(
     lambda wh: advanced.customer_type_counts(
-        wh.fact_by_customer_id(), wh.dim_customers, months_mode="total_months", **CUSTOMER_TYPE
+        wh.fact_by_customer_id(), wh.customer_keys, months_mode="total_months", **CUSTOMER_TYPE
     )
 )
 register("product_report")(
-    lambda wh: advanced.product_report(wh.fact(), wh.dim_products, wh.as_of, **PRODUCT_SEGMENTS)
+    lambda wh: advanced.product_report(
+        wh.sales_lines, wh.dim_products, wh.customer_keys, wh.as_of, **PRODUCT_SEGMENTS
+    )
 )
 register("customer_report")(
     lambda wh: advanced.customer_report(
-        wh.fact_by_customer_id(products=True, surrogate=False), wh.dim_customers, wh.as_of, **CUSTOMER_SEGMENTS
+        wh.sales_lines, wh.dim_customers, wh.product_ids, wh.as_of, **CUSTOMER_SEGMENTS
     )
 )
 
@@ -211,7 +213,7 @@ def _discontinued_share(wh: Warehouse) -> DataFrame:
 
 register("version_flags")(lambda wh: insight.version_flags(wh.silver_products_with_source_end))
 register("whitespace_strip")(lambda wh: insight.strip_text_columns(wh.bronze["crm_cust_info"]))
-register("headline_kpis")(lambda wh: insight.headline_kpis(wh.fact(surrogate=False)))
+register("headline_kpis")(lambda wh: explore.headline_kpis(wh.sales_lines, wh.customer_keys, wh.product_ids))
 
 
 def _audit(wh: Warehouse) -> DataFrame:
@@ -240,7 +242,8 @@ register("cdc_merge")(
 register("stream_daily_counts")(lambda wh: daily_counts.run_daily_counts(wh.spark, wh.sf_dir))
 
 
-register("load_warehouse")(lambda wh: load.loaded_row_counts(wh, PRODUCT_SEGMENTS, CUSTOMER_SEGMENTS))
+register("csv_roundtrip")(lambda wh: load.csv_roundtrip(wh))
+register("load_warehouse")(lambda wh: load.loaded_contents(wh, PRODUCT_SEGMENTS, CUSTOMER_SEGMENTS))
 
 
 FLAGSHIP = "customer_report"

@@ -54,12 +54,36 @@ def distinct_customers(
     )
 
 
-def distinct_counts(fact: DataFrame) -> DataFrame:
-    """The three distinct counts of the KPI list in one aggregate (one scan)."""
-    return fact.agg(
-        F.countDistinct("customer_key").alias("distinct_customers"),
-        F.countDistinct("product_key").alias("distinct_products"),
-        F.countDistinct("order_number").alias("distinct_orders"),
+def matched_ids(lines: DataFrame, column: str, members: DataFrame) -> DataFrame:
+    """The distinct ids of ``column`` that a dimension knows: de-duplicated in
+    each map task first, so only ids, never lines, are shuffled and matched."""
+    ids = lines.where(F.col(column).isNotNull()).select(column).distinct()
+    return ids.join(members.select(column), column, "left_semi")
+
+
+def _counted(lines: DataFrame, customers: DataFrame, products: DataFrame, sums: list[Column]) -> DataFrame:
+    """One row: ``sums`` and ``orders`` over the lines (one distinct column, so
+    no row is expanded), and the matched ``customers`` and ``products``."""
+    names = ["customers", "products"]
+    own = lines.agg(*sums, F.countDistinct("order_number").alias("orders"))
+    columns = own.columns
+    parts = [own.select(*columns, *[F.lit(None).cast("long").alias(n) for n in names])]
+    for name, ids in zip(
+        names, (matched_ids(lines, "customer_key", customers), matched_ids(lines, "product_id", products))
+    ):
+        n = ids.agg(F.count(F.lit(1)).alias(name))
+        empty = [F.lit(None).cast(own.schema[c].dataType).alias(c) for c in columns]
+        parts.append(n.select(*empty, *[F.col(name) if m == name else F.lit(None).cast("long").alias(m) for m in names]))
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])  # three rows, made one
+    return rows.agg(*[F.max(c).alias(c) for c in [*columns, *names]])
+
+
+def distinct_counts(lines: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """The three distinct counts of the KPI list."""
+    return _counted(lines, customers, products, []).select(
+        F.col("customers").alias("distinct_customers"),
+        F.col("products").alias("distinct_products"),
+        F.col("orders").alias("distinct_orders"),
     )
 
 
@@ -81,21 +105,37 @@ KPI_METRICS = [
 ]
 
 
-def kpi_summary(fact: DataFrame) -> DataFrame:
-    """(metric, value) list of six KPIs from one scan of the fact: one
-    aggregate computes all six, then ``stack`` turns the row into six rows."""
-    one = fact.agg(
-        money(F.sum("sales_amount")).alias("total_sales"),
-        F.sum("quantity").cast("double").alias("total_quantity"),
-        money(F.avg("unit_price")).alias("avg_unit_price"),
-        F.countDistinct("customer_key").cast("double").alias("distinct_customers"),
-        F.countDistinct("product_key").cast("double").alias("distinct_products"),
-        F.countDistinct("order_number").cast("double").alias("distinct_orders"),
+def kpi_summary(lines: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """(metric, value) list of six KPIs: sums over the unjoined lines, distinct
+    counts of de-duplicated ids, and ``stack`` to turn the row into six."""
+    sums = [
+        F.sum("sales_amount").alias("sales"),
+        F.sum("quantity").alias("quantity"),
+        F.avg("unit_price").alias("price"),
+    ]
+    one = _counted(lines, customers, products, sums).select(
+        money("sales").alias("total_sales"),
+        F.col("quantity").cast("double").alias("total_quantity"),
+        money("price").alias("avg_unit_price"),
+        F.col("customers").cast("double").alias("distinct_customers"),
+        F.col("products").cast("double").alias("distinct_products"),
+        F.col("orders").cast("double").alias("distinct_orders"),
     )
     args = ", ".join(f"'{label}', {col}" for label, col in KPI_METRICS)
     return one.select(F.expr(f"stack({len(KPI_METRICS)}, {args}) AS (metric, value)"))
 
 
+def headline_kpis(lines: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    one = _counted(lines, customers, products, [F.sum("sales_amount").alias("sales")])
+    return one.select(
+        money("sales").alias("total_revenue"),
+        F.col("orders").alias("total_orders"),
+        money(F.round(F.col("sales") / F.nullif(F.col("orders"), F.lit(0)), 2)).alias("avg_order_value"),
+        F.col("customers").alias("unique_customers"),
+        F.col("products").alias("products_sold"),
+    )
+
+
 def customers_by_dimension(customers: DataFrame, column: str) -> DataFrame:
     return customers.groupBy(column).agg(F.countDistinct("customer_key").alias("total_customers"))
 

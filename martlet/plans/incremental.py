@@ -1,4 +1,4 @@
-"""Incremental loads: append-only by high-water mark, and change-data merge.
+"""Incremental loads: append by high-water mark, and change-data merge.
 
 Tables live under the session's checkpoint folder (shared storage on a
 cluster); each run writes a fresh folder so reruns never see stale data.
@@ -6,38 +6,44 @@ cluster); each run writes a fresh folder so reruns never see stale data.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.operators.windows import latest_per_key
-from martlet.session import ensure_checkpoint_dir
-
+from martlet.session import work_path
 
-def work_path(spark: SparkSession, name: str) -> str:
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/martlet-{name}-{uuid.uuid4().hex}"
+CUSTOMER_SNAPSHOT = (
+    "cst_id", "cst_key", "cst_firstname", "cst_lastname", "cst_marital_status", "cst_gndr", "cst_create_date"
+)
 
 
 def append_new_rows(spark: SparkSession, target_path: str, source: DataFrame, ts_col: str) -> DataFrame:
-    """Append the source rows newer than the target's high-water mark.
-
-    The mark is one scalar (``max(ts_col)`` of the target); as a literal in the
-    filter it is pushed to the source scan. Rows with a NULL timestamp are
-    never newer than the mark and are not loaded.
+    """Append the source rows that the target does not hold yet.
+
+    The target's high-water mark is one scalar (``max(ts_col)``). Everything
+    after it is new. Rows of the mark itself may have arrived since, and rows
+    without a timestamp have no place on either side of it, so those two slices
+    of source and target are compared as multisets and the surplus is appended.
+    As a literal the mark is pushed to the source scan. A second run over the
+    same source appends nothing.
     """
-    mark = spark.read.parquet(target_path).agg(F.max(ts_col)).first()[0]
-    new = source.where(F.col(ts_col).isNotNull())
-    if mark is not None:
-        new = new.where(F.col(ts_col) > F.lit(mark))
-    new.write.mode("append").parquet(target_path)
+    target = spark.read.parquet(target_path)
+    mark = target.agg(F.max(ts_col)).first()[0]
+    if mark is None:
+        unsure = F.col(ts_col).isNull()
+        new = source.where(F.col(ts_col).isNotNull())
+    else:
+        unsure = (F.col(ts_col) == F.lit(mark)) | F.col(ts_col).isNull()
+        new = source.where(F.col(ts_col) > F.lit(mark))
+    late = source.where(unsure).exceptAll(target.where(unsure).select(*source.columns))
+    new.unionByName(late).write.mode("append").parquet(target_path)
     return spark.read.parquet(target_path)
 
 
 def incremental_load(spark: SparkSession, source: DataFrame, ts_col: str, initial_before) -> DataFrame:
-    """Initial full load of rows dated before ``initial_before``, then one
-    incremental run over the whole source."""
+    """Initial full load of the rows dated before ``initial_before``, then one
+    incremental run over the whole source: every source row is in the target
+    once, those without a date included."""
     path = work_path(spark, "incremental")
     source.where(F.col(ts_col) < F.lit(initial_before)).write.mode("overwrite").parquet(path)
     return append_new_rows(spark, path, source, ts_col)
@@ -58,24 +64,66 @@ def customer_change_feed(orders: DataFrame) -> DataFrame:
     )
 
 
-def cdc_merge(base: DataFrame, changes: DataFrame) -> DataFrame:
-    """Merge a change feed into a snapshot keyed by ``cst_id``: the latest
-    record per key wins (by change date, then sequence; the snapshot row counts
-    as a change at its create date), and a winning delete removes the key.
-    One union and one keep-latest shuffle; no join."""
-    snapshot = base.select(
-        "cst_id",
-        "cst_key",
-        "cst_marital_status",
-        F.col("cst_create_date").alias("change_date"),
-        F.lit(-1).cast("long").alias("change_seq"),
-        F.lit("U").alias("op"),
-        F.lit("base").alias("source"),
-    )
-    feed = changes.withColumn("source", F.lit("change"))
-    latest = latest_per_key(
-        snapshot.unionByName(feed), "cst_id", [F.desc_nulls_last("change_date"), F.desc("change_seq")]
-    )
-    return latest.where(F.col("op") != "D").select(
-        "cst_id", "cst_key", "cst_marital_status", F.col("change_date").alias("last_change_date"), "source"
+def merged(base: DataFrame, changes: DataFrame) -> DataFrame:
+    """A change feed merged into a snapshot keyed by ``cst_id``.
+
+    Of each key's changes the latest (by date, then sequence) counts, if it is
+    not older than the snapshot row (its ``last_change_date``, or its create
+    date). An update lays its columns over the snapshot row, whose other columns
+    stay; a key that only the feed knows becomes a new row; a delete removes the
+    key. Keep-latest is cut to a row for each key and map task before it moves."""
+    latest = latest_per_key(changes, "cst_id", [F.desc_nulls_last("change_date"), F.desc("change_seq")])
+    feed = latest.select(
+        F.col("cst_id").alias("ch_id"),
+        F.col("cst_key").alias("ch_key"),
+        F.col("cst_marital_status").alias("ch_marital"),
+        "change_date",
+        "op",
     )
+    known = base if "last_change_date" in base.columns else base.withColumn("last_change_date", F.col("cst_create_date"))
+    if "source" not in known.columns:
+        known = known.withColumn("source", F.lit("base"))
+    both = known.join(feed, known["cst_id"] == F.col("ch_id"), "full_outer")
+    # an undated change is older than a dated row
+    older = F.coalesce(F.col("change_date") < F.col("last_change_date"), F.col("last_change_date").isNotNull())
+    takes = F.col("ch_id").isNotNull() & (F.col("cst_id").isNull() | ~older)
+    columns = {
+        "cst_id": F.coalesce("cst_id", "ch_id"),
+        "cst_key": F.when(takes, F.col("ch_key")).otherwise(F.col("cst_key")),
+        "cst_marital_status": F.when(takes, F.col("ch_marital")).otherwise(F.col("cst_marital_status")),
+        "last_change_date": F.when(takes, F.col("change_date")).otherwise(F.col("last_change_date")),
+        "source": F.when(takes, F.lit("change")).otherwise(F.col("source")),
+    }
+    out = both.where(~(takes & (F.col("op") == "D")))
+    return out.select(*[columns.get(c, F.col(c)).alias(c) for c in [*CUSTOMER_SNAPSHOT, "last_change_date", "source"]])
+
+
+def cdc_merge(base: DataFrame, changes: DataFrame, target_path: str | None = None) -> DataFrame:
+    """Rewrite the target table at ``target_path`` (a fresh one is created from
+    ``base``) with ``changes`` merged in, and return it.
+
+    The merged rows go to a new version folder and the target is the newest
+    complete version, so a failed merge leaves the target as it was and a rerun
+    gives the same rows."""
+    spark = base.sparkSession
+    target_path = target_path or work_path(spark, "customers")
+    previous = newest_version(spark, target_path)
+    current = base if previous is None else spark.read.parquet(f"{target_path}/v={previous}")
+    version = 0 if previous is None else previous + 1
+    merged(current, changes).write.mode("overwrite").parquet(f"{target_path}/v={version}")
+    return spark.read.parquet(f"{target_path}/v={version}")
+
+
+def newest_version(spark: SparkSession, target_path: str) -> int | None:
+    """The highest version whose write was committed; None without any."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(target_path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None
+    done = []
+    for status in fs.listStatus(root):
+        at = status.getPath()
+        if at.getName().startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(at, "_SUCCESS")):
+            done.append(int(at.getName()[2:]))
+    return max(done, default=None)

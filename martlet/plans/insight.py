@@ -134,7 +134,7 @@ def age_gender(fact: DataFrame, customers: DataFrame, as_of: dt.date) -> DataFra
     groups = (
         per_customer.join(dim, "customer_key")
         .groupBy("age_group", "gender")
-        .agg(F.sum("_s").alias("_s"), F.countDistinct("customer_key").alias("total_customers"))
+        .agg(F.sum("_s").alias("_s"), F.count(F.lit(1)).alias("total_customers"))
     )
     return groups.select(
         "age_group",
@@ -172,7 +172,9 @@ def top_products_aov(fact: DataFrame, products: DataFrame, k: int = 10) -> DataF
 
 def gross_margin(fact: DataFrame, products: DataFrame) -> DataFrame:
     """Sales, cost of goods (quantity x product cost) and margin per category,
-    plus the blended all-category row (``is_total = 1``) from a rollup."""
+    plus the all-category row (``is_total = 1``) from a rollup: its
+    ``gross_margin`` is blended (all sales against all costs), its
+    ``mean_margin`` the plain mean of the categories' margins."""
     per_product = (
         fact.where(F.col("product_key").isNotNull())
         .groupBy("product_key")
@@ -184,12 +186,16 @@ def gross_margin(fact: DataFrame, products: DataFrame) -> DataFrame:
     rolled = joined.rollup("category").agg(
         F.sum("_s").alias("_s"), F.sum("_c").alias("_c"), F.grouping("category").cast("int").alias("is_total")
     )
+    margin = F.try_divide((F.col("_s") - F.col("_c")).cast("double"), F.col("_s").cast("double"))
+    # a window over one row per category
+    mean = F.avg(F.when(F.col("is_total") == 0, margin)).over(W.partitionBy())
     return rolled.select(
         "category",
         "is_total",
         money("_s").alias("total_sales"),
         money("_c").alias("total_cost"),
-        F.try_divide((F.col("_s") - F.col("_c")).cast("double"), F.col("_s").cast("double")).alias("gross_margin"),
+        margin.alias("gross_margin"),
+        F.when(F.col("is_total") == 1, F.round(mean, 9)).alias("mean_margin"),
     ).orderBy("is_total", F.desc_nulls_last("total_sales"))
 
 
@@ -227,7 +233,7 @@ def revenue_per_customer_country(fact: DataFrame, customers: DataFrame) -> DataF
     countries = (
         per_customer.join(customers.select("customer_key", "country"), "customer_key")
         .groupBy("country")
-        .agg(F.sum("_s").alias("_s"), F.countDistinct("customer_key").alias("total_customers"))
+        .agg(F.sum("_s").alias("_s"), F.count(F.lit(1)).alias("total_customers"))
     )
     return countries.select(
         "country",
@@ -279,19 +285,3 @@ def strip_text_columns(df: DataFrame) -> DataFrame:
             for f in df.schema.fields
         ]
     )
-
-
-def headline_kpis(fact: DataFrame) -> DataFrame:
-    agg = fact.agg(
-        F.sum("sales_amount").alias("_s"),
-        F.countDistinct("order_number").alias("total_orders"),
-        F.countDistinct("customer_key").alias("unique_customers"),
-        F.countDistinct("product_key").alias("products_sold"),
-    )
-    return agg.select(
-        money("_s").alias("total_revenue"),
-        "total_orders",
-        _round_cents(F.col("_s"), F.col("total_orders")).alias("avg_order_value"),
-        "unique_customers",
-        "products_sold",
-    )

@@ -1,23 +1,61 @@
-"""Full warehouse load: bronze and silver as tables, gold dimensions as tables,
-fact and report views on top.
+"""Full warehouse load: bronze, silver and gold as written layers, each read
+from the one before.
 
 Namespaces are created if missing; every table write is an overwrite (the
 drop-and-create / truncate-and-insert of the source system), so a rerun leaves
 the same tables. Silver and gold tables carry the ``dwh_create_date`` audit
-column. Table data goes under one fresh folder in the shared checkpoint folder.
+column. ``gold.fact_sales`` is a catalogue view over silver and gold tables, as
+in the source system; the two reports are refreshed tables, so that readers do
+not recompute them. Table data goes under one fresh folder in the shared
+checkpoint folder.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import cached_property
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from martlet.operators import gold
 from martlet.operators import silver as silver_ops
 from martlet.plans import advanced
-from martlet.plans.incremental import work_path
 from martlet.plans.warehouse import Warehouse
-from martlet.schemas import BRONZE, SILVER
-from martlet.sources import sinks
+from martlet.schemas import AUDIT_COLUMN, BRONZE, SILVER
+from martlet.session import work_path
+from martlet.sources import files, sinks
+
+
+class LoadedWarehouse(Warehouse):
+    """The same layers, read from the tables that a load wrote."""
+
+    def __init__(self, spark: SparkSession, as_of):
+        super().__init__(spark, "", as_of)
+
+    @cached_property
+    def bronze(self) -> dict[str, DataFrame]:
+        return {name: self.spark.table(f"bronze.{name}") for name in BRONZE}
+
+    @cached_property
+    def silver(self) -> dict[str, DataFrame]:
+        return {name: self.spark.table(f"silver.{name}").drop(AUDIT_COLUMN) for name in SILVER}
+
+    @cached_property
+    def active_products(self) -> DataFrame:
+        return gold.active_products(self.silver["crm_prd_info"], self.silver["erm_product_category"])
+
+
+FACT_VIEW = """
+CREATE OR REPLACE VIEW gold.fact_sales AS
+SELECT s.sls_ord_num AS order_number, p.product_key, c.customer_key, s.sls_order_dt AS order_date,
+       s.sls_ship_dt AS shipping_date, s.sls_due_dt AS due_date, s.sls_sales AS sales_amount,
+       s.sls_quantity AS quantity, s.sls_price AS unit_price
+FROM silver.crm_sales_details s
+LEFT JOIN gold.dim_products p ON p.product_id = s.sls_prd_key
+LEFT JOIN gold.dim_customers c ON c.customer_key = s.sls_cust_id
+"""
+
 
 def load_warehouse(wh: Warehouse, product_segments: dict, customer_segments: dict) -> dict[str, str]:
     """Write every layer; return ``{layer.table: kind}`` for what was created."""
@@ -26,51 +64,77 @@ def load_warehouse(wh: Warehouse, product_segments: dict, customer_segments: dic
     sinks.create_namespaces(spark, root=root)
     created: dict[str, str] = {}
 
+    def write(df: DataFrame, layer: str, name: str, schema: T.StructType | None = None) -> None:
+        path = f"{root}/{layer}/{name}"
+        sinks.overwrite_table(df, f"{layer}.{name}", schema, audit=layer != "bronze", path=path)
+        created[f"{layer}.{name}"] = "table"
+
     for name, schema in BRONZE.items():
-        sinks.overwrite_table(wh.bronze[name], f"bronze.{name}", schema, audit=False, path=f"{root}/bronze/{name}")
-        created[f"bronze.{name}"] = "table"
-    # silver reads the written bronze tables, as a scheduled load would
-    bronze_tables = {name: spark.table(f"bronze.{name}") for name in BRONZE}
-    cleaned = silver_ops.silver_tables(bronze_tables, wh.as_of)
+        write(wh.bronze[name], "bronze", name, schema)
+    loaded = LoadedWarehouse(spark, wh.as_of)
+    cleaned = silver_ops.silver_tables(loaded.bronze, wh.as_of)
     for name, schema in SILVER.items():
-        sinks.overwrite_table(cleaned[name], f"silver.{name}", schema, path=f"{root}/silver/{name}")
-        created[f"silver.{name}"] = "table"
-
-    sinks.overwrite_table(wh.dim_customers, "gold.dim_customers", path=f"{root}/gold/dim_customers")
-    sinks.overwrite_table(wh.dim_products, "gold.dim_products", path=f"{root}/gold/dim_products")
-    created["gold.dim_customers"] = "table"
-    created["gold.dim_products"] = "table"
-
-    fact = wh.fact()
-    views = {
-        "fact_sales": fact,
-        "rpt_product_report": advanced.product_report(
-            fact, spark.table("gold.dim_products"), wh.as_of, **product_segments
-        ),
-        "rpt_customer_report": advanced.customer_report(
-            fact, spark.table("gold.dim_customers"), wh.as_of, **customer_segments
-        ),
-    }
-    for name, df in views.items():
-        sinks.create_view(df, f"gold_{name}")
-        created[f"gold.{name}"] = "view"
+        write(cleaned[name], "silver", name, schema)
+    write(loaded.dim_customers, "gold", "dim_customers")
+    write(loaded.dim_products, "gold", "dim_products")
+    spark.sql(FACT_VIEW)
+    created["gold.fact_sales"] = "view"
+    products, customers = spark.table("gold.dim_products"), spark.table("gold.dim_customers")
+    write(
+        advanced.product_report(loaded.sales_lines, products, customers, wh.as_of, **product_segments),
+        "gold",
+        "rpt_product_report",
+    )
+    write(
+        advanced.customer_report(loaded.sales_lines, customers, products, wh.as_of, **customer_segments),
+        "gold",
+        "rpt_customer_report",
+    )
     return created
 
 
-def loaded_row_counts(wh: Warehouse, product_segments: dict, customer_segments: dict) -> DataFrame:
-    """Run the load, then count the rows of every table and view it created."""
+def _cell(f: T.StructField) -> Column:
+    """A value as text that every engine writes alike: money with its decimals,
+    other numbers as they are, whole doubles in cents."""
+    c = F.col(f.name)
+    if isinstance(f.dataType, T.DoubleType):
+        c = F.round(c * 100).cast("bigint")
+    return F.coalesce(c.cast("string"), F.lit("~"))
+
+
+def content(df: DataFrame) -> Column:
+    """Order-free digest of a table's rows: the sum of each row's md5 prefix."""
+    fields = sorted((f for f in df.schema.fields if f.name != AUDIT_COLUMN), key=lambda f: f.name)
+    row = F.concat_ws("|", *[_cell(f) for f in fields])
+    return F.sum(F.conv(F.substring(F.md5(row), 1, 8), 16, 10).cast("bigint"))
+
+
+def loaded_contents(wh: Warehouse, product_segments: dict, customer_segments: dict) -> DataFrame:
+    """Run the load, then rows, content digest and rows without an audit date
+    of every table and view it created, each read back once."""
     created = load_warehouse(wh, product_segments, customer_segments)
-    spark = wh.spark
-    parts = []
+    out = None
     for qualified, kind in created.items():
         layer, name = qualified.split(".", 1)
-        source = spark.table(f"gold_{name}") if kind == "view" else spark.table(qualified)
-        parts.append(
-            source.agg(F.count(F.lit(1)).alias("row_count")).select(
-                F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), F.lit(kind).alias("kind"), "row_count"
-            )
+        source = wh.spark.table(qualified)
+        undated = F.count_if(F.col(AUDIT_COLUMN).isNull()) if AUDIT_COLUMN in source.columns else F.lit(0)
+        part = source.agg(
+            F.count(F.lit(1)).alias("row_count"), content(source).alias("content"), undated.cast("long").alias("undated")
+        ).select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), F.lit(kind).alias("kind"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def csv_roundtrip(wh: Warehouse) -> DataFrame:
+    """The customer, product and sales extracts written as CSV to the work
+    folder and read back with the typed reader: rows and content of each."""
+    out = None
+    for name in ("crm_cust_info", "crm_prd_info", "crm_sales_details"):
+        path = work_path(wh.spark, f"csv-{name}")
+        files.write_csv(wh.bronze[name], path)
+        back = files.read_csv(wh.spark, path, name)
+        part = back.agg(F.count(F.lit(1)).alias("row_count"), content(back).alias("content")).select(
+            F.lit(name).alias("table_name"), "*"
         )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        out = part if out is None else out.unionByName(part)
     return out

@@ -204,4 +204,5 @@ def dq_checks(audit: DataFrame) -> DataFrame:
     measured_row = wide.select(*exprs)
     args = ", ".join(f"'{name}', `{name}`, CAST({float(th)!r} AS DOUBLE)" for name, _, _, th in DQ_RULES)
     rules = measured_row.select(F.expr(f"stack({len(DQ_RULES)}, {args}) AS (check_name, measured, threshold)"))
-    return rules.withColumn("passed", F.col("measured") <= F.col("threshold"))
+    # a rate that could not be measured has not passed
+    return rules.withColumn("passed", F.coalesce(F.col("measured") <= F.col("threshold"), F.lit(False)))

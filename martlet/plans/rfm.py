@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from martlet.operators.windows import global_row_number, ntile_from_row_number
 from martlet.plans.explore import money
+from martlet.session import stage_table
 
 BUCKETS = 5
 
@@ -38,18 +39,26 @@ def customer_rfm_base(fact: DataFrame, as_of: dt.date, customers: DataFrame | No
     return per
 
 
-def _score(df: DataFrame, order: list, name: str) -> DataFrame:
-    numbered = global_row_number(df, order, "_rn", total="_n")
-    return numbered.withColumn(name, ntile_from_row_number(F.col("_rn"), F.col("_n"), BUCKETS)).drop("_rn", "_n")
+def _score(base: DataFrame, order: list, name: str) -> DataFrame:
+    """(customer_key, score) from a narrow numbering: the key and its metric."""
+    numbered = global_row_number(base, order, "_rn", total="_n")
+    return numbered.select("customer_key", ntile_from_row_number(F.col("_rn"), F.col("_n"), BUCKETS).alias(name))
 
 
 def rfm_scores(fact: DataFrame, as_of: dt.date, customers: DataFrame | None = None) -> DataFrame:
     """Scores 1..5 where 5 is best: most recent, most frequent, highest spend.
-    Ties are ordered by customer key so every score is deterministic."""
-    base = customer_rfm_base(fact, as_of, customers)
-    scored = _score(base, [F.desc("recency_days"), F.asc("customer_key")], "r_score")
-    scored = _score(scored, [F.asc("frequency"), F.asc("customer_key")], "f_score")
-    scored = _score(scored, [F.asc_nulls_first("_monetary"), F.asc("customer_key")], "m_score")
+    Ties are ordered by customer key so every score is deterministic. The
+    per-customer metrics are staged once; three (key, metric) projections are
+    numbered and joined back."""
+    base = stage_table(customer_rfm_base(fact, as_of, customers), "rfm-base")
+    key = F.asc("customer_key")
+    scored = base
+    for metric, name, first in (
+        ("recency_days", "r_score", F.desc("recency_days")),
+        ("frequency", "f_score", F.asc("frequency")),
+        ("_monetary", "m_score", F.asc_nulls_first("_monetary")),
+    ):
+        scored = scored.join(_score(base.select("customer_key", metric), [first, key], name), "customer_key")
     return scored.select(
         "customer_key",
         "recency_days",

@@ -22,6 +22,8 @@ DEFAULT_AS_OF = dt.date(2002, 1, 1)
 
 
 class Warehouse:
+    """Layers over one source folder."""
+
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF):
         self.spark = spark
         self.sf_dir = sf_dir
@@ -102,6 +104,18 @@ class Warehouse:
             dim = self.dim_products if surrogate else self.products_by_version
         return gold.fact_sales(self.silver["crm_sales_details"], dim, None, raw_customer_key=True)
 
+    @cached_property
+    def sales_lines(self) -> DataFrame:
+        """The fact with the lines' own customer ids (``customer_key``) and
+        product ids (``product_id``): no dimension join. For queries that
+        aggregate or de-duplicate ids first and match them afterwards."""
+        return gold.fact_sales(self.silver["crm_sales_details"], raw_customer_key=True, raw_product_id=True)
+
+    @cached_property
+    def product_ids(self) -> DataFrame:
+        """Natural keys of the product dimension, one-to-one with its surrogate."""
+        return self.active_products.select("product_id")
+
     def fact(self, products: bool = True, customers: bool = True, surrogate: bool = True) -> DataFrame:
         """``fact_sales``; pass ``False`` for a dimension whose key the caller
         never reads, and that join is left out (it cannot change row counts).

@@ -7,11 +7,16 @@ create one of our own, as tests and the local bench need.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
+# (session, folder) of everything staged by this process
+_STAGED: list[tuple[SparkSession, str]] = []
+
 # Settings every mart session wants: AQE for runtime re-planning (coalescing,
 # skew-join splitting, runtime broadcast by measured size), UTC so dates derived
 # from timestamps do not shift, and no web UI.
@@ -84,15 +89,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def work_path(spark: SparkSession, label: str) -> str:
+    """A fresh folder in the shared checkpoint folder, removed by
+    ``release_staged`` or when the driver process ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/martlet-{label}-{uuid.uuid4().hex}"
+    if not _STAGED:
+        atexit.register(release_staged)
+    _STAGED.append((spark, path))
+    return path
+
+
 def stage_table(df, label: str):
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read
     it back: cuts the lineage (a lost executor never forces a recompute of the
     stage) and gives the planner the real file size, so a small result is
     broadcast by ``autoBroadcastJoinThreshold`` and a large one is not."""
-    import uuid
-
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/martlet-{label}-{uuid.uuid4().hex}"
+    path = work_path(spark, label)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def release_staged(spark: SparkSession | None = None) -> int:
+    """Delete the work folders of ``spark`` (or of every session still running);
+    DataFrames that read them must be done with. Returns how many went."""
+    gone = 0
+    for owner, path in list(_STAGED):
+        if spark is not None and owner is not spark:
+            continue
+        _STAGED.remove((owner, path))
+        context = owner.sparkContext
+        if context._jsc is None:  # stopped: its folders are the platform's to clean
+            continue
+        at = context._jvm.org.apache.hadoop.fs.Path(path)
+        gone += bool(at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True))
+    return gone

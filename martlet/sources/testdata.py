@@ -6,16 +6,19 @@ categories). This module derives each of them from the given tables with
 deterministic column expressions, so every bronze row comes from a real row
 and the work grows with the data:
 
-* ``crm_cust_info``        <- customer
+* ``crm_cust_info``        <- customer, some with an older second row or a row without id
 * ``erm_customers``        <- customer (ids partly ``NAS``-prefixed, free-form gender)
 * ``erm_customer_location``<- customer join nation (ids with a dash, country codes)
 * ``crm_prd_info``         <- part; parts sharing (name, type, brand) are versions
                               of one product, ordered by a start date
 * ``erm_product_category`` <- distinct (type, brand) of part
-* ``crm_sales_details``    <- lineitem join orders join part (one row per line)
+* ``crm_sales_details``    <- lineitem left join orders left join part (one row per line)
 
 Dirty values the cleaning layer must repair (bad date codes, negative, zero or
-missing money) are injected by fixed rules on the row keys, listed below.
+missing money; repeated and missing customer ids, locations and categories
+that match nothing, lines of unknown customers and products) are injected by
+fixed rules on the row keys, listed below. All other lines satisfy
+sales = quantity * price.
 """
 
 from __future__ import annotations
@@ -54,6 +57,14 @@ DUE_DAYS = 30  # due date = order date + 30 days
 # damage selector d = (l_orderkey * 7 + l_linenumber) % 100:
 #   0 sales negated, 1 sales NULL, 2 sales 0, 3 price NULL, 4 price negated,
 #   5 price 0, 6 sales and price NULL, 7 ship date '0'
+OLDER_ROW = (50, 7)  # custkey % 50 = 7 -> a second row, created 100 days earlier
+NO_ID_ROW = (100, 13)  # custkey % 100 = 13 -> a second row without id
+STRAY_LOCATION = (40, 11)  # custkey % 40 = 11 -> the location's id has another prefix
+STRAY_LOCATION_PREFIX = "AX"
+STRAY_CATEGORY_BRAND = "Brand#13"  # its categories carry another id
+UNKNOWN_CUSTOMER = (211, 5)  # orderkey % 211 = 5 -> a customer id below zero
+UNKNOWN_PRODUCT = (223, 9)  # orderkey % 223 = 9 -> a product key with a prefix
+UNKNOWN_PRODUCT_PREFIX = "XX-"
 # -----------------------------------------------------------------------------
 
 
@@ -69,6 +80,11 @@ def _pick(index: Column, values: list) -> Column:
     return out
 
 
+def _hits(key: Column, rule: tuple[int, int]) -> Column:
+    """The row's key is one of every ``rule[0]``."""
+    return F.pmod(key, F.lit(rule[0])) == rule[1]
+
+
 def _days_after(base: str, days: Column) -> Column:
     return F.date_add(F.lit(base).cast("date"), days.cast("int"))
 
@@ -79,14 +95,24 @@ def customer_key(custkey: Column) -> Column:
 
 def bronze_crm_cust_info(customer: DataFrame) -> DataFrame:
     k = F.col("c_custkey")
+    # 0 the customer's row, 1 an older row, 2 a row without id
+    rows = F.array_compact(
+        F.array(
+            F.lit(0),
+            F.when(_hits(k, OLDER_ROW), F.lit(1)),
+            F.when(_hits(k, NO_ID_ROW), F.lit(2)),
+        )
+    )
+    customer = customer.select("*", F.explode(rows).alias("_row"))
+    row = F.col("_row")
     out = customer.select(
-        k.alias("cst_id"),
+        F.when(row != 2, k).alias("cst_id"),
         customer_key(k).alias("cst_key"),
         F.concat(F.lit(" "), F.substring_index("c_name", "#", 1), F.lit(" ")).alias("cst_firstname"),
         F.substring_index("c_name", "#", -1).alias("cst_lastname"),
         _pick(k % 6, MARITAL_BY_KEY).alias("cst_marital_status"),
         F.substring("c_mktsegment", 1, 1).alias("cst_gndr"),
-        _days_after(CREATE_DATE_BASE, k % 1000).alias("cst_create_date"),
+        _days_after(CREATE_DATE_BASE, k % 1000 - F.when(row == 1, 100).otherwise(0)).alias("cst_create_date"),
     )
     return _conform(out, "crm_cust_info")
 
@@ -112,7 +138,11 @@ def bronze_erm_customer_location(customer: DataFrame, nation: DataFrame) -> Data
         country = F.when(n == key, lit) if country is None else country.when(n == key, lit)
     country = country.otherwise(F.concat(F.lit(" "), F.col("n_name")))
     out = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left").select(
-        F.concat(F.lit(CUSTOMER_KEY_PREFIX + "-"), F.col("c_custkey").cast("string")).alias("cid"),
+        F.concat(
+            F.when(_hits(F.col("c_custkey"), STRAY_LOCATION), STRAY_LOCATION_PREFIX).otherwise(CUSTOMER_KEY_PREFIX),
+            F.lit("-"),
+            F.col("c_custkey").cast("string"),
+        ).alias("cid"),
         country.alias("country"),
     )
     return _conform(out, "erm_customer_location")
@@ -146,7 +176,10 @@ def bronze_crm_prd_info(part: DataFrame) -> DataFrame:
 
 def bronze_erm_product_category(part: DataFrame) -> DataFrame:
     cats = part.select(
-        F.replace(category_code(), F.lit("-"), F.lit("_")).alias("id"),
+        F.concat(
+            F.replace(category_code(), F.lit("-"), F.lit("_")),
+            F.when(F.col("p_brand") == STRAY_CATEGORY_BRAND, "?").otherwise(""),
+        ).alias("id"),
         F.col("p_type").alias("category"),
         F.col("p_brand").alias("subcategory"),
         F.when(F.col("p_type").isin(*MAINTENANCE_TYPES), "Yes").otherwise("No").alias("maintenance"),
@@ -166,20 +199,23 @@ def bronze_crm_sales_details(lineitem: DataFrame, orders: DataFrame, part: DataF
     )
     od = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     pt = part.select("p_partkey", product_code().alias("_prd_code"))
-    rows = li.join(od, li.l_orderkey == od.o_orderkey).join(pt, li.l_partkey == pt.p_partkey)
+    # left joins: a line without its order or part stays, as a line of nothing known
+    rows = li.join(od, li.l_orderkey == od.o_orderkey, "left").join(pt, li.l_partkey == pt.p_partkey, "left")
 
-    okey = F.col("o_orderkey")
+    okey = F.col("l_orderkey")
     d = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 100
     qty = F.col("l_quantity").cast("int")
-    sales = F.col("l_extendedprice").cast(MONEY)
-    price = (sales / qty).cast(MONEY)
+    price = (F.col("l_extendedprice").cast(MONEY) / F.nullif(qty, F.lit(0))).cast(MONEY)
+    sales = (qty * price).cast(MONEY)
     order_date = F.col("o_orderdate").cast("date")
     null_money = F.lit(None).cast(MONEY)
 
     out = rows.select(
         F.concat(F.lit(ORDER_NUMBER_PREFIX), okey.cast("string")).alias("sls_ord_num"),
-        F.col("_prd_code").alias("sls_prd_key"),
-        F.col("o_custkey").alias("sls_cust_id"),
+        F.when(_hits(okey, UNKNOWN_PRODUCT), F.concat(F.lit(UNKNOWN_PRODUCT_PREFIX), "_prd_code"))
+        .otherwise(F.col("_prd_code"))
+        .alias("sls_prd_key"),
+        F.when(_hits(okey, UNKNOWN_CUSTOMER), -1 - F.col("o_custkey")).otherwise(F.col("o_custkey")).alias("sls_cust_id"),
         F.when(okey % BAD_ORDER_DATE_ZERO == 0, "0")
         .when(okey % BAD_ORDER_DATE_SHORT == 0, "5489")
         .otherwise(_yyyymmdd(order_date))

@@ -10,13 +10,11 @@ bounded by the watermark.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlet.plans.incremental import work_path
+from martlet.session import work_path
 
 
 def daily_counts_stream(events: DataFrame, watermark: str = "1 hour") -> DataFrame:
@@ -31,57 +29,67 @@ def daily_counts_stream(events: DataFrame, watermark: str = "1 hour") -> DataFra
     )
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path of any file system Spark reads is a folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory()
+
+
 def run_daily_counts(
     spark: SparkSession,
     source_dir: str,
     file_glob: str = "events.parquet",
     schema: T.StructType | None = None,
     watermark: str = "1 hour",
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int = 1_000,
     state_partitions: int | None = None,
 ) -> DataFrame:
     """Process everything available (``availableNow``) and return the final
     daily counts as a batch DataFrame (day, event_type, events).
 
-    Streaming state is partitioned by the shuffle-partition count in force
-    when the query first starts (it is then fixed in its checkpoint) and is
-    not coalesced by AQE; ``state_partitions`` (default: the cluster's core
-    count) sets it for this query only."""
+    ``file_glob`` names a table folder of part files, a single file, or a
+    pattern of files in ``source_dir``. At most ``max_files_per_trigger`` files
+    make a micro-batch, which bounds its size; files must arrive in event-time
+    order to within the watermark from one micro-batch to the next. State is kept
+    on disk (RocksDB) in ``state_partitions`` partitions (default: the cluster's
+    core count). Both settings are made in a session of the query's own."""
+    folder = f"{source_dir.rstrip('/')}/{file_glob}"
+    whole_table = "*" not in file_glob and is_folder(spark, folder)
     if schema is None:
-        schema = spark.read.parquet(os.path.join(source_dir, file_glob)).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    counts = daily_counts_stream(reader.parquet(source_dir), watermark)
+        schema = spark.read.parquet(folder).schema
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
+    own.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    reader = own.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+    events = reader.parquet(folder) if whole_table else reader.option("pathGlobFilter", file_glob).parquet(source_dir)
+    counts = daily_counts_stream(events, watermark)
 
     out = work_path(spark, "daily-counts")
     checkpoint = work_path(spark, "daily-counts-state")
+    # the answer exists, empty, before the first micro-batch: a read error later is an error
+    batched = counts.schema.add("_batch", "long")
+    spark.createDataFrame([], batched).write.parquet(out)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("_batch", F.lit(batch_id).cast("long")).write.mode("append").parquet(out)
 
-    if state_partitions is None:
-        state_partitions = spark.sparkContext.defaultParallelism
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
-        query = (
-            counts.writeStream.outputMode("update")
-            .foreachBatch(write_batch)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
+    query = (
+        counts.writeStream.outputMode("update")
+        .foreachBatch(write_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
     query.awaitTermination()
-    result_schema = "day date, event_type string, events bigint"
-    try:
-        written = spark.read.parquet(out)
-    except Exception:  # no micro-batch wrote anything: empty input
-        return spark.createDataFrame([], result_schema)
-    latest = written.groupBy("window", "event_type").agg(
-        F.max_by("events", "_batch").alias("events")
+    latest = (
+        spark.read.schema(batched)
+        .parquet(out)
+        .groupBy("window", "event_type")
+        .agg(F.max_by("events", "_batch").alias("events"))
     )
     return latest.select(
         F.col("window.start").cast("date").alias("day"), "event_type", F.col("events").cast("long").alias("events")

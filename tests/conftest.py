@@ -9,7 +9,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 if ROOT not in sys.path:
     sys.path.insert(0, ROOT)
 
-from martlet.session import build_session  # noqa: E402
+from martlet.session import build_session, release_staged  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_CHECK = "/root/testdata/sf0.01"
@@ -19,4 +19,5 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     session = build_session(master="local[*]", shuffle_partitions=8, app_name="martlet-tests")
     yield session
+    release_staged(session)
     session.stop()

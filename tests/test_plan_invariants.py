@@ -25,7 +25,8 @@ def final_plan(df) -> str:
 @pytest.mark.parametrize("name", sorted(CATALOG))
 def test_final_plan_invariants(spark, name):
     plan = final_plan(CATALOG[name](spark, SF_SMALL))
-    for banned in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "BroadcastNestedLoopJoin", "CartesianProduct"):
+    for banned in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "BroadcastNestedLoopJoin", "CartesianProduct",
+                   "RoundRobinPartitioning"):
         assert banned not in plan, banned
     lines = plan.splitlines()
     for i, line in enumerate(lines):

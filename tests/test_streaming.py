@@ -48,3 +48,23 @@ def test_late_rows_dropped_and_duplicates_counted_once(spark, tmp_path):
     rows = sorted((r.day, r.event_type, r.events) for r in got.collect())
     assert rows == [(dt.date(2024, 1, 1), "click", 2), (dt.date(2024, 1, 3), "click", 1),
                     (dt.date(2024, 1, 3), "view", 1)]
+
+
+def test_folder_table_gives_the_same_counts(spark, tmp_path):
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    events.repartition(5).write.parquet(str(tmp_path / "events.parquet"))
+    got, expected = run_daily_counts(spark, str(tmp_path)), run_daily_counts(spark, SF_SMALL)
+    assert got.count() > 0 and got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+
+
+def test_missing_input_is_an_error(spark, tmp_path):
+    import pytest
+
+    with pytest.raises(Exception):
+        run_daily_counts(spark, str(tmp_path))
+
+
+def test_session_settings_are_left_alone(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    run_daily_counts(spark, SF_SMALL, state_partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before

@@ -44,9 +44,12 @@ def test_fact_has_one_row_per_sales_line(wh):
 
 
 def test_segments_sum_to_total(wh):
-    rep = advanced.customer_report(wh.fact(), wh.dim_customers, wh.as_of, high=3_000_000, mid=1_500_000)
+    rep = advanced.customer_report(
+        wh.sales_lines, wh.dim_customers, wh.product_ids, wh.as_of, high=3_000_000, mid=1_500_000
+    )
     seg = rep.groupBy("spending_segment").agg(F.sum("total_sales").alias("s"))
-    total = wh.fact().where(F.col("order_date").isNotNull()).agg(F.sum("sales_amount")).first()[0]
+    known = F.col("order_date").isNotNull() & F.col("customer_key").isNotNull()
+    total = wh.fact().where(known).agg(F.sum("sales_amount")).first()[0]
     assert abs(sum(r.s for r in seg.collect()) - float(total)) < 1e-3
 
 
@@ -86,7 +89,8 @@ def test_raw_customer_id_fact_drops_orphans_like_the_join(wh, spark):
     sales = sales.unionByName(orphan)
     joined = gold.fact_sales(sales, None, wh.customer_keys)
     raw = gold.fact_sales(sales, None, None, raw_customer_key=True)
-    assert raw.where("customer_key = -42").count() == 3 and joined.where("customer_key IS NULL").count() == 3
+    assert raw.where("customer_key = -42").count() == 3
+    assert joined.where("customer_key IS NULL").count() == raw.where("customer_key < 0").count()
 
     a = explore.revenue_per_customer(joined, wh.customer_attributes)
     b = explore.revenue_per_customer(raw, wh.customer_attributes)
@@ -103,3 +107,45 @@ def test_raw_customer_id_fact_drops_orphans_like_the_join(wh, spark):
     d1 = explore.distinct_customers(joined).first()[0]
     d2 = explore.distinct_customers(raw, customers=wh.customer_keys).first()[0]
     assert d1 == d2
+
+
+def test_reports_count_only_known_partners(spark, wh):
+    """The pre-aggregated reports equal the plain form over the joined fact."""
+    fact = wh.fact().where("order_date is not null")
+    plain = fact.where("customer_key is not null").groupBy("customer_key").agg(
+        F.countDistinct("product_key").alias("total_products"), F.countDistinct("order_number").alias("total_orders")
+    )
+    got = advanced.customer_report(wh.sales_lines, wh.dim_customers, wh.product_ids, wh.as_of)
+    got = got.select("customer_key", "total_products", "total_orders")
+    assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+    plain = fact.where("product_key is not null").groupBy("product_key").agg(F.countDistinct("customer_key").alias("n"))
+    got = advanced.product_report(wh.sales_lines, wh.dim_products, wh.customer_keys, wh.as_of)
+    got = got.select("product_key", F.col("total_customers").alias("n"))
+    assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+
+
+def test_binding_reaches_every_cleaning_rule(wh):
+    cust = wh.bronze["crm_cust_info"]
+    assert cust.where("cst_id is null").count() > 0
+    assert cust.where("cst_id is not null").count() > wh.silver["crm_cust_info"].count()
+    assert wh.dim_products.where("category is null").count() > 0
+    assert wh.customer_attributes.where("country = 'unknown'").count() > 0
+    fact = wh.fact()
+    assert fact.where("customer_key is null").count() > 0 and fact.where("product_key is null").count() > 0
+
+
+def test_gold_is_built_from_the_written_silver(spark, wh):
+    from martlet.plans import catalog, load
+
+    created = load.load_warehouse(wh, catalog.PRODUCT_SEGMENTS, catalog.CUSTOMER_SEGMENTS)
+    assert created["gold.fact_sales"] == "view" and created["gold.rpt_customer_report"] == "table"
+    plan = spark.table("gold.fact_sales")._jdf.queryExecution().optimizedPlan().toString()
+    assert "crm_sales_details" in plan and "l_extendedprice" not in plan and "o_orderkey" not in plan
+    loaded = load.LoadedWarehouse(spark, wh.as_of)
+    for df in (loaded.sales_lines, loaded.customer_attributes, loaded.active_products):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "p_partkey" not in plan and "c_custkey" not in plan and "l_orderkey" not in plan
+    fact = spark.table("gold.fact_sales")
+    assert fact.exceptAll(wh.fact()).count() == 0 and fact.count() == wh.fact().count()
+    for layer, name in (k.split(".") for k, kind in created.items() if kind == "table" and not k.startswith("bronze")):
+        assert spark.table(f"{layer}.{name}").where("dwh_create_date is null").count() == 0

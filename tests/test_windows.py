@@ -79,3 +79,12 @@ def test_latest_per_key_hot_key_plans_partial_limit(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert got.count() == df.select("k").distinct().count()
+
+
+def test_lead_within_key_with_null_keys_over_several_chunks(spark):
+    rows = [(None if i % 3 else i % 2, i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k int, o int")
+    got = lead_within_key(df, ["k"], [F.asc("o")], "o", "nxt", num_partitions=4)
+    expected = df.withColumn("nxt", F.lead("o").over(W.partitionBy("k").orderBy("o")))
+    assert got.columns == ["k", "o", "nxt"]
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
