@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.session import ensure_checkpoint_dir
+from martlet.session import work_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +13,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh folder name under the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
+    """A fresh folder name under the shared checkpoint folder, removed when the
+    session's work folders are released."""
+    return work_path(spark, f"llm-{label}")
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
