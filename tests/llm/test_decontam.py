@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from functools import lru_cache
 
 from martlet.llm import decontam
 from martlet.llm.catalog import QUERIES
@@ -15,6 +16,7 @@ OTHER = (2, "the quick brown fox jumps over the lazy dog while seven small birds
 SHORT = (3, "four little words only")
 
 
+@lru_cache(maxsize=None)
 def templates(text):
     words, out = [], []
     for m in re.finditer(r"(?:\d+(?:[.,]\d+)*)|[^\W\d_]+(?:[^\W_]*)", text):
@@ -42,6 +44,14 @@ def brute(docs, items, window=5, similarity=0.8, min_run=13, min_words=3):
     def key(size, t, w):
         return tuple(t if sum(x[0] != "#" for x in t) >= min(min_words, size) else w)
 
+    @lru_cache(maxsize=None)
+    def places(body, size):
+        t, w = templates(body or "")
+        by = {}
+        for b in range(len(t) - size + 1):
+            by.setdefault(key(size, t[b : b + size], w[b : b + size]), []).append(b)
+        return by
+
     found = set()
     for item, text in items:
         mine = list(windows(text))
@@ -49,10 +59,7 @@ def brute(docs, items, window=5, similarity=0.8, min_run=13, min_words=3):
             continue
         size = mine[0][1]
         for doc, body in docs:
-            t, w = templates(body or "")
-            by = {}
-            for b in range(len(t) - size + 1):
-                by.setdefault(key(size, t[b : b + size], w[b : b + size]), []).append(b)
+            w, by = templates(body or "")[1], places(body, size)
             shifts = {}
             for a, _, it, iw in mine:
                 for b in by.get(key(size, it, iw), ()):
