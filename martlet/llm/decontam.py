@@ -147,19 +147,27 @@ def contaminated(
         hits = hits.union(p)
     hits = staged(hits.distinct(), "benchmark-hits")
 
-    # only windows with placeholders have values to compare
+    # only windows with placeholders have values to compare; staged, so that the
+    # texts are shuffled for them only if there are too many to broadcast
     slotted = hits.where("n_slots > 0")
-    wanted = slotted.select(F.col("doc_id").alias("d"), F.col("tie").alias("h")).distinct()
-    again = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("h")), "left_semi")
-    again = _split(again.dropDuplicates(["doc_id", "tie"]))
+    places = staged(
+        slotted.groupBy(F.col("doc_id").alias("d"), F.col("tie").alias("h")).agg(
+            F.collect_set(F.struct("doc_at", "size")).alias("places")
+        ),
+        "benchmark-places",
+    )
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("h"))
-    places = slotted.select(F.col("doc_id").alias("d"), F.col("tie").alias("h"), "doc_at", "size").distinct()
-    values = again.join(places, same).select(
-        F.col("doc_id").alias("d"),
-        F.col("tie").alias("h"),
-        F.col("doc_at").alias("da"),
-        F.col("size").alias("sz"),
-        slots(F.col("templates"), F.col("words"), F.col("doc_at"), F.col("size")).alias("doc_slots"),
+    values = (
+        _split(texts.join(places, same))
+        .select("d", "h", "templates", "words", F.explode("places").alias("p"))
+        .select(
+            "d",
+            "h",
+            F.col("p.doc_at").alias("da"),
+            F.col("p.size").alias("sz"),
+            slots(F.col("templates"), F.col("words"), F.col("p.doc_at"), F.col("p.size")).alias("doc_slots"),
+        )
+        .distinct()
     )
     of_item = bench.select(F.col("item").alias("i"), F.col("at").alias("ia"), "slots").where(F.size("slots") > 0)
     pairs = (
