@@ -50,8 +50,9 @@ SHARD_POSTINGS = 4_000_000
 QUERY_BLOCK = 2_048
 #: Search tasks at most; each then takes several pairs of shard and query block.
 MAX_TASKS = 20_000
-#: Terms in a larger share of a shard's documents are bounded, not added up.
-FREQUENT = 0.02
+#: Terms in a larger share of a shard's documents are bounded by block, the rarer ones added
+#: up. Their idf is at most ln(1 / 0.3), so their bounds stay close to what they add.
+FREQUENT = 0.3
 POSTINGS = "doc_id long, tie long, length int, terms array<bigint>, counts array<int>"
 RESULT = "query_id long, query_tie long, doc_id long, score double"
 
@@ -104,7 +105,8 @@ class Shard:
         self.doc_ids, self.starts = doc_ids, starts
         self.n_docs = len(lengths)
         self.vocabulary, self.term = np.unique(terms, return_inverse=True)
-        doc = np.repeat(np.arange(self.n_docs, dtype=np.int32), np.diff(starts))
+        self.filled = np.diff(starts) > 0
+        doc = np.repeat(np.arange(self.n_docs), np.diff(starts))
         norm = K1 * (1 - B + B * lengths / max(mean_length, 1e-9))
         self.impact = counts * (K1 + 1) / (counts + norm[doc])
         order = np.argsort(self.term, kind="stable")  # by term, then document
@@ -138,24 +140,24 @@ class Shard:
         if not len(ids):
             return np.zeros(0, np.int64), np.zeros(0)
         self.weight[ids] = idf
-        df = self.post_start[ids + 1] - self.post_start[ids]
-        rare = df <= FREQUENT * self.n_docs
+        starts, ends = self.post_start[ids], self.post_start[ids + 1]
+        rare = ends - starts <= FREQUENT * self.n_docs
+        # idf and impacts are positive: a document without a bound has no term of the query
         bound = np.zeros(self.n_docs)
-        touched = np.zeros(self.n_docs, bool)
         if rare.any():
-            a, b = self.post_start[ids[rare]], self.post_start[ids[rare] + 1]
-            at = _ranges(a, b)
-            bound = np.bincount(self.post_doc[at], np.repeat(idf[rare], b - a) * self.post_impact[at], self.n_docs)
-            touched[self.post_doc[at]] = True
+            docs, parts = [], []
+            for a, b, weight in zip(starts[rare].tolist(), ends[rare].tolist(), idf[rare].tolist()):
+                docs.append(self.post_doc[a:b])
+                parts.append(weight * self.post_impact[a:b])
+            bound = np.bincount(np.concatenate(docs), np.concatenate(parts), self.n_docs)
         if not rare.all():
             a, b = self.max_start[ids[~rare]], self.max_start[ids[~rare] + 1]
             at = _ranges(a, b)
             most = np.bincount(self.max_block[at], np.repeat(idf[~rare], b - a) * self.max_impact[at], self.n_blocks)
             bound = bound + np.repeat(most, BLOCK_DOCS)[: self.n_docs]
-            touched |= np.repeat(most > 0, BLOCK_DOCS)[: self.n_docs]
         bound *= 1 + 1e-12  # sums in another order may differ in the last digits
         best_docs, best, size = np.zeros(0, np.int64), np.zeros(0), 2 * k
-        left = np.flatnonzero(touched & (np.diff(self.starts) > 0))
+        left = np.flatnonzero((bound > 0) & self.filled)
         while len(left):
             if len(best) >= k:
                 left = left[bound[left] >= np.partition(best, -k)[-k]]
