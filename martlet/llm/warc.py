@@ -41,6 +41,8 @@ RECORDS = (
     "payload_digest string, payload binary"
 )
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Archive bytes that one reading task is meant to take.
+TASK_BYTES = 64 << 20
 #: Records of pages fetched at an unknown time carry this date, so that equal input gives equal archives.
 NO_DATE = "1970-01-01T00:00:00Z"
 
@@ -208,7 +210,10 @@ def read_records(
             source.close()
 
     chosen = index.select("file", "offset", "length")
-    dealt = chosen.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    # tasks by the bytes they will read: the index rows themselves are small
+    total = chosen.agg(F.sum("length")).first()[0] or 0
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    dealt = chosen.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return dealt.mapInArrow(read, RECORDS)
 
 
