@@ -41,18 +41,20 @@ def run_daily_counts(
     file_glob: str = "events.parquet",
     schema: T.StructType | None = None,
     watermark: str = "1 hour",
-    max_files_per_trigger: int = 1_000,
+    max_files_per_trigger: int | None = None,
     state_partitions: int | None = None,
 ) -> DataFrame:
     """Process everything available (``availableNow``) and return the final
     daily counts as a batch DataFrame (day, event_type, events).
 
     ``file_glob`` names a table folder of part files, a single file, or a
-    pattern of files in ``source_dir``. At most ``max_files_per_trigger`` files
-    make a micro-batch, which bounds its size; files must arrive in event-time
-    order to within the watermark from one micro-batch to the next. State is kept
-    on disk (RocksDB) in ``state_partitions`` partitions (default: the cluster's
-    core count). Both settings are made in a session of the query's own."""
+    pattern of files in ``source_dir``. All files there are one micro-batch, so
+    that no row is late, however the table is written. With
+    ``max_files_per_trigger`` at most so many files make one; files must then
+    arrive in event-time order to within the watermark from one micro-batch to the
+    next. State is kept on disk (RocksDB) in ``state_partitions`` partitions
+    (default: the cluster's core count). Both settings are made in a session of
+    the query's own."""
     folder = f"{source_dir.rstrip('/')}/{file_glob}"
     whole_table = "*" not in file_glob and is_folder(spark, folder)
     if schema is None:
@@ -64,7 +66,9 @@ def run_daily_counts(
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    reader = own.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = own.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     events = reader.parquet(folder) if whole_table else reader.option("pathGlobFilter", file_glob).parquet(source_dir)
     counts = daily_counts_stream(events, watermark)
 

@@ -57,6 +57,25 @@ def test_folder_table_gives_the_same_counts(spark, tmp_path):
     assert got.count() > 0 and got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
 
 
+def test_many_unordered_files_lose_no_row(spark, tmp_path):
+    import os
+    import shutil
+
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    folder = tmp_path / "events.parquet"
+    events.orderBy(F.desc("ts")).coalesce(1).write.option("maxRecordsPerFile", events.count() // 3).parquet(str(folder))
+    events.where("false").coalesce(1).write.parquet(str(tmp_path / "none"))
+    # the latest events first, and more than 1,000 files between one part file and the next
+    for n, f in enumerate(sorted(folder.glob("part*"))):
+        os.utime(f, (10_000_000 + n * 100_000,) * 2)
+    for n in range(2_300):
+        shutil.copy(next((tmp_path / "none").glob("part*")), folder / f"x{n}.parquet")
+        os.utime(folder / f"x{n}.parquet", (10_000_001 + n % 2 * 100_000,) * 2)
+    got = run_daily_counts(spark, str(tmp_path))
+    expected = events.groupBy(F.col("ts").cast("date").alias("day"), "event_type").agg(F.count("*").alias("events"))
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+
+
 def test_missing_input_is_an_error(spark, tmp_path):
     import pytest
 
