@@ -32,7 +32,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows in which no benchmark item is found."""
-    return decontam.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontam.without_contaminated(docs, table(spark, sf_dir, "benchmark"), verbatim=True)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,10 @@ document value throughout, which re-parameterised questions satisfy and chance
 matches do not. An item is found in a document if ``similarity`` of its windows
 are, or a run of ``min_run`` words of it is.
 
+With ``verbatim``, as the registered query and the pipeline have it, a window is
+also found where its plain lower-cased words are, whatever placeholders case and
+punctuation lead to.
+
 Windows with fewer than ``min_words`` words beside placeholders match on their
 values instead; items shorter than a window are matched as one window of their
 own length. Punctuation, case and white space do not matter.
@@ -77,6 +81,29 @@ def window_hashes(templates: Column, words: Column, size: int, min_words: int) -
     ).otherwise(F.array().cast("array<bigint>"))
 
 
+def window_entries(
+    templates: Column, words: Column, plain: Column, size: int, min_words: int, verbatim: bool
+) -> Column:
+    """p (from 0), hash and whether it is of the plain words, for every window:
+    the template's hash, and with ``verbatim`` the plain words' where they differ."""
+
+    def entry(at: Column, value: Column, same: bool) -> Column:
+        return F.struct((at - 1).alias("p"), value.alias("hash"), F.lit(same).alias("same"))
+
+    def one(at: Column) -> Column:
+        window = F.slice(templates, at, size)
+        literal = F.size(F.filter(window, lambda w: ~w.startswith(MARK)))
+        copied = entry(at, F.xxhash64(F.slice(plain, at, size)), True)
+        return F.when((literal == size) | (literal < F.least(F.lit(min_words), F.lit(size))), F.array(copied)).otherwise(
+            F.array(entry(at, F.xxhash64(window), False), copied)
+        )
+
+    if not verbatim:
+        return F.transform(window_hashes(templates, words, size, min_words), lambda h, p: entry(p + 1, h, False))
+    starts = F.when(F.size(templates) >= size, F.sequence(F.lit(1), F.size(templates) - (size - 1)))
+    return F.flatten(F.transform(starts, one))
+
+
 def slots(templates: Column, words: Column, at: Column, size: Column) -> Column:
     """The values under a window's placeholders, in order."""
     pairs = F.arrays_zip(F.slice(templates, at, size).alias("t"), F.slice(words, at, size).alias("w"))
@@ -88,25 +115,29 @@ def slots(templates: Column, words: Column, at: Column, size: Column) -> Column:
 
 def _split(df: DataFrame) -> DataFrame:
     df = df.withColumn("words", prepared(F.col("text")))
+    df = df.withColumn("plain", F.split(F.lower(F.replace(F.col("words"), F.lit(MARK), F.lit(""))), " "))
     return df.withColumn("templates", F.split(template(F.col("words")), " ")).withColumn("words", F.split("words", " "))
 
 
-def item_windows(items: DataFrame, window: int, min_words: int) -> DataFrame:
-    """item, at, size, hash, slots (of the item's windows), total windows."""
-    split = _split(documents(items, "item_id")).select(F.col("doc_id").alias("item"), "words", "templates")
+def item_windows(items: DataFrame, window: int, min_words: int, verbatim: bool = False) -> DataFrame:
+    """item, at, size, hash, same (hash of plain words), slots of the item's windows."""
+    split = _split(documents(items, "item_id")).select(F.col("doc_id").alias("item"), "words", "templates", "plain")
     split = split.where(F.element_at("words", 1) != "").withColumn("size", F.least(F.lit(window), F.size("words")))
     parts = []
     for size in range(1, window + 1):
-        hashes = window_hashes(F.col("templates"), F.col("words"), size, min_words)
+        entries = window_entries(F.col("templates"), F.col("words"), F.col("plain"), size, min_words, verbatim)
         parts.append(
             split.where(F.col("size") == size)
-            .select("item", "size", "words", "templates", F.posexplode(hashes).alias("p", "hash"))
+            .select("item", "size", "words", "templates", F.inline(entries))
             .select(
                 "item",
                 (F.col("p") + 1).alias("at"),
                 "size",
                 "hash",
-                slots(F.col("templates"), F.col("words"), F.col("p") + 1, F.col("size")).alias("slots"),
+                "same",
+                F.when(F.col("same"), F.array().cast("array<string>"))
+                .otherwise(slots(F.col("templates"), F.col("words"), F.col("p") + 1, F.col("size")))
+                .alias("slots"),
             )
         )
     out = parts[0]
@@ -123,29 +154,36 @@ def contaminated(
     similarity: float = SIMILARITY,
     min_run: int = MIN_RUN,
     min_words: int = MIN_WORDS,
+    verbatim: bool = False,
 ) -> DataFrame:
     """One row per document and item found in it: doc_id, tie (hash of the
     text), item_id, found and item windows, longest run in words, and whether
     values differ from the benchmark's (``reparameterised``)."""
-    bench = staged(item_windows(items, window, min_words), "benchmark-windows")
+    bench = staged(item_windows(items, window, min_words, verbatim), "benchmark-windows")
     sizes = sorted(r["size"] for r in bench.select("size").distinct().collect())  # at most ``window`` values
     texts = documents(docs).withColumn("tie", F.xxhash64("text"))
-    keys = bench.select("hash", F.col("item"), F.col("at").alias("item_at"), "size", F.size("slots").alias("n_slots"))
+    keys = bench.select(
+        "hash", F.col("item"), F.col("at").alias("item_at"), "size", "same", F.size("slots").alias("n_slots")
+    ).withColumnRenamed("same", "copied")
 
     parts = []
     for size in sizes or [window]:
-        hashes = window_hashes(F.col("templates"), F.col("words"), size, min_words)
-        exploded = _split(texts).select("doc_id", "tie", F.posexplode(hashes).alias("p", "hash"))
+        entries = window_entries(F.col("templates"), F.col("words"), F.col("plain"), size, min_words, verbatim)
+        exploded = _split(texts).select("doc_id", "tie", F.inline(entries)).drop("same")
         # the staged size of the benchmark decides between a broadcast and a shuffled join
         parts.append(
             exploded.join(keys.where(F.col("size") == size), "hash").select(
-                "doc_id", "tie", "item", (F.col("p") + 1).alias("doc_at"), "item_at", "size", "n_slots"
+                "doc_id", "tie", "item", (F.col("p") + 1).alias("doc_at"), "item_at", "size", "copied", "n_slots"
             )
         )
     hits = parts[0]
     for p in parts[1:]:
         hits = hits.union(p)
-    hits = staged(hits.distinct(), "benchmark-hits")
+    # a window copied word for word has no values to compare
+    hits = hits.groupBy("doc_id", "tie", "item", "doc_at", "item_at", "size").agg(
+        F.when(F.max("copied"), F.lit(0)).otherwise(F.max("n_slots")).alias("n_slots")
+    )
+    hits = staged(hits, "benchmark-hits")
 
     # only windows with placeholders have values to compare; staged, so that the
     # texts are shuffled for them only if there are too many to broadcast

@@ -144,6 +144,45 @@ def test_random_texts(spark):
     assert got_rows(got) == brute(docs, items)
 
 
+def copied(docs, items, window=5, similarity=0.8, min_run=13):
+    """(document, item) pairs by plain lower-cased words: knows nothing of names."""
+
+    def windows(text):
+        words = re.findall(r"\d+(?:[.,]\d+)*|[^\W\d_]+", (text or "").lower())
+        return [tuple(words[a : a + window]) for a in range(len(words) - window + 1)]
+
+    found = set()
+    for d, text in docs:
+        held = set(windows(text))
+        for i, item in items:
+            hit = [w in held for w in windows(item)]
+            run = max(map(len, "".join(".x"[h] for h in hit).split(".")), default=0)
+            if hit and (sum(hit) >= similarity * len(hit) or run + window - 1 >= min_run):
+                found.add((d, i))
+    return found
+
+
+def test_copies_in_other_case_and_punctuation(spark):
+    items = [ITEM, OTHER, (3, "First, Alice and Bob walk to the old market; then Carol, their friend, buys seven red apples there.")]
+    changes = [str, str.upper, str.title, lambda t: re.sub(r"[.,;]", "", t), lambda t: t.replace(" ", ", "), str.lower]
+    docs = [(10 * i + k, f"Words before. {change(t)} And after") for i, t in items for k, change in enumerate(changes)]
+    docs.append((99, "Nothing of the kind, Alice and Bob say, is found here at all"))
+    got = decontam.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+        verbatim=True,
+    )
+    pairs = {(r.doc_id, r.item_id) for r in got.collect()}
+    assert pairs == copied(docs, items) == {(10 * i + k, i) for i, _ in items for k in range(len(changes))}
+
+
+def test_query_holds_every_copy(spark):
+    docs = [(r.doc_id, r.text) for r in table(spark, SF, "documents").collect()]
+    items = [(r.item_id, r.text) for r in table(spark, SF, "benchmark").collect()]
+    got = {(r.doc_id, r.item_id) for r in QUERIES["op10_decontam"](spark, SF).collect()}
+    assert copied(docs, items) <= got
+
+
 def test_empty_tables(spark):
     d, b = table(spark, SF, "documents"), table(spark, SF, "benchmark")
     assert decontam.contaminated(d.where("false"), b).count() == 0
