@@ -11,7 +11,8 @@ are, or a run of ``min_run`` words of it is.
 
 With ``verbatim``, as the registered query and the pipeline have it, a window is
 also found where its plain lower-cased words are, whatever placeholders case and
-punctuation lead to.
+punctuation lead to. Such windows and those without placeholders always count;
+contradicting values then drop only the windows whose values differ.
 
 Windows with fewer than ``min_words`` words beside placeholders match on their
 values instead; items shorter than a window are matched as one window of their
@@ -236,8 +237,13 @@ def contaminated(
         term = F.col(c).eqNullSafe(F.col(f"c_{c}"))
         on = term if on is None else on & term
     aligned = hits.withColumn("shift", F.col("doc_at") - F.col("item_at")).join(checked, on, "left")
-    aligned = aligned.where("links is null or links = values").select(
-        *alignment, "item_at", "size", F.coalesce("differs", F.lit(False)).alias("differs")
+    # values that contradict each other refute the windows that hold them, not those copied as they are
+    kept = F.expr("links is null or links = values")
+    aligned = aligned.where(kept | (F.col("n_slots") == 0) if verbatim else kept).select(
+        *alignment,
+        "item_at",
+        "size",
+        (F.coalesce("differs", F.lit(False)) & (F.lit(not verbatim) | (F.col("n_slots") > 0))).alias("differs"),
     )
 
     # runs of consecutive windows on one alignment; an alignment has at most an item's windows

@@ -176,6 +176,23 @@ def test_copies_in_other_case_and_punctuation(spark):
     assert pairs == copied(docs, items) == {(10 * i + k, i) for i, _ in items for k in range(len(changes))}
 
 
+def test_contradicting_values_leave_copied_windows(spark):
+    item = (1, "it takes 3 apples and 3 pears to bake the cake that " + OTHER[1])
+    docs = [
+        (1, ITEM[1].replace("Paris", "Rome", 1)),  # one Paris of two: 18 words are copied as they are
+        (2, item[1].replace("3 apples", "4 apples").replace("3 pears", "7 pears")),
+        (3, "it takes 4 apples and 7 pears to bake the cake that nobody has ever seen or will eat"),
+        (4, "A train leaves Rome at 9 with 120 people"),
+    ]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame([(7, ITEM[1]), item], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontam.contaminated(d, b, verbatim=True).collect()}
+    assert set(got) == {(1, 7), (2, 1)}
+    # the windows of apples and pears contradict each other, the others stand
+    assert got[2, 1].found_windows < got[2, 1].item_windows and got[2, 1].longest_run >= 20
+    assert got[2, 1].reparameterised is False
+
+
 def test_query_holds_every_copy(spark):
     docs = [(r.doc_id, r.text) for r in table(spark, SF, "documents").collect()]
     items = [(r.item_id, r.text) for r in table(spark, SF, "benchmark").collect()]
