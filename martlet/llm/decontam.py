@@ -54,8 +54,9 @@ def prepared(text: Column) -> Column:
     # a capital after a small letter, digit, comma or semicolon and a space is within a sentence
     marked = F.regexp_replace(text, r"(?<=[\p{Ll}\p{N},;]\s)(?=\p{Lu})", MARK)
     apart = F.regexp_replace(marked, r"(?<=\p{N})(?=\p{L})", " ")
-    bare = F.regexp_replace(apart, rf"(?:[^\p{{L}}\p{{N}}{MARK}.,]|(?<!\p{{N}})[.,]|[.,](?!\p{{N}}))+", " ")
-    return F.trim(bare)
+    # two passes of plain classes: a repeated choice would take stack for every character of a run
+    lone = F.regexp_replace(apart, r"(?<!\p{N})[.,]|[.,](?!\p{N})", " ")
+    return F.trim(F.regexp_replace(lone, rf"[^\p{{L}}\p{{N}}{MARK}.,]++", " "))
 
 
 def template(words: Column) -> Column:

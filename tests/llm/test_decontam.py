@@ -200,6 +200,16 @@ def test_query_holds_every_copy(spark):
     assert copied(docs, items) <= got
 
 
+def test_long_runs_of_any_characters(spark):
+    runs = ["-", " ", ",", ". ", ".", "\U0001f600", "e\u0301", "\n", "7,", "A", "a B "]
+    docs = [(i, run * 300_000 + " " + OTHER[1] + " " + run * 300_000) for i, run in enumerate(runs)]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(len(docs))
+    b = spark.createDataFrame([OTHER], "item_id long, text string")
+    found = {r.doc_id for r in decontam.contaminated(d, b, verbatim=True).collect()}
+    assert found == set(range(len(runs)))
+    assert decontam.without_contaminated(d, b, verbatim=True).count() == 0
+
+
 def test_empty_tables(spark):
     d, b = table(spark, SF, "documents"), table(spark, SF, "benchmark")
     assert decontam.contaminated(d.where("false"), b).count() == 0
