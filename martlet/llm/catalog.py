@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.llm import bm25, chat, decontam, packing, pii, secrets, simhash, token_files, tokens, toxicity, warc
+from martlet.llm import bm25, chat, decontam, packing, pii, secrets, simhash, token_files, tokens, toxicity, vector_codes, warc
 from martlet.llm.common import scratch, table
 
 
@@ -104,6 +104,11 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("tie").withColumn("reparameterised", F.col("reparameterised").cast("int"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return rows.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_token_files": op2_token_files,
@@ -115,7 +120,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bm25": op8_bm25,
     "op9_simhash": op9_simhash,
     "op10_decontam": op10_decontam,
+    "op12_vector_codes": op12_vector_codes,
 }
 
 #: Queries that SQL can state; the others are tested against brute force in tests/llm.
-ORACLE_SQL: dict[str, str] = {"op5_chat": chat.ORACLE_SQL, "op7_warc": warc.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_chat": chat.ORACLE_SQL, "op7_warc": warc.ORACLE_SQL, "op12_vector_codes": vector_codes.ORACLE_SQL}
