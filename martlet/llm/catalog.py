@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.llm import bm25, chat, decontam, packing, pii, secrets, simhash, token_files, tokens, toxicity, vector_codes, warc
+from martlet.llm import (
+    bm25, chat, decontam, language, packing, pii, secrets, simhash, token_files, tokens, toxicity, vector_codes, warc,
+)
 from martlet.llm.common import scratch, table
 
 
@@ -109,6 +111,12 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.fit(docs))
+    return found.withColumn("rejected", F.col("rejected").cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_token_files": op2_token_files,
@@ -121,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_decontam": op10_decontam,
     "op12_vector_codes": op12_vector_codes,
+    "op13_language": op13_language,
 }
 
 #: Queries that SQL can state; the others are tested against brute force in tests/llm.
