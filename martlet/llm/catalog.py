@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.llm import (
-    bm25, chat, decontam, language, packing, pii, secrets, simhash, token_files, tokens, toxicity, vector_codes, warc,
+    bm25, chat, decontam, language, packing, pii, repair, secrets, simhash, token_files, tokens, toxicity, vector_codes, warc,
 )
 from martlet.llm.common import scratch, table
 
@@ -106,6 +106,11 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("tie").withColumn("reparameterised", F.col("reparameterised").cast("int"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return repair.repair(repair.damaged(rows), ids=rows.select("conv_id"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = vector_codes.compress(table(spark, sf_dir, "embeddings"))
     return rows.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
@@ -128,9 +133,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bm25": op8_bm25,
     "op9_simhash": op9_simhash,
     "op10_decontam": op10_decontam,
+    "op11_repair": op11_repair,
     "op12_vector_codes": op12_vector_codes,
     "op13_language": op13_language,
 }
 
 #: Queries that SQL can state; the others are tested against brute force in tests/llm.
-ORACLE_SQL: dict[str, str] = {"op5_chat": chat.ORACLE_SQL, "op7_warc": warc.ORACLE_SQL, "op12_vector_codes": vector_codes.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op5_chat": chat.ORACLE_SQL,
+    "op7_warc": warc.ORACLE_SQL,
+    "op11_repair": repair.ORACLE_SQL,
+    "op12_vector_codes": vector_codes.ORACLE_SQL,
+}
