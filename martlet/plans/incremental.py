@@ -1,52 +1,98 @@
-"""Incremental loads: append by high-water mark, and change-data merge.
+"""Incremental loads: changed slices by manifest, and change-data merge.
 
-Tables live under the session's checkpoint folder (shared storage on a
-cluster); each run writes a fresh folder so reruns never see stale data.
+Both keep their target as a versioned table (``sources.versions``): a run writes
+only the slices or buckets that changed, to folders of its own, and one commit
+switches readers. Targets lie under the session's checkpoint folder (shared storage
+on a cluster) unless a path is given.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martlet.operators.windows import latest_per_key
-from martlet.session import work_path
+from martlet.session import stage_table, work_path
+from martlet.sources import versions
+from martlet.sources.versions import Slice
 
 CUSTOMER_SNAPSHOT = (
     "cst_id", "cst_key", "cst_firstname", "cst_lastname", "cst_marital_status", "cst_gndr", "cst_create_date"
 )
 
 
-def append_new_rows(spark: SparkSession, target_path: str, source: DataFrame, ts_col: str) -> DataFrame:
-    """Append the source rows that the target does not hold yet.
-
-    The target's high-water mark is one scalar (``max(ts_col)``). Everything
-    after it is new. Rows of the mark itself may have arrived since, and rows
-    without a timestamp have no place on either side of it, so those two slices
-    of source and target are compared as multisets and the surplus is appended.
-    As a literal the mark is pushed to the source scan. A second run over the
-    same source appends nothing.
-    """
-    target = spark.read.parquet(target_path)
-    mark = target.agg(F.max(ts_col)).first()[0]
-    if mark is None:
-        unsure = F.col(ts_col).isNull()
-        new = source.where(F.col(ts_col).isNotNull())
-    else:
-        unsure = (F.col(ts_col) == F.lit(mark)) | F.col(ts_col).isNull()
-        new = source.where(F.col(ts_col) > F.lit(mark))
-    late = source.where(unsure).exceptAll(target.where(unsure).select(*source.columns))
-    new.unionByName(late).write.mode("append").parquet(target_path)
-    return spark.read.parquet(target_path)
-
-
-def incremental_load(spark: SparkSession, source: DataFrame, ts_col: str, initial_before) -> DataFrame:
-    """Initial full load of the rows dated before ``initial_before``, then one
-    incremental run over the whole source: every source row is in the target
-    once, those without a date included."""
-    path = work_path(spark, "incremental")
-    source.where(F.col(ts_col) < F.lit(initial_before)).write.mode("overwrite").parquet(path)
-    return append_new_rows(spark, path, source, ts_col)
+#: The slice of rows without a date.
+UNDATED = "undated"
+#: Length of a slice by name.
+GRAINS = {"MONTH": 1, "QUARTER": 3, "YEAR": 12}
+
+
+def slice_of(date: Column, grain: str) -> Column:
+    """Name of a row's slice: the first day of its month, quarter or year."""
+    if grain not in GRAINS:
+        raise ValueError(f"grain {grain!r} is none of {sorted(GRAINS)}")
+    return F.coalesce(F.trunc(date, grain).cast("string"), F.lit(UNDATED))
+
+
+def in_slices(date: Column, names: list[str], grain: str) -> Column:
+    """Rows of the named slices, as date ranges that reach the source's scan;
+    neighbouring slices are one range."""
+    found = date.isNull() if UNDATED in names else F.lit(False)
+    ranges: list[list[dt.date]] = []
+    for first in sorted(dt.date.fromisoformat(n) for n in names if n != UNDATED):
+        months = first.year * 12 + first.month - 1 + GRAINS[grain]
+        after = dt.date(months // 12, months % 12 + 1, 1)
+        if ranges and ranges[-1][1] == first:
+            ranges[-1][1] = after
+        else:
+            ranges.append([first, after])
+    for first, after in ranges:
+        found = found | ((date >= F.lit(first)) & (date < F.lit(after)))
+    return found
+
+
+def load_changed_slices(
+    spark: SparkSession, target: str, source: DataFrame, date_col: str, grain: str = "QUARTER"
+) -> tuple[DataFrame, list[str]]:
+    """Bring ``target`` up to ``source``; returns the target and the slices loaded.
+
+    The target's manifest holds date range, row count and row digest of every
+    slice. One aggregate over the source measures its slices; those that differ
+    from the manifest, late and corrected rows and undated ones included, are read
+    as date ranges and replace the target's. Slices that the source no longer holds
+    stay. A run over an unchanged source reads no row twice and writes nothing.
+    ``source`` is read once or twice: give a stored table, or stage it."""
+    version, slices = versions.manifest(spark, target)
+    day = F.col(date_col).cast("date")
+    found = versions.measured(source, slice_of(day, grain))
+    changed = [
+        (name, rows, digest)
+        for name, rows, digest in found
+        if name not in slices or (slices[name].row_count, slices[name].digest) != (rows, digest)
+    ]
+    if changed or version is None:
+        version = 0 if version is None else version + 1
+        folder = versions.new_folder(target, version)
+        names = sorted(name for name, _, _ in changed)
+        if changed:
+            versions.write_folders(source.where(in_slices(F.col(date_col), names, grain)), slice_of(day, grain), folder)
+        slices |= {n: Slice(n, versions.slice_path(folder, n), rows, digest) for n, rows, digest in changed}
+        versions.commit(spark, target, version, list(slices.values()))
+    return versions.read_slices(spark, list(slices.values()), source.schema), sorted(n for n, _, _ in changed)
+
+
+def incremental_load(spark: SparkSession, source: DataFrame, date_col: str, initial_before: dt.date) -> DataFrame:
+    """Initial load of the rows dated before ``initial_before``, then one
+    incremental run over the whole source, which loads only the slices that the
+    first did not. The source is derived once, to a staged table. Every source row
+    is in the target once, those without a date included."""
+    target = work_path(spark, "incremental")
+    source = stage_table(source, "incremental-source")
+    load_changed_slices(spark, target, source.where(F.col(date_col) < F.lit(initial_before)), date_col)
+    return load_changed_slices(spark, target, source, date_col)[0]
 
 
 def customer_change_feed(orders: DataFrame) -> DataFrame:
@@ -98,32 +144,61 @@ def merged(base: DataFrame, changes: DataFrame) -> DataFrame:
     return out.select(*[columns.get(c, F.col(c)).alias(c) for c in [*CUSTOMER_SNAPSHOT, "last_change_date", "source"]])
 
 
-def cdc_merge(base: DataFrame, changes: DataFrame, target_path: str | None = None) -> DataFrame:
-    """Rewrite the target table at ``target_path`` (a fresh one is created from
-    ``base``) with ``changes`` merged in, and return it.
+#: Buckets of a merge target; choose them so that one fits a task.
+BUCKETS = 16
+
+
+def bucket_of(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("string")
 
-    The merged rows go to a new version folder and the target is the newest
-    complete version, so a failed merge leaves the target as it was and a rerun
-    gives the same rows."""
+
+def _snapshot(base: DataFrame) -> DataFrame:
+    """The target's columns of a first snapshot."""
+    return base.select(
+        *CUSTOMER_SNAPSHOT, F.col("cst_create_date").alias("last_change_date"), F.lit("base").alias("source")
+    )
+
+
+def cdc_merge(
+    base: DataFrame, changes: DataFrame, target_path: str | None = None, buckets: int = BUCKETS
+) -> DataFrame:
+    """Merge ``changes`` into the target at ``target_path`` (created from ``base``
+    where there is none) and return it.
+
+    The target is bucketed by a hash of the key. Only buckets that some change
+    falls into are read and written anew; of those, only the ones whose rows really
+    differ (by count and digest) are committed, so all others keep their files and a
+    rerun of the same changes commits nothing."""
     spark = base.sparkSession
-    target_path = target_path or work_path(spark, "customers")
-    previous = newest_version(spark, target_path)
-    current = base if previous is None else spark.read.parquet(f"{target_path}/v={previous}")
-    version = 0 if previous is None else previous + 1
-    merged(current, changes).write.mode("overwrite").parquet(f"{target_path}/v={version}")
-    return spark.read.parquet(f"{target_path}/v={version}")
-
-
-def newest_version(spark: SparkSession, target_path: str) -> int | None:
-    """The highest version whose write was committed; None without any."""
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(target_path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None
-    done = []
-    for status in fs.listStatus(root):
-        at = status.getPath()
-        if at.getName().startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(at, "_SUCCESS")):
-            done.append(int(at.getName()[2:]))
-    return max(done, default=None)
+    target = target_path or work_path(spark, "customers")
+    version, slices = versions.manifest(spark, target)
+    bucket = bucket_of(F.col("cst_id"), buckets)
+    if version is None:
+        version, slices = 0, _replaced(target, _snapshot(base), bucket, 0, {})
+    schema = _snapshot(base).schema
+    # the names of at most ``buckets`` buckets
+    touched = {r[0] for r in changes.where("cst_id is not null").select(bucket.alias("b")).distinct().collect()}
+    if touched:
+        current = versions.read_slices(spark, [s for n, s in slices.items() if n in touched], schema)
+        slices = _replaced(target, merged(current, changes), bucket, version + 1, slices, touched)
+    return versions.read_slices(spark, list(slices.values()), schema)
+
+
+def _replaced(
+    target: str, rows: DataFrame, bucket: Column, version: int, slices: dict[str, Slice], touched: set[str] | None = None
+) -> dict[str, Slice]:
+    """Write ``rows`` as the ``touched`` buckets (None: as all), commit those that
+    differ from ``slices``, and return the target's buckets."""
+    spark = rows.sparkSession
+    folder = versions.new_folder(target, version)
+    versions.write_folders(rows, bucket, folder)
+    new = {s.slice: s for s in versions.written(spark, folder, rows.schema)}
+    after = {n: s for n, s in slices.items() if touched is not None and n not in touched}
+    for name, s in new.items():
+        old = slices.get(name)
+        after[name] = old if old and (old.row_count, old.digest) == (s.row_count, s.digest) else s
+    if after == slices and version:
+        versions.remove(spark, folder)
+    else:
+        versions.commit(spark, target, version, list(after.values()))
+    return after
