@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from martlet.operators import gold
 from martlet.plans import advanced, cleaning, explore, incremental, insight, load, quality, rfm
 from martlet.plans.warehouse import Warehouse
-from martlet.streaming import daily_counts
+from martlet.streaming import arrivals
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, QueryFn] = {}
@@ -239,7 +239,8 @@ register("cdc_merge")(
         wh.silver["crm_cust_info"], incremental.customer_change_feed(wh.table("orders"))
     )
 )
-register("stream_daily_counts")(lambda wh: daily_counts.run_daily_counts(wh.spark, wh.sf_dir))
+# three micro-batches, each of a third of the events by time
+register("stream_daily_counts")(lambda wh: arrivals.counts_in_ranges(wh.spark, wh.table("events"), ranges=3))
 
 
 register("csv_roundtrip")(lambda wh: load.csv_roundtrip(wh))

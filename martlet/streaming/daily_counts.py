@@ -1,11 +1,11 @@
 """Streaming ingest of the event table: event-time watermark, de-duplication
 of replayed events within the watermark, tumbling daily counts per event type.
 
-The stream runs in update mode; each micro-batch's changed windows are
-appended (with the batch id) to a Parquet folder through ``foreachBatch``, and
-the final table keeps, per window and type, the row of the latest batch. Rows
-later than the watermark are dropped by the state store, whose size stays
-bounded by the watermark.
+The stream runs in update mode; each micro-batch's changed windows are written to a
+Parquet folder of the batch through ``foreachBatch``, and the final table keeps, per
+window and type, the row of the latest batch. Rows later than the watermark are
+dropped by the state store, whose size stays bounded by the watermark;
+``streaming.arrivals`` keeps them aside instead.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
 
 from martlet.session import work_path
 
@@ -59,38 +60,56 @@ def run_daily_counts(
     whole_table = "*" not in file_glob and is_folder(spark, folder)
     if schema is None:
         schema = spark.read.parquet(folder).schema
+    own = state_session(spark, state_partitions)
+    reader = own.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    events = reader.parquet(folder) if whole_table else reader.option("pathGlobFilter", file_glob).parquet(source_dir)
+    counts = daily_counts_stream(events, watermark)
+
+    out = work_path(spark, "daily-counts")
+    query = write_batches(counts, out, work_path(spark, "daily-counts-state")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return final_counts(spark, out, counts.schema)
+
+
+def state_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session of a stream's own: state on disk (RocksDB), in so many partitions
+    (default: the cluster's core count)."""
     own = spark.newSession()
     own.conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
     own.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
+    # a batch writes what it changed, not the whole state
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    reader = own.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    events = reader.parquet(folder) if whole_table else reader.option("pathGlobFilter", file_glob).parquet(source_dir)
-    counts = daily_counts_stream(events, watermark)
+    return own
 
-    out = work_path(spark, "daily-counts")
-    checkpoint = work_path(spark, "daily-counts-state")
+
+def _batched(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("_batch", T.LongType())])
+
+
+def write_batches(counts: DataFrame, out: str, checkpoint: str) -> DataStreamWriter:
+    """The stream's changed windows, each micro-batch in a folder of its own under
+    ``out``, so that a batch that is run again replaces its rows."""
     # the answer exists, empty, before the first micro-batch: a read error later is an error
-    batched = counts.schema.add("_batch", "long")
-    spark.createDataFrame([], batched).write.parquet(out)
+    spark = counts.sparkSession
+    spark.createDataFrame([], _batched(counts.schema)).write.mode("overwrite").parquet(f"{out}/none")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id).cast("long")).write.mode("append").parquet(out)
-
-    query = (
-        counts.writeStream.outputMode("update")
-        .foreachBatch(write_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+        batch.withColumn("_batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{out}/{batch_id}")
+
+    return counts.writeStream.outputMode("update").foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+
+
+def final_counts(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+    """Of every window and type the row of the latest batch."""
     latest = (
-        spark.read.schema(batched)
+        spark.read.schema(_batched(schema))
+        .option("recursiveFileLookup", "true")
         .parquet(out)
         .groupBy("window", "event_type")
         .agg(F.max_by("events", "_batch").alias("events"))
