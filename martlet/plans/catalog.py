@@ -11,9 +11,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.operators import gold
+from martlet.operators import gold, keys
 from martlet.plans import advanced, cleaning, explore, incremental, insight, load, quality, rfm
 from martlet.plans.warehouse import Warehouse
+from martlet.session import work_path
 from martlet.streaming import arrivals
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -224,6 +225,26 @@ register("cleaning_audit")(_audit)
 register("dq_checks")(lambda wh: quality.dq_checks(_audit(wh)))
 
 
+@register("row_count_variance")
+def _row_count_variance(wh: Warehouse) -> DataFrame:
+    """The second delivery lacks every fifth customer and every 50th location."""
+    first = {n: wh.bronze[n] for n in ("crm_cust_info", "crm_prd_info", "erm_customers", "erm_customer_location")}
+    second = dict(first)
+    second["crm_cust_info"] = first["crm_cust_info"].where("cst_id is null or cst_id % 5 <> 0")
+    second["erm_customer_location"] = first["erm_customer_location"].where("cast(substr(cid, 4) as bigint) % 50 <> 0")
+    return quality.variance_of_second_load(first, second, threshold=0.05)
+
+
+@register("stable_customer_keys")
+def _stable_customer_keys(wh: Warehouse) -> DataFrame:
+    """A first load knows the customers created before 1996, a second one all
+    customers but every seventh."""
+    root = work_path(wh.spark, "customer-keys")
+    customers = wh.silver["crm_cust_info"].select("cst_id", "cst_create_date")
+    keys.register(customers.where("cst_create_date < date'1996-01-01'"), "cst_id", root, "customer_id")
+    return keys.registered(customers.where("cst_id % 7 <> 0"), "cst_id", root, "customer_id")
+
+
 # ---- next steps: incremental, CDC, streaming, RFM ---------------------------
 
 INITIAL_LOAD_BEFORE = dt.date(2000, 1, 1)

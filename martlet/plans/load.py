@@ -1,85 +1,115 @@
 """Full warehouse load: bronze, silver and gold as written layers, each read
-from the one before.
-
-Namespaces are created if missing; every table write is an overwrite (the
-drop-and-create / truncate-and-insert of the source system), so a rerun leaves
-the same tables. Silver and gold tables carry the ``dwh_create_date`` audit
-column. ``gold.fact_sales`` is a catalogue view over silver and gold tables, as
-in the source system; the two reports are refreshed tables, so that readers do
-not recompute them. Table data goes under one fresh folder in the shared
-checkpoint folder.
+from the one before, all switched by one commit.
+
+A load writes every table to folders of its own (``sources.versions.Load``) and
+commits once: until then, and if it is killed, the warehouse of the load before stays
+as it was, tables and views. The commit record is the truth; the catalogue's tables
+and views are then pointed at its folders, and ``repoint`` does so again if a load
+ended between the two.
+
+Surrogate keys come from registries beside the tables (``operators.keys``), so a
+reload changes no known key. Silver and gold tables carry the ``dwh_create_date``
+audit column. ``gold.fact_sales`` is a catalogue view over the load's own silver and
+gold tables; the two reports are refreshed tables, so that readers do not recompute
+them. Row counts of every load stay in its record: ``max_variance`` refuses a load
+whose tables lost or gained too many rows.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlet.operators import gold
+from martlet.operators import gold, keys
 from martlet.operators import silver as silver_ops
 from martlet.plans import advanced
 from martlet.plans.warehouse import Warehouse
 from martlet.schemas import AUDIT_COLUMN, BRONZE, SILVER
 from martlet.session import work_path
-from martlet.sources import files, sinks
+from martlet.sources import files, sinks, versions
 
 
 class LoadedWarehouse(Warehouse):
-    """The same layers, read from the tables that a load wrote."""
+    """The same layers, read from the tables that a load wrote: those in the
+    catalogue, or those in the given folders by ``layer.table``."""
 
-    def __init__(self, spark: SparkSession, as_of):
+    def __init__(self, spark: SparkSession, as_of: dt.date, paths: dict[str, str] | None = None, root: str | None = None):
         super().__init__(spark, "", as_of)
+        self.paths, self.root = paths, root
+
+    def stored(self, name: str) -> DataFrame:
+        return self.spark.table(name) if self.paths is None else self.spark.read.parquet(self.paths[name])
 
     @cached_property
     def bronze(self) -> dict[str, DataFrame]:
-        return {name: self.spark.table(f"bronze.{name}") for name in BRONZE}
+        return {name: self.stored(f"bronze.{name}") for name in BRONZE}
 
     @cached_property
     def silver(self) -> dict[str, DataFrame]:
-        return {name: self.spark.table(f"silver.{name}").drop(AUDIT_COLUMN) for name in SILVER}
+        return {name: self.stored(f"silver.{name}").drop(AUDIT_COLUMN) for name in SILVER}
 
     @cached_property
     def active_products(self) -> DataFrame:
         return gold.active_products(self.silver["crm_prd_info"], self.silver["erm_product_category"])
 
+    @cached_property
+    def dim_customers(self) -> DataFrame:
+        if not self.root:
+            return super().dim_customers
+        known = keys.registered(self.customer_attributes, "customer_key", f"{self.root}/keys/customers", "customer_id")
+        return known.select(*gold.DIM_CUSTOMER_COLUMNS)
+
+    @cached_property
+    def dim_products(self) -> DataFrame:
+        if not self.root:
+            return super().dim_products
+        known = keys.registered(self.active_products, "_prd_id", f"{self.root}/keys/products", "product_key")
+        return known.select(*gold.DIM_PRODUCT_COLUMNS)
+
 
 FACT_VIEW = """
 CREATE OR REPLACE VIEW gold.fact_sales AS
 SELECT s.sls_ord_num AS order_number, p.product_key, c.customer_key, s.sls_order_dt AS order_date,
        s.sls_ship_dt AS shipping_date, s.sls_due_dt AS due_date, s.sls_sales AS sales_amount,
        s.sls_quantity AS quantity, s.sls_price AS unit_price
-FROM silver.crm_sales_details s
-LEFT JOIN gold.dim_products p ON p.product_id = s.sls_prd_key
-LEFT JOIN gold.dim_customers c ON c.customer_key = s.sls_cust_id
+FROM parquet.`{sales}` s
+LEFT JOIN parquet.`{products}` p ON p.product_id = s.sls_prd_key
+LEFT JOIN parquet.`{customers}` c ON c.customer_key = s.sls_cust_id
 """
 
 
-def load_warehouse(wh: Warehouse, product_segments: dict, customer_segments: dict) -> dict[str, str]:
-    """Write every layer; return ``{layer.table: kind}`` for what was created."""
+def load_warehouse(
+    wh: Warehouse,
+    product_segments: dict,
+    customer_segments: dict,
+    root: str | None = None,
+    max_variance: float | None = None,
+) -> dict[str, str]:
+    """Write every layer below ``root`` (default: a fresh folder), commit, and
+    return ``{layer.table: kind}`` for what was created."""
     spark = wh.spark
-    root = work_path(spark, "warehouse")
-    sinks.create_namespaces(spark, root=root)
-    created: dict[str, str] = {}
+    root = root or work_path(spark, "warehouse")
+    load = versions.Load(spark, root)
+    paths: dict[str, str] = {}
 
     def write(df: DataFrame, layer: str, name: str, schema: T.StructType | None = None) -> None:
-        path = f"{root}/{layer}/{name}"
-        sinks.overwrite_table(df, f"{layer}.{name}", schema, audit=layer != "bronze", path=path)
-        created[f"{layer}.{name}"] = "table"
+        df = df if schema is None else sinks.conform(df, schema)
+        df = df if layer == "bronze" else sinks.with_audit(df)
+        paths[f"{layer}.{name}"] = load.write(f"{layer}.{name}", df)
 
     for name, schema in BRONZE.items():
         write(wh.bronze[name], "bronze", name, schema)
-    loaded = LoadedWarehouse(spark, wh.as_of)
+    loaded = LoadedWarehouse(spark, wh.as_of, paths, root)
     cleaned = silver_ops.silver_tables(loaded.bronze, wh.as_of)
     for name, schema in SILVER.items():
         write(cleaned[name], "silver", name, schema)
     write(loaded.dim_customers, "gold", "dim_customers")
     write(loaded.dim_products, "gold", "dim_products")
-    spark.sql(FACT_VIEW)
-    created["gold.fact_sales"] = "view"
-    products, customers = spark.table("gold.dim_products"), spark.table("gold.dim_customers")
+    products, customers = loaded.stored("gold.dim_products"), loaded.stored("gold.dim_customers")
     write(
         advanced.product_report(loaded.sales_lines, products, customers, wh.as_of, **product_segments),
         "gold",
@@ -90,6 +120,27 @@ def load_warehouse(wh: Warehouse, product_segments: dict, customer_segments: dic
         "gold",
         "rpt_customer_report",
     )
+    load.commit(max_variance)
+    return repoint(spark, root)
+
+
+def committed(spark: SparkSession, root: str, as_of: dt.date) -> LoadedWarehouse:
+    """The warehouse of the last committed load, whatever the catalogue says."""
+    return LoadedWarehouse(spark, as_of, {n: s.path for n, s in versions.manifest(spark, root)[1].items()}, root)
+
+
+def repoint(spark: SparkSession, root: str) -> dict[str, str]:
+    """Point the catalogue's tables and views at the last committed load."""
+    sinks.create_namespaces(spark, root=root)
+    created: dict[str, str] = {}
+    _, tables = versions.manifest(spark, root)
+    for name, stored in tables.items():
+        sinks.point_table(spark, name, stored.path)
+        created[name] = "table"
+        if name == "gold.dim_products":
+            paths = {"sales": "silver.crm_sales_details", "products": "gold.dim_products", "customers": "gold.dim_customers"}
+            spark.sql(FACT_VIEW.format(**{k: tables[t].path for k, t in paths.items()}))
+            created["gold.fact_sales"] = "view"
     return created
 
 

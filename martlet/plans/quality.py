@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from typing import TYPE_CHECKING
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.functions import codes, dates
+from martlet.session import work_path
+from martlet.sources import versions
 
 if TYPE_CHECKING:
     from martlet.plans.warehouse import Warehouse
@@ -159,6 +161,36 @@ def cleaning_audit(wh: Warehouse, customers: DataFrame) -> DataFrame:
     return out
 
 
+def row_count_variance(spark: SparkSession, root: str, threshold: float) -> DataFrame:
+    """Each table of the last two loads at ``root``: rows before and now, the share
+    by which they differ, and whether that is within ``threshold``. A table that is
+    gone counts as empty; a new one, or one that was empty, has no variance and
+    passes. One line for each table, from the loads' records."""
+    loads: dict[int, dict[str, int]] = {}
+    for version, table in versions.history(spark, root):
+        loads.setdefault(version, {})[table.slice] = table.row_count
+    now = loads.get(max(loads, default=0), {})
+    before = loads.get(max(loads, default=0) - 1, {})
+    rows = []
+    for name in sorted(before.keys() | now.keys()):
+        change = versions.variance(before.get(name), now.get(name))
+        rows.append((name, before.get(name), now.get(name, 0), change, threshold, change is None or change <= threshold))
+    schema = "table_name string, previous_rows long, row_count long, variance double, threshold double, passed boolean"
+    return spark.createDataFrame(rows, schema)
+
+
+def variance_of_second_load(first: dict[str, DataFrame], second: dict[str, DataFrame], threshold: float) -> DataFrame:
+    """Load two deliveries of the same tables one after the other and compare them."""
+    spark = next(iter(first.values())).sparkSession
+    root = work_path(spark, "deliveries")
+    for tables in (first, second):
+        load = versions.Load(spark, root)
+        for name, df in tables.items():
+            load.write(name, df)
+        load.commit()
+    return row_count_variance(spark, root, threshold)
+
+
 # (check name, audit table, audit metric or ratio, threshold): passed = measured <= threshold
 DQ_RULES = [
     ("customer_row_loss_rate", "crm_cust_info", ("bronze_rows", "silver_rows"), 0.05),

@@ -7,8 +7,8 @@ and renames it. The manifest with the highest number is the table; readers hold
 the folders it names. Data folders are never rewritten, so a load that
 fails, or is killed, before its commit leaves the table as it was, and slices that
 a load does not touch keep their files. One loader at a time: a version that
-somebody else has committed meanwhile is refused. ``vacuum`` removes what no
-manifest names any longer.
+somebody else has committed meanwhile is refused. ``vacuum`` removes data that the
+newest manifest does not name.
 
 A digest is the sum of the rows' hashes: it does not depend on order or files.
 """
@@ -19,7 +19,7 @@ import json
 import uuid
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,14 +50,17 @@ def manifest(spark: SparkSession, root: str) -> tuple[int | None, dict[str, Slic
     version = newest_version(spark, root)
     if version is None:
         return None, {}
+    return version, {s.slice: s for s in _slices(spark, root, version)}
+
+
+def _slices(spark: SparkSession, root: str, version: int) -> list[Slice]:
     fs, at = _file_system(spark, f"{root}/_commits/{version}.json")
     stream = fs.open(at)
     try:
         lines = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").splitlines()
     finally:
         stream.close()
-    slices = [Slice(**json.loads(line)) for line in lines]
-    return version, {s.slice: s for s in slices}
+    return [Slice(**json.loads(line)) for line in lines]
 
 
 def commit(spark: SparkSession, root: str, version: int, slices: list[Slice]) -> None:
@@ -124,9 +127,58 @@ def remove(spark: SparkSession, folder: str) -> bool:
     return bool(fs.delete(at, True))
 
 
+class RowCountVariance(RuntimeError):
+    """A load's row counts are too far from those of the load before."""
+
+
+def variance(before: int | None, now: int | None) -> float | None:
+    """Share by which a row count changed; a table that is gone has no rows, and
+    one that is new, or was empty, has nothing to be compared with."""
+    if not before:
+        return None
+    return abs((now or 0) - before) / before
+
+
+class Load:
+    """Several tables written one after the other and committed together: readers
+    see all of them in their new state or all in the old one."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+        version, self.before = manifest(spark, root)
+        self.version = 0 if version is None else version + 1
+        self.folder = new_folder(root, self.version)
+        self.tables: dict[str, Slice] = {}
+
+    def write(self, name: str, df: DataFrame) -> str:
+        """Write a table, counted on the way; returns its folder."""
+        rows = Observation()
+        path = f"{self.folder}/{name}"
+        df.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(path)
+        self.tables[name] = Slice(name, path, int(rows.get.get("n", 0)), "")
+        return path
+
+    def commit(self, max_variance: float | None = None) -> None:
+        """Switch readers to what was written. With ``max_variance``, a table whose
+        row count changed by more, against the load before, refuses the load."""
+        if max_variance is not None:
+            for name in sorted(self.before.keys() | self.tables.keys()):
+                old, new = (t[name].row_count if name in t else None for t in (self.before, self.tables))
+                if (changed := variance(old, new)) is not None and changed > max_variance:
+                    raise RowCountVariance(f"{name}: {old} rows before, {new or 0} now; more than {max_variance:.1%} apart")
+        commit(self.spark, self.root, self.version, list(self.tables.values()))
+
+
+def history(spark: SparkSession, root: str) -> list[tuple[int, Slice]]:
+    """Every table of every committed load, oldest first."""
+    newest = newest_version(spark, root)
+    return [(v, s) for v in range((newest if newest is not None else -1) + 1) for s in _slices(spark, root, v)]
+
+
 def vacuum(spark: SparkSession, root: str) -> int:
-    """Delete data folders and manifests that the current manifest does not need.
-    Only when no reader holds an older version. Returns how many went."""
+    """Delete data folders that the current manifest does not name; the manifests
+    stay, as the history of the loads. Only when no reader holds an older version.
+    Returns how many folders went."""
     version, slices = manifest(spark, root)
     if version is None:
         return 0
@@ -134,15 +186,11 @@ def vacuum(spark: SparkSession, root: str) -> int:
     path = spark._jvm.org.apache.hadoop.fs.Path
     kept = {fs.makeQualified(path(s.path)).toString() for s in slices.values()}
     gone = 0
-    for parent in fs.listStatus(at):
-        if parent.getPath().getName() == "_commits":
-            for old in fs.listStatus(parent.getPath()):
-                if old.getPath().getName() != f"{version}.json":
-                    gone += bool(fs.delete(old.getPath(), True))
-            continue
-        if not parent.isDirectory():
+    for run in fs.listStatus(at):
+        if not run.getPath().getName().startswith("run-"):
             continue
-        for child in fs.listStatus(parent.getPath()):
-            if child.isDirectory() and fs.makeQualified(child.getPath()).toString() not in kept:
-                gone += bool(fs.delete(child.getPath(), True))
+        children = [c.getPath() for c in fs.listStatus(run.getPath()) if c.isDirectory()]
+        for child in children:
+            if fs.makeQualified(child).toString() not in kept:
+                gone += bool(fs.delete(child, True))
     return gone
