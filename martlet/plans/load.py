@@ -95,10 +95,12 @@ def load_warehouse(
     root = root or work_path(spark, "warehouse")
     load = versions.Load(spark, root)
     paths: dict[str, str] = {}
+    columns: dict[str, T.StructType] = {}
 
     def write(df: DataFrame, layer: str, name: str, schema: T.StructType | None = None) -> None:
         df = df if schema is None else sinks.conform(df, schema)
         df = df if layer == "bronze" else sinks.with_audit(df)
+        columns[f"{layer}.{name}"] = _nullable(df.schema)
         paths[f"{layer}.{name}"] = load.write(f"{layer}.{name}", df)
 
     for name, schema in BRONZE.items():
@@ -121,7 +123,12 @@ def load_warehouse(
         "rpt_customer_report",
     )
     load.commit(max_variance)
-    return repoint(spark, root)
+    return repoint(spark, root, columns)
+
+
+def _nullable(schema: T.StructType) -> T.StructType:
+    """The columns as Parquet files give them back."""
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
 
 
 def committed(spark: SparkSession, root: str, as_of: dt.date) -> LoadedWarehouse:
@@ -129,13 +136,14 @@ def committed(spark: SparkSession, root: str, as_of: dt.date) -> LoadedWarehouse
     return LoadedWarehouse(spark, as_of, {n: s.path for n, s in versions.manifest(spark, root)[1].items()}, root)
 
 
-def repoint(spark: SparkSession, root: str) -> dict[str, str]:
-    """Point the catalogue's tables and views at the last committed load."""
+def repoint(spark: SparkSession, root: str, columns: dict[str, T.StructType] | None = None) -> dict[str, str]:
+    """Point the catalogue's tables and views at the last committed load, whose
+    ``columns`` are read from the files where they are not given."""
     sinks.create_namespaces(spark, root=root)
     created: dict[str, str] = {}
     _, tables = versions.manifest(spark, root)
     for name, stored in tables.items():
-        sinks.point_table(spark, name, stored.path)
+        sinks.point_table(spark, name, stored.path, (columns or {}).get(name))
         created[name] = "table"
         if name == "gold.dim_products":
             paths = {"sales": "silver.crm_sales_details", "products": "gold.dim_products", "customers": "gold.dim_customers"}

@@ -53,17 +53,18 @@ def overwrite_table(
     writer.saveAsTable(table)
 
 
-def point_table(spark: SparkSession, table: str, path: str) -> None:
-    """Make ``table`` an external table over the Parquet files at ``path``. A table
-    with the same columns changes its location in one step."""
-    columns = spark.read.parquet(path).schema
+def point_table(spark: SparkSession, table: str, path: str, columns: T.StructType | None = None) -> None:
+    """Make ``table`` an external table over the Parquet files at ``path`` (with
+    these ``columns``, if they are known). A table with the same columns changes
+    its location in one step."""
+    columns = columns or spark.read.parquet(path).schema
     if spark.catalog.tableExists(table):
         if spark.table(table).schema == columns:
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
             spark.catalog.refreshTable(table)
             return
         spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
+    spark.catalog.createTable(table, path, "parquet", columns)
 
 
 def overwrite_path(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
