@@ -2,8 +2,9 @@
 
 The word tokenizer drops white space and never merges across it, so a text's
 ids are its words' ids in order. Words repeat far more than texts do, so each
-worker keeps the ids of the first ``MAX_WORDS`` words it meets and joins them
-as little-endian unsigned 32-bit bytes.
+worker keeps the ids of words it meets and joins them as little-endian unsigned
+32-bit bytes. When ``MAX_WORDS`` are kept they become the old generation, of which
+only the words met again move on, so rare words do not fill the cache for good.
 """
 
 from __future__ import annotations
@@ -16,8 +17,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-#: Words whose ids one worker keeps; later words are encoded each time they occur.
-MAX_WORDS = 400_000
+#: Words whose ids one worker keeps in each of two generations.
+MAX_WORDS = 250_000
 #: Longer words are not kept.
 MAX_WORD_CHARS = 40
 #: Latin-1 letters followed by ASCII punctuation other than the apostrophe: the
@@ -41,19 +42,29 @@ class _WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
-        self[""] = b""
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
+        out = self.old.get(word)
+        if out is None:
+            out = self.encoded(word)
+        if len(word) <= MAX_WORD_CHARS:
+            if len(self) >= MAX_WORDS:
+                self.old = dict(self)
+                self.clear()
+            self[word] = out
+        return out
+
+    def encoded(self, word: str) -> bytes:
+        if not word:
+            return b""
         plain = PLAIN_WORD.fullmatch(word.lower()) if max(word) < "Ā" else None
         if plain is None:
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         else:
             model = self.tokenizer.model
             ids = [t.id for piece in plain.groups() if piece for t in model.tokenize(piece.translate(self.letters))]
-        out = struct.pack(f"<{len(ids)}I", *ids)
-        if len(self) < MAX_WORDS and len(word) <= MAX_WORD_CHARS:
-            self[word] = out
-        return out
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=2)

@@ -154,3 +154,13 @@ def test_recut_bounds_open_windows():
         assert packer.n_open < 5
     packer.recut(last=True)
     assert sum(len(p[2]) // 4 for w in out for p in w) == sum(1 + i * 37 % 99 for i in range(300))
+
+
+def test_word_generations_change_no_ids(monkeypatch):
+    texts = [f"word{i % 37} other{i} Café naïve{i % 5}! {'x' * 60}{i}" for i in range(300)]
+    path = tokens.tokenizer_path()
+    want = [tokens._WordIds(path).encoded(w) for t in texts for w in t.split(" ")]
+    monkeypatch.setattr(tokens, "MAX_WORDS", 20)
+    words = tokens._WordIds(path)
+    assert [words[w] for t in texts for w in t.split(" ")] == want and words[""] == b""
+    assert len(words) <= 20 and len(words.old) <= 20
