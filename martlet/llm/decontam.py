@@ -15,7 +15,9 @@ punctuation lead to. Such windows and those without placeholders always count;
 contradicting values then drop only the windows whose values differ.
 
 Windows with fewer than ``min_words`` words beside placeholders match on their
-values instead; items shorter than a window are matched as one window of their
+values instead (by default those of placeholders alone, as any list of numbers has
+them; the comparison of values and the share of windows reject chance matches of
+the others); items shorter than a window are matched as one window of their
 own length. Punctuation, case and white space do not matter.
 
 Defined cases: null or empty texts match nothing; documents with the same id
@@ -36,7 +38,7 @@ from martlet.llm.common import documents, quoted, staged
 WINDOW = 5
 SIMILARITY = 0.8
 MIN_RUN = 13
-MIN_WORDS = 3
+MIN_WORDS = 1
 #: Units that count as such after a number.
 UNITS = (
     "mm", "cm", "m", "km", "mg", "g", "kg", "t", "ml", "cl", "l", "s", "sec", "seconds", "min", "minutes", "h",
@@ -67,43 +69,48 @@ def template(words: Column) -> Column:
     return F.lower(united)
 
 
-def window_hashes(templates: Column, words: Column, size: int, min_words: int) -> Column:
-    """One hash for every window of ``size`` words, in order."""
+def window_entries(df: DataFrame, keep: list[str], sizes: list[int], min_words: int, verbatim: bool) -> DataFrame:
+    """``keep``, p (from 0), size, hash and whether it is of the plain words
+    (``same``), for every window of the given sizes: the template's hash, and with
+    ``verbatim`` the plain words' where they differ.
 
-    def one(at: Column) -> Column:
-        window = F.slice(templates, at, size)
-        literal = F.size(F.filter(window, lambda w: ~w.startswith(MARK)))
-        # the common window has no placeholder at all and is hashed as it is
-        return F.when(literal >= F.least(F.lit(min_words), F.lit(size)), F.xxhash64(window)).otherwise(
-            F.xxhash64(F.slice(words, at, size))
-        )
-
-    return F.when(
-        F.size(templates) >= size, F.transform(F.sequence(F.lit(1), F.size(templates) - (size - 1)), one)
-    ).otherwise(F.array().cast("array<bigint>"))
-
-
-def window_entries(
-    templates: Column, words: Column, plain: Column, size: int, min_words: int, verbatim: bool
-) -> Column:
-    """p (from 0), hash and whether it is of the plain words, for every window:
-    the template's hash, and with ``verbatim`` the plain words' where they differ."""
-
-    def entry(at: Column, value: Column, same: bool) -> Column:
-        return F.struct((at - 1).alias("p"), value.alias("hash"), F.lit(same).alias("same"))
-
-    def one(at: Column) -> Column:
-        window = F.slice(templates, at, size)
-        literal = F.size(F.filter(window, lambda w: ~w.startswith(MARK)))
-        copied = entry(at, F.xxhash64(F.slice(plain, at, size)), True)
-        return F.when((literal == size) | (literal < F.least(F.lit(min_words), F.lit(size))), F.array(copied)).otherwise(
-            F.array(entry(at, F.xxhash64(window), False), copied)
-        )
-
-    if not verbatim:
-        return F.transform(window_hashes(templates, words, size, min_words), lambda h, p: entry(p + 1, h, False))
-    starts = F.when(F.size(templates) >= size, F.sequence(F.lit(1), F.size(templates) - (size - 1)))
-    return F.flatten(F.transform(starts, one))
+    Each word is hashed once. The hashes that a window spans stand side by side in
+    the row of its first word, so windows are hashed and their literal words
+    counted in compiled code, for all sizes in one pass."""
+    # the lowest bit marks placeholders
+    flagged = F.transform(
+        "templates", lambda t: F.xxhash64(t).bitwiseAND(-2).bitwiseOR(F.when(t.startswith(MARK), 1).otherwise(0).cast("long"))
+    )
+    other = F.transform("plain" if verbatim else "words", lambda w: F.xxhash64(w))
+    hashed = df.withColumn("_t", flagged).withColumn("_o", other)
+    most = max(sizes)
+    spans = []
+    for name in ("_t", "_o"):
+        for k in range(most):
+            length = F.greatest(F.size("_t") - k, F.lit(0))
+            spans.append(F.slice(name, k + 1, length).alias(f"{name}{k}"))
+    rows = hashed.select(*keep, F.arrays_zip(*spans).alias("_z"))
+    rows = rows.select(*keep, F.posexplode("_z").alias("p", "_w")).select(*keep, "p", "_w.*")
+    entries = []
+    for size in sizes:
+        literal = sum((F.col(f"_t{k}").bitwiseAND(1) == 0).cast("int") for k in range(size))
+        enough = literal >= min(min_words, size)
+
+        def entry(value: Column, same: bool, size: int = size) -> Column:
+            return F.struct(F.lit(size).alias("size"), value.alias("hash"), F.lit(same).alias("same"))
+
+        template_hash = F.xxhash64(F.lit(size), *[F.col(f"_t{k}") for k in range(size)])
+        other_hash = F.xxhash64(F.lit(-size), *[F.col(f"_o{k}") for k in range(size)])
+        if verbatim:
+            # the common window has no placeholder at all
+            copied = entry(other_hash, True)
+            found = F.when((literal == size) | ~enough, F.array(copied)).otherwise(F.array(entry(template_hash, False), copied))
+        else:
+            found = F.when(enough, F.array(entry(template_hash, False))).otherwise(F.array(entry(other_hash, False)))
+        # the last words begin no window of this size
+        entries.append(F.when(F.col(f"_t{size - 1}").isNotNull(), found))
+    every = entries[0] if len(entries) == 1 else F.flatten(F.array_compact(F.array(*entries)))
+    return rows.select(*keep, "p", F.inline(every))
 
 
 def slots(templates: Column, words: Column, at: Column, size: Column) -> Column:
@@ -124,27 +131,19 @@ def _split(df: DataFrame) -> DataFrame:
 def item_windows(items: DataFrame, window: int, min_words: int, verbatim: bool = False) -> DataFrame:
     """item, at, size, hash, same (hash of plain words), slots of the item's windows."""
     split = _split(documents(items, "item_id")).select(F.col("doc_id").alias("item"), "words", "templates", "plain")
-    split = split.where(F.element_at("words", 1) != "").withColumn("size", F.least(F.lit(window), F.size("words")))
-    parts = []
-    for size in range(1, window + 1):
-        entries = window_entries(F.col("templates"), F.col("words"), F.col("plain"), size, min_words, verbatim)
-        parts.append(
-            split.where(F.col("size") == size)
-            .select("item", "size", "words", "templates", F.inline(entries))
-            .select(
-                "item",
-                (F.col("p") + 1).alias("at"),
-                "size",
-                "hash",
-                "same",
-                F.when(F.col("same"), F.array().cast("array<string>"))
-                .otherwise(slots(F.col("templates"), F.col("words"), F.col("p") + 1, F.col("size")))
-                .alias("slots"),
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
+    split = split.where(F.element_at("words", 1) != "").withColumn("full", F.least(F.lit(window), F.size("words")))
+    # the items' words beside their windows: items are few and short next to documents
+    entries = window_entries(split, ["item", "words", "templates", "plain", "full"], list(range(1, window + 1)), min_words, verbatim)
+    out = entries.where(F.col("size") == F.col("full")).select(
+        "item",
+        (F.col("p") + 1).alias("at"),
+        "size",
+        "hash",
+        "same",
+        F.when(F.col("same"), F.array().cast("array<string>"))
+        .otherwise(slots(F.col("templates"), F.col("words"), F.col("p") + 1, F.col("size")))
+        .alias("slots"),
+    )
     # repeated items name the same windows once
     return out.dropDuplicates(["item", "at", "hash"])
 
@@ -168,19 +167,11 @@ def contaminated(
         "hash", F.col("item"), F.col("at").alias("item_at"), "size", "same", F.size("slots").alias("n_slots")
     ).withColumnRenamed("same", "copied")
 
-    parts = []
-    for size in sizes or [window]:
-        entries = window_entries(F.col("templates"), F.col("words"), F.col("plain"), size, min_words, verbatim)
-        exploded = _split(texts).select("doc_id", "tie", F.inline(entries)).drop("same")
-        # the staged size of the benchmark decides between a broadcast and a shuffled join
-        parts.append(
-            exploded.join(keys.where(F.col("size") == size), "hash").select(
-                "doc_id", "tie", "item", (F.col("p") + 1).alias("doc_at"), "item_at", "size", "copied", "n_slots"
-            )
-        )
-    hits = parts[0]
-    for p in parts[1:]:
-        hits = hits.union(p)
+    exploded = window_entries(_split(texts), ["doc_id", "tie"], sizes or [window], min_words, verbatim).drop("same")
+    # the staged size of the benchmark decides between a broadcast and a shuffled join
+    hits = exploded.join(keys, ["hash", "size"]).select(
+        "doc_id", "tie", "item", (F.col("p") + 1).alias("doc_at"), "item_at", "size", "copied", "n_slots"
+    )
     # a window copied word for word has no values to compare
     hits = hits.groupBy("doc_id", "tie", "item", "doc_at", "item_at", "size").agg(
         F.when(F.max("copied"), F.lit(0)).otherwise(F.max("n_slots")).alias("n_slots")

@@ -34,7 +34,7 @@ def templates(text):
     return out, [w.lower() for w in words]
 
 
-def brute(docs, items, window=5, similarity=0.8, min_run=13, min_words=3):
+def brute(docs, items, window=5, similarity=0.8, min_run=13, min_words=decontam.MIN_WORDS):
     def windows(text):
         t, w = templates(text or "")
         size = min(window, len(t))
@@ -220,3 +220,23 @@ def test_empty_tables(spark):
 def test_no_python_in_the_plan(spark):
     plan = QUERIES["op10_decontam"](spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_number_dense_questions_are_found(spark):
+    items = [
+        (1, "If 3 km take 2 hours then 5 km at 9 km per 4 hours take how many hours"),
+        (2, "In Lyon 12 birds eat 7 g and in Turin 30 birds eat 25 g on 12 days"),
+    ]
+    docs = [
+        (1, "If 8 km take 6 hours then 11 km at 2 km per 5 hours take how many hours"),
+        (2, "See, In Oslo 14 birds eat 9 g and in Rome 41 birds eat 33 g on 14 days"),
+        (3, "In Oslo 14 birds eat 9 g and in Rome 41 birds eat 33 g on 15 days"),  # 12 is 14, then 15
+        (4, "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20"),
+        (5, "3 km 2 hours 5 km 9 km 4 hours"),
+    ]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    plain = {(r.doc_id, r.item_id): r.reparameterised for r in decontam.contaminated(d, b).collect()}
+    assert plain == {(1, 1): True, (2, 2): True}
+    both = {(r.doc_id, r.item_id): r.reparameterised for r in decontam.contaminated(d, b, verbatim=True).collect()}
+    assert both == plain
