@@ -54,18 +54,19 @@ def prepared(text: Column) -> Column:
     that is neither letter, digit nor a number's own separator removed."""
     text = F.replace(text, F.lit(MARK), F.lit(" "))
     # a capital after a small letter, digit, comma or semicolon and a space is within a sentence
-    marked = F.regexp_replace(text, r"(?<=[\p{Ll}\p{N},;]\s)(?=\p{Lu})", MARK)
-    apart = F.regexp_replace(marked, r"(?<=\p{N})(?=\p{L})", " ")
+    # every pattern first tests the character at hand, which fails at most of them
+    marked = F.regexp_replace(text, r"(?=\p{Lu})(?<=[\p{Ll}\p{N},;]\s)", MARK)
+    apart = F.regexp_replace(marked, r"(\p{N})(?=\p{L})", "$1 ")
     # two passes of plain classes: a repeated choice would take stack for every character of a run
-    lone = F.regexp_replace(apart, r"(?<!\p{N})[.,]|[.,](?!\p{N})", " ")
+    lone = F.regexp_replace(apart, r"[.,](?:(?!\p{N})|(?<!\p{N}[.,]))", " ")
     return F.trim(F.regexp_replace(lone, rf"[^\p{{L}}\p{{N}}{MARK}.,]++", " "))
 
 
 def template(words: Column) -> Column:
     """The words of ``prepared`` with placeholders for names, numbers and units."""
     named = F.regexp_replace(words, rf"{MARK}\S+", f"{MARK}name")
-    counted = F.regexp_replace(named, r"(?<![^ ])\p{N}\S*", f"{MARK}num")
-    united = F.regexp_replace(counted, rf"(?i)(?<={MARK}num )(?:{'|'.join(UNITS)})(?![^ ])", f"{MARK}unit")
+    counted = F.regexp_replace(named, r"(?=\p{N})(?<![^ ])\p{N}\S*", f"{MARK}num")
+    united = F.regexp_replace(counted, rf"({MARK}num )(?i:{'|'.join(UNITS)})(?![^ ])", f"$1{MARK}unit")
     return F.lower(united)
 
 
