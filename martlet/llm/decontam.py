@@ -70,48 +70,33 @@ def template(words: Column) -> Column:
     return F.lower(united)
 
 
-def window_entries(df: DataFrame, keep: list[str], sizes: list[int], min_words: int, verbatim: bool) -> DataFrame:
-    """``keep``, p (from 0), size, hash and whether it is of the plain words
-    (``same``), for every window of the given sizes: the template's hash, and with
-    ``verbatim`` the plain words' where they differ.
+def windows(df: DataFrame, keep: list[str], sizes: list[int], min_words: int, verbatim: bool) -> DataFrame:
+    """``keep``, p (from 0) and, for each size s, the hashes of the window that
+    begins there: ``t<s>`` of its template and ``o<s>`` of its plain words (without
+    ``verbatim``: its words), each null where it doesn't count.
 
-    Each word is hashed once. The hashes that a window spans stand side by side in
-    the row of its first word, so windows are hashed and their literal words
-    counted in compiled code, for all sizes in one pass."""
+    Each word is hashed once; windows are hashed from their words' hashes, and their
+    literal words counted, in compiled code, for all sizes in one pass."""
     # the lowest bit marks placeholders
     flagged = F.transform(
         "templates", lambda t: F.xxhash64(t).bitwiseAND(-2).bitwiseOR(F.when(t.startswith(MARK), 1).otherwise(0).cast("long"))
     )
     other = F.transform("plain" if verbatim else "words", lambda w: F.xxhash64(w))
-    hashed = df.withColumn("_t", flagged).withColumn("_o", other)
-    most = max(sizes)
-    spans = []
-    for name in ("_t", "_o"):
-        for k in range(most):
-            length = F.greatest(F.size("_t") - k, F.lit(0))
-            spans.append(F.slice(name, k + 1, length).alias(f"{name}{k}"))
-    rows = hashed.select(*keep, F.arrays_zip(*spans).alias("_z"))
-    rows = rows.select(*keep, F.posexplode("_z").alias("p", "_w")).select(*keep, "p", "_w.*")
-    entries = []
+    hashed = df.select(*keep, flagged.alias("_t"), other.alias("_o"))
+    rows = hashed.select("*", F.explode(F.sequence(F.lit(0), F.size("_t") - 1)).alias("p"))
+    columns = []
     for size in sizes:
-        literal = sum((F.col(f"_t{k}").bitwiseAND(1) == 0).cast("int") for k in range(size))
+        t = [F.get("_t", F.col("p") + k) for k in range(size)]
+        o = [F.get("_o", F.col("p") + k) for k in range(size)]
+        literal = sum((x.bitwiseAND(1) == 0).cast("int") for x in t)
         enough = literal >= min(min_words, size)
-
-        def entry(value: Column, same: bool, size: int = size) -> Column:
-            return F.struct(F.lit(size).alias("size"), value.alias("hash"), F.lit(same).alias("same"))
-
-        template_hash = F.xxhash64(F.lit(size), *[F.col(f"_t{k}") for k in range(size)])
-        other_hash = F.xxhash64(F.lit(-size), *[F.col(f"_o{k}") for k in range(size)])
-        if verbatim:
-            # the common window has no placeholder at all
-            copied = entry(other_hash, True)
-            found = F.when((literal == size) | ~enough, F.array(copied)).otherwise(F.array(entry(template_hash, False), copied))
-        else:
-            found = F.when(enough, F.array(entry(template_hash, False))).otherwise(F.array(entry(other_hash, False)))
-        # the last words begin no window of this size
-        entries.append(F.when(F.col(f"_t{size - 1}").isNotNull(), found))
-    every = entries[0] if len(entries) == 1 else F.flatten(F.array_compact(F.array(*entries)))
-    return rows.select(*keep, "p", F.inline(every))
+        whole = F.size("_t") >= F.col("p") + size
+        # the common window has no placeholder at all: its plain words are its template
+        as_template = whole & enough & (literal < size) if verbatim else whole & enough
+        as_words = whole if verbatim else whole & ~enough
+        columns.append(F.when(as_template, F.xxhash64(F.lit(size), *t)).alias(f"t{size}"))
+        columns.append(F.when(as_words, F.xxhash64(F.lit(-size), *o)).alias(f"o{size}"))
+    return rows.select(*keep, "p", *columns)
 
 
 def slots(templates: Column, words: Column, at: Column, size: Column) -> Column:
@@ -134,7 +119,14 @@ def item_windows(items: DataFrame, window: int, min_words: int, verbatim: bool =
     split = _split(documents(items, "item_id")).select(F.col("doc_id").alias("item"), "words", "templates", "plain")
     split = split.where(F.element_at("words", 1) != "").withColumn("full", F.least(F.lit(window), F.size("words")))
     # the items' words beside their windows: items are few and short next to documents
-    entries = window_entries(split, ["item", "words", "templates", "plain", "full"], list(range(1, window + 1)), min_words, verbatim)
+    sizes = list(range(1, window + 1))
+    every = windows(split, ["item", "words", "templates", "plain", "full"], sizes, min_words, verbatim)
+    entries = [
+        F.struct(F.lit(s).alias("size"), F.col(f"{kind}{s}").alias("hash"), F.lit(verbatim and kind == "o").alias("same"))
+        for s in sizes
+        for kind in "to"
+    ]
+    entries = every.select("item", "words", "templates", "full", "p", F.inline(F.array(*entries))).where("hash is not null")
     out = entries.where(F.col("size") == F.col("full")).select(
         "item",
         (F.col("p") + 1).alias("at"),
@@ -168,9 +160,12 @@ def contaminated(
         "hash", F.col("item"), F.col("at").alias("item_at"), "size", "same", F.size("slots").alias("n_slots")
     ).withColumnRenamed("same", "copied")
 
-    exploded = window_entries(_split(texts), ["doc_id", "tie"], sizes or [window], min_words, verbatim).drop("same")
-    # the staged size of the benchmark decides between a broadcast and a shuffled join
-    hits = exploded.join(keys, ["hash", "size"]).select(
+    found = windows(_split(texts), ["doc_id", "tie"], sizes or [window], min_words, verbatim)
+    hashes = F.array(*[F.col(f"{kind}{s}") for s in sizes or [window] for kind in "to"])
+    exploded = found.select("doc_id", "tie", "p", F.explode(hashes).alias("hash"))
+    # the hash tells size and kind; the staged size of the benchmark decides between
+    # a broadcast and a shuffled join, in which null hashes match nothing
+    hits = exploded.join(keys, "hash").select(
         "doc_id", "tie", "item", (F.col("p") + 1).alias("doc_at"), "item_at", "size", "copied", "n_slots"
     )
     # a window copied word for word has no values to compare
