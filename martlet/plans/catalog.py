@@ -265,6 +265,7 @@ register("stream_daily_counts")(lambda wh: arrivals.counts_in_ranges(wh.spark, w
 
 
 register("csv_roundtrip")(lambda wh: load.csv_roundtrip(wh))
+register("csv_rejects")(lambda wh: load.csv_rejects(wh))
 register("load_warehouse")(lambda wh: load.loaded_contents(wh, PRODUCT_SEGMENTS, CUSTOMER_SEGMENTS))
 
 

@@ -21,6 +21,7 @@ import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +31,7 @@ from martlet.plans import advanced
 from martlet.plans.warehouse import Warehouse
 from martlet.schemas import AUDIT_COLUMN, BRONZE, SILVER
 from martlet.session import work_path
-from martlet.sources import files, sinks, versions
+from martlet.sources import files, quarantine, sinks, testdata, versions
 
 
 class LoadedWarehouse(Warehouse):
@@ -197,3 +198,21 @@ def csv_roundtrip(wh: Warehouse) -> DataFrame:
         )
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def csv_rejects(wh: Warehouse, allowed: float = 0.05) -> DataFrame:
+    """A delivery of sales lines split into typed rows and quarantine: lines and
+    content by reason (``accepted`` for the rows), and whether the reason's share of
+    all lines is within ``allowed``."""
+    path = work_path(wh.spark, "csv-delivery")
+    testdata.write_delivered_sales(wh.bronze["crm_sales_details"], path)
+    good, rejected = quarantine.split_csv(wh.spark, path, "crm_sales_details")
+    count = F.count(F.lit(1)).alias("row_count")
+    accepted = good.agg(count, content(good).alias("content")).select(F.lit("accepted").alias("reason"), "*")
+    lines = rejected.select(quarantine.LINE)
+    found = accepted.unionByName(
+        rejected.groupBy(F.col(quarantine.REASON).alias("reason")).agg(count, content(lines).alias("content"))
+    )
+    # one row a reason
+    share = F.col("row_count") / F.nullif(F.sum("row_count").over(W.partitionBy()), F.lit(0))
+    return found.withColumn("passed", (F.col("reason") == "accepted") | (share <= allowed))

@@ -2,9 +2,9 @@
 into quintiles.
 
 ``NTILE`` over all customers is a global ordering; a plain window would pull
-every customer into one task. Each score instead takes a dense global row
-number (range-partitioned, see ``global_row_number``) plus the row count and
-applies the NTILE formula, which is exact.
+every customer into one task. The scores instead compare each customer with the
+four cut rows of each ranking, which counting finds exactly (``operators.selection``):
+no customer is sorted, numbered or joined for its scores.
 """
 
 from __future__ import annotations
@@ -14,11 +14,16 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlet.operators.windows import global_row_number, ntile_from_row_number
+from martlet.operators.selection import Ranking, with_tiles
 from martlet.plans.explore import money
 from martlet.session import stage_table
 
 BUCKETS = 5
+RANKINGS = [
+    Ranking("recency_days", "r_score", descending=True),
+    Ranking("frequency", "f_score"),
+    Ranking("_monetary", "m_score"),
+]
 
 
 def customer_rfm_base(fact: DataFrame, as_of: dt.date, customers: DataFrame | None = None) -> DataFrame:
@@ -39,26 +44,12 @@ def customer_rfm_base(fact: DataFrame, as_of: dt.date, customers: DataFrame | No
     return per
 
 
-def _score(base: DataFrame, order: list, name: str) -> DataFrame:
-    """(customer_key, score) from a narrow numbering: the key and its metric."""
-    numbered = global_row_number(base, order, "_rn", total="_n")
-    return numbered.select("customer_key", ntile_from_row_number(F.col("_rn"), F.col("_n"), BUCKETS).alias(name))
-
-
 def rfm_scores(fact: DataFrame, as_of: dt.date, customers: DataFrame | None = None) -> DataFrame:
     """Scores 1..5 where 5 is best: most recent, most frequent, highest spend.
     Ties are ordered by customer key so every score is deterministic. The
-    per-customer metrics are staged once; three (key, metric) projections are
-    numbered and joined back."""
+    per-customer metrics are staged once; the passes of the selection read that."""
     base = stage_table(customer_rfm_base(fact, as_of, customers), "rfm-base")
-    key = F.asc("customer_key")
-    scored = base
-    for metric, name, first in (
-        ("recency_days", "r_score", F.desc("recency_days")),
-        ("frequency", "f_score", F.asc("frequency")),
-        ("_monetary", "m_score", F.asc_nulls_first("_monetary")),
-    ):
-        scored = scored.join(_score(base.select("customer_key", metric), [first, key], name), "customer_key")
+    scored = with_tiles(base, "customer_key", RANKINGS, BUCKETS)
     return scored.select(
         "customer_key",
         "recency_days",

@@ -237,6 +237,28 @@ def bronze_crm_sales_details(lineitem: DataFrame, orders: DataFrame, part: DataF
     return _conform(out, "crm_sales_details")
 
 
+def write_delivered_sales(sales: DataFrame, path: str) -> None:
+    """The bronze sales rows as the plain comma-separated lines of another writer
+    (NULL an empty field), some of them damaged on a rule of the customer id: cut
+    after the fifth field, a field too many, a quantity or both amounts in words."""
+    damage = F.coalesce(F.abs("sls_cust_id") % 40, F.lit(-1))
+    fields = []
+    for name in sales.columns:
+        field = F.coalesce(F.col(name).cast("string"), F.lit(""))
+        if name == "sls_quantity":
+            field = F.when(damage == 2, F.lit("many")).otherwise(field)
+        if name in ("sls_sales", "sls_price"):
+            field = F.when(damage == 3, F.lit("free")).otherwise(field)
+        fields.append(field)
+    line = (
+        F.when(damage == 0, F.concat_ws(",", *fields[:5]))
+        .when(damage == 1, F.concat_ws(",", *fields, F.lit("?")))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    header = ",".join(sales.columns)
+    sales.select(line.alias(header)).write.option("header", True).option("sep", "\u0001").option("quote", "").csv(path)
+
+
 def _conform(df: DataFrame, table: str) -> DataFrame:
     """Typed projection onto the declared bronze schema (positional)."""
     schema = BRONZE[table]
