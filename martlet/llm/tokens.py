@@ -19,6 +19,8 @@ import pyarrow as pa
 
 #: Words whose ids one worker keeps in each of two generations.
 MAX_WORDS = 250_000
+#: Runs of punctuation at the ends of words whose ids one worker keeps.
+MAX_MARKS = 4_096
 #: Longer words are not kept.
 MAX_WORD_CHARS = 40
 #: Latin-1 letters followed by ASCII punctuation other than the apostrophe: the
@@ -40,6 +42,8 @@ class _WordIds(dict):
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.marks = lru_cache(maxsize=MAX_MARKS)(self.piece)
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
         self.old: dict[str, bytes] = {}
@@ -61,9 +65,14 @@ class _WordIds(dict):
         plain = PLAIN_WORD.fullmatch(word.lower()) if max(word) < "Ā" else None
         if plain is None:
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        else:
-            model = self.tokenizer.model
-            ids = [t.id for piece in plain.groups() if piece for t in model.tokenize(piece.translate(self.letters))]
+            return struct.pack(f"<{len(ids)}I", *ids)
+        letters, marks = plain.groups()
+        # other forms of a word share its letters, which are a word of the cache themselves
+        out = self.piece(letters) if letters == word else self[letters]
+        return out + self.marks(marks) if marks else out
+
+    def piece(self, piece: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(piece.translate(self.letters))]
         return struct.pack(f"<{len(ids)}I", *ids)
 
 
