@@ -35,6 +35,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -102,20 +103,27 @@ class Shard:
 
     def __init__(self, doc_ids: np.ndarray, lengths: np.ndarray, starts: np.ndarray, terms: np.ndarray,
                  counts: np.ndarray, mean_length: float):
-        self.doc_ids, self.starts = doc_ids, starts
+        # postings are held once by document (term, count) and once by term
+        # (document, impact); positions fit 32 bits by the size of a shard
+        self.doc_ids, self.starts, self.counts = doc_ids, starts, counts
         self.n_docs = len(lengths)
-        self.vocabulary, self.term = np.unique(terms, return_inverse=True)
         self.filled = np.diff(starts) > 0
-        doc = np.repeat(np.arange(self.n_docs), np.diff(starts))
-        norm = K1 * (1 - B + B * lengths / max(mean_length, 1e-9))
-        self.impact = counts * (K1 + 1) / (counts + norm[doc])
-        order = np.argsort(self.term, kind="stable")  # by term, then document
-        self.post_doc, self.post_impact = doc[order], self.impact[order]
-        self.post_start = np.concatenate(([0], np.cumsum(np.bincount(self.term, minlength=len(self.vocabulary)))))
+        self.norm = K1 * (1 - B + B * lengths / max(mean_length, 1e-9))
+        order = np.argsort(terms, kind="stable")  # by term, then document
+        in_order = terms[order]
+        first = np.ones(len(terms), bool)
+        first[1:] = in_order[1:] != in_order[:-1]
+        self.vocabulary = in_order[first]
+        del in_order
+        by_term = np.cumsum(first, dtype=np.int32) - np.int32(1)
+        self.post_start = np.append(np.flatnonzero(first), len(terms))
+        self.term = np.empty(len(terms), np.int32)
+        self.term[order] = by_term
+        self.post_doc = np.repeat(np.arange(self.n_docs, dtype=np.int32), np.diff(starts))[order]
+        self.post_impact = self._impact(counts[order], self.norm[self.post_doc])
+        del order
         # block maxima: one entry for every (term, block) with a posting
-        blocks = self.post_doc // BLOCK_DOCS
-        by_term = np.sort(self.term, kind="stable")
-        first = np.ones(len(blocks), bool)
+        blocks = self.post_doc // np.int32(BLOCK_DOCS)
         first[1:] = (blocks[1:] != blocks[:-1]) | (by_term[1:] != by_term[:-1])
         at = np.flatnonzero(first)
         self.max_block = blocks[at]
@@ -124,11 +132,18 @@ class Shard:
         self.n_blocks = -(-self.n_docs // BLOCK_DOCS)
         self.weight = np.zeros(len(self.vocabulary))
 
+    @staticmethod
+    def _impact(counts: np.ndarray, norm: np.ndarray) -> np.ndarray:
+        out = counts * (K1 + 1)
+        norm += counts  # the caller's copy
+        out /= norm
+        return out
+
     def evaluate(self, docs: np.ndarray) -> np.ndarray:
         """Full scores of documents for the query in ``weight``."""
         at = _ranges(self.starts[docs], self.starts[docs + 1])
         sizes = self.starts[docs + 1] - self.starts[docs]
-        parts = self.weight[self.term[at]] * self.impact[at]
+        parts = self.weight[self.term[at]] * self._impact(self.counts[at], np.repeat(self.norm[docs], sizes))
         return np.add.reduceat(parts, np.cumsum(sizes) - sizes)
 
     def top(self, terms: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -193,32 +208,42 @@ def _read(path: str, columns: list[str]) -> pa.Table:
     import pyarrow.dataset as ds
 
     fs, folder = file_system(path)
-    return ds.dataset(folder, filesystem=fs, format="parquet").to_table(columns=columns).combine_chunks()
+    return ds.dataset(folder, filesystem=fs, format="parquet").to_table(columns=columns)
 
 
-def _flat(table: pa.Table, name: str) -> np.ndarray:
-    column = table.column(name)
-    return np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks] or [np.zeros(0, np.int64)])
+def _lists(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """(values of all lists, where each list starts and the last one ends)."""
+    chunks = table.column(name).chunks
+    values = [c.flatten().to_numpy(zero_copy_only=False) for c in chunks]
+    sizes = [pc.list_value_length(c).to_numpy(zero_copy_only=False) for c in chunks]
+    starts = np.concatenate([np.zeros(1, np.int64), *sizes]).cumsum()
+    return np.concatenate(values) if values else np.zeros(0, np.int64), starts
+
+
+#: The shard this worker holds; the one before goes before the next is read.
+_HELD: dict[tuple[str, float], Shard] = {}
 
 
-@lru_cache(maxsize=1)
 def load_shard(path: str, mean_length: float) -> Shard:
-    table = _read(path, ["doc_id", "length", "terms", "counts"])
-    sizes = np.fromiter((len(x) for c in table.column("terms").chunks for x in c), np.int64, table.num_rows)
-    starts = np.concatenate(([0], np.cumsum(sizes)))
-    last = np.iinfo(np.int64).max
-    doc_ids = np.array([last if d is None else d for d in table.column("doc_id").to_pylist()], np.int64)
-    lengths = table.column("length").to_numpy().astype(float)
-    return Shard(doc_ids, lengths, starts, _flat(table, "terms"), _flat(table, "counts").astype(float), mean_length)
+    if (path, mean_length) not in _HELD:
+        _HELD.clear()
+        narrow = _read(path, ["doc_id", "length"])
+        last = np.iinfo(np.int64).max
+        doc_ids = pc.fill_null(narrow.column("doc_id"), last).to_numpy()
+        lengths = narrow.column("length").to_numpy().astype(float)
+        terms, starts = _lists(_read(path, ["terms"]), "terms")
+        counts, _ = _lists(_read(path, ["counts"]), "counts")
+        _HELD[path, mean_length] = Shard(doc_ids, lengths, starts, terms, counts.astype(np.int32), mean_length)
+    return _HELD[path, mean_length]
 
 
 @lru_cache(maxsize=1)
 def load_queries(path: str) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
     table = _read(path, ["query_id", "query_tie", "terms", "idf"])
-    return [
-        (r["query_id"], r["query_tie"], np.array(r["terms"], np.int64), np.array(r["idf"], float))
-        for r in table.to_pylist()
-    ]
+    (terms, starts), (idf, _) = _lists(table, "terms"), _lists(table, "idf")
+    ends = zip(starts[:-1].tolist(), starts[1:].tolist())
+    names = zip(table.column("query_id").to_pylist(), table.column("query_tie").to_pylist())
+    return [(query_id, tie, terms[a:b], idf[a:b]) for (query_id, tie), (a, b) in zip(names, ends)]
 
 
 def search(index_path: str, queries: DataFrame, k: int = 10) -> DataFrame:
@@ -263,7 +288,8 @@ def search(index_path: str, queries: DataFrame, k: int = 10) -> DataFrame:
     shards = postings.select("shard").distinct()
     pairs = shards.select("shard", F.explode(F.lit(blocks or [0]).cast("array<bigint>")).alias("block"))
     pairs = staged(pairs if blocks else pairs.where("false"), "bm25-tasks")  # two numbers a task
-    dealt = pairs.repartition(min(MAX_TASKS, max(1, pairs.count())), "shard", "block")
+    # a task that has several pairs of a shard loads it once
+    dealt = pairs.repartition(min(MAX_TASKS, max(1, pairs.count())), "shard", "block").sortWithinPartitions("shard")
     best = W.partitionBy("query_id", "query_tie").orderBy(F.desc("score"), "doc_id")
     last = F.lit(int(np.iinfo(np.int64).max))
     return (
