@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from martlet.operators import gold, keys
-from martlet.plans import advanced, cleaning, explore, incremental, insight, load, quality, rfm
+from martlet.plans import advanced, cleaning, distincts, explore, incremental, insight, load, quality, rfm
 from martlet.plans.warehouse import Warehouse
 from martlet.session import work_path
 from martlet.streaming import arrivals
@@ -264,6 +264,13 @@ register("cdc_merge")(
 register("stream_daily_counts")(lambda wh: arrivals.counts_in_ranges(wh.spark, wh.table("events"), ranges=3))
 
 
+# the second load brings the later and undated lines, and the year 1998 once more
+register("distinct_states")(
+    lambda wh: distincts.counts_over_loads(
+        wh.silver["crm_sales_details"],
+        ["sls_order_dt < date'1999-01-01'", "sls_order_dt is null or sls_order_dt >= date'1998-01-01'"],
+    )
+)
 register("csv_roundtrip")(lambda wh: load.csv_roundtrip(wh))
 register("csv_rejects")(lambda wh: load.csv_rejects(wh))
 register("load_warehouse")(lambda wh: load.loaded_contents(wh, PRODUCT_SEGMENTS, CUSTOMER_SEGMENTS))
