@@ -25,7 +25,7 @@ MAX_MARKS = 4_096
 MAX_WORD_CHARS = 40
 #: Latin-1 letters followed by ASCII punctuation other than the apostrophe: the
 #: normaliser and the splitter of the tokenizer leave exactly these two pieces.
-PLAIN_WORD = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+PLAIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -62,17 +62,17 @@ class _WordIds(dict):
     def encoded(self, word: str) -> bytes:
         if not word:
             return b""
-        plain = PLAIN_WORD.fullmatch(word.lower()) if max(word) < "Ā" else None
+        plain = PLAIN_WORD.fullmatch(word)
         if plain is None:
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}I", *ids)
-        letters, marks = plain.groups()
+        letters, marks = plain[1].lower(), plain[2]
         # other forms of a word share its letters, which are a word of the cache themselves
         out = self.piece(letters) if letters == word else self[letters]
         return out + self.marks(marks) if marks else out
 
     def piece(self, piece: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize(piece.translate(self.letters))]
+        ids = [t.id for t in self.model.tokenize(piece if piece.isascii() else piece.translate(self.letters))]
         return struct.pack(f"<{len(ids)}I", *ids)
 
 
