@@ -230,6 +230,13 @@ def product_report(
 ) -> DataFrame:
     """One row per sold product; ``lines`` carry raw ``product_id`` and ``customer_key``."""
     metrics = _per_key_metrics(lines, "product_id", "customer_key", customer_keys, "total_customers")
+    return product_report_of(metrics, products, as_of, high, mid)
+
+
+def product_report_of(
+    metrics: DataFrame, products: DataFrame, as_of: dt.date, high: float = 50000, mid: float = 10000
+) -> DataFrame:
+    """The product report from metrics per ``product_id``."""
     dim = products.select("product_key", "product_id", "product_name", "category", "subcategory", "cost")
     joined = metrics.join(dim, "product_id")
     k = _kpis(as_of, high, mid, ("High-Performer", "Mid-Range", "Low-Performer"), "revenue_segment")
@@ -262,6 +269,13 @@ def customer_report(
 ) -> DataFrame:
     """One row per buying customer; ``lines`` carry raw ``product_id`` and ``customer_key``."""
     metrics = _per_key_metrics(lines, "customer_key", "product_id", product_ids, "total_products")
+    return customer_report_of(metrics, customers, as_of, high, mid)
+
+
+def customer_report_of(
+    metrics: DataFrame, customers: DataFrame, as_of: dt.date, high: float = 5000, mid: float = 1000
+) -> DataFrame:
+    """The customer report from metrics per ``customer_key``."""
     dim = customers.select(
         "customer_id", "customer_key", "first_name", "last_name", "gender", "marital_status", "country", "birth_date"
     )

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from martlet.operators import gold, keys
-from martlet.plans import advanced, cleaning, distincts, explore, incremental, insight, load, quality, rfm
+from martlet.plans import advanced, cleaning, distincts, explore, incremental, insight, load, quality, report_states, rfm
 from martlet.plans.warehouse import Warehouse
 from martlet.session import work_path
 from martlet.streaming import arrivals
@@ -271,6 +271,30 @@ register("distinct_states")(
         ["sls_order_dt < date'1999-01-01'", "sls_order_dt is null or sls_order_dt >= date'1998-01-01'"],
     )
 )
+
+
+#: Lines up to 1998, later and undated ones, and the second load once more.
+REPORT_LOADS = [
+    ("until-1998", "order_date < date'1999-01-01'"),
+    ("from-1999", "order_date is null or order_date >= date'1999-01-01'"),
+    ("from-1999", "order_date is null or order_date >= date'1999-01-01'"),
+]
+
+
+@register("product_report_refreshed")
+def _product_report_refreshed(wh: Warehouse) -> DataFrame:
+    root = report_states.stored_loads(wh.sales_lines, REPORT_LOADS, report_states.PRODUCT)
+    metrics = report_states.metrics(wh.spark, root, report_states.PRODUCT, wh.customer_keys)
+    return advanced.product_report_of(metrics, wh.dim_products, wh.as_of, **PRODUCT_SEGMENTS)
+
+
+@register("customer_report_refreshed")
+def _customer_report_refreshed(wh: Warehouse) -> DataFrame:
+    root = report_states.stored_loads(wh.sales_lines, REPORT_LOADS, report_states.CUSTOMER)
+    metrics = report_states.metrics(wh.spark, root, report_states.CUSTOMER, wh.product_ids)
+    return advanced.customer_report_of(metrics, wh.dim_customers, wh.as_of, **CUSTOMER_SEGMENTS)
+
+
 register("csv_roundtrip")(lambda wh: load.csv_roundtrip(wh))
 register("csv_rejects")(lambda wh: load.csv_rejects(wh))
 register("load_warehouse")(lambda wh: load.loaded_contents(wh, PRODUCT_SEGMENTS, CUSTOMER_SEGMENTS))
