@@ -1,15 +1,17 @@
 """Secret scanning with a random forest against false positives, in DataFrame
 functions and Spark ML only.
 
-High-recall candidates are runs of token characters with a digit, and quoted
-values after an assignment. A forest trained on labelled findings rates each by
+High-recall candidates are runs of token characters with a digit, quoted values
+after an assignment, and values of six or more characters, quoted or not, assigned to
+the name of a credential. A forest trained on labelled findings rates each by
 its length, character classes and transitions, dictionary coverage, path and
 neighbouring words. Transition frequencies and the dictionary come from the
 word counts of the whole corpus.
 
 ``scan`` takes labelled findings where they exist. Where there are none,
 ``distant_labels`` labels the corpus's own candidates by their context (an
-assignment to a credential name or not) and hides the context from the forest
+assignment to a credential name or not; a value of dictionary words alone is no
+secret) and hides the context from the forest
 in half of the rows, so that it must also learn from the strings themselves.
 The forest is fitted on at most ``max_labelled`` findings.
 
@@ -30,10 +32,21 @@ from pyspark.sql import functions as F
 
 from martlet.llm.common import staged
 
-TOKEN = "A-Za-z0-9+/_="
-CANDIDATE = rf"(?<![{TOKEN}-])(?=[A-Za-z+/_=-]*[0-9])[{TOKEN}-]{{16,}}|(?<=[=:]\s?[\"'])[^\s\"']{{8,}}"
+#: Characters of tokens; ``=`` only pads their end, so a name and its value are two.
+TOKEN = "A-Za-z0-9+/_"
+NAME = "(?:token|secret|passw|pwd|api.?key|key|auth|credential)"
+#: Just after an assignment to a credential name. Java looks back over a bounded
+#: length only; the first test is short and fails nearly everywhere.
+ASSIGNED = rf"(?<=[=:]\s?[\"']?)(?<=(?i:{NAME})\w{{0,16}}[\"']?\s?[=:]\s?[\"']?)"
+CANDIDATE = (
+    rf"(?<![{TOKEN}-])(?=[A-Za-z+/_-]*[0-9])[{TOKEN}-]{{16,}}={{0,2}}"
+    r"|(?<=[=:]\s?[\"'])[^\s\"']{8,}"
+    rf"|{ASSIGNED}[^\s\"',;&]{{6,}}"
+)
 CONTEXT_CHARS = 40
-CREDENTIAL = r"(?i)(?:token|secret|passw|pwd|api.?key|key|auth|credential)\w*[\"']?\s*[=:]\s*[\"']?$"
+CREDENTIAL = rf"(?i){NAME}\w*[\"']?\s*[=:]\s*[\"']?$"
+#: Share of dictionary words from which an assigned value is prose or a placeholder.
+PROSE_COVERAGE = 0.8
 ASSIGNMENT = r"[=:]\s*[\"']?$"
 TEST_PATH = r"(?i)(?:^|[/_.-])(?:tests?|examples?|samples?|fixtures?|docs?|mocks?)(?:$|[/_.-])"
 #: Words in fewer documents' texts than this are no dictionary words.
@@ -179,7 +192,7 @@ def distant_labels(rows: DataFrame, max_labelled: int) -> DataFrame:
         "word_after": F.pmod(F.shiftright(by, 24), F.lit(12)).cast("double"),
     }
     chosen = (
-        rows.withColumn("label", F.col("credential_before"))
+        rows.withColumn("label", F.when(F.col("coverage") < PROSE_COVERAGE, F.col("credential_before")).otherwise(0.0))
         .orderBy(F.xxhash64("doc_id", "start", "candidate"), "doc_id", "start", "candidate")
         .limit(max_labelled)
     )

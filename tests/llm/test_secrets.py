@@ -38,6 +38,41 @@ def test_false_positives_are_removed(spark):
     assert sum(by[5]) >= 30
 
 
+def test_short_and_unquoted_values_are_candidates(spark):
+    values = {
+        "password: hunter2pass": "hunter2pass",
+        "API_KEY=abcdefghijklmnopqrstuvwx": "abcdefghijklmnopqrstuvwx",
+        "API_KEY=abcdefghijklmnopqrstuv12==": "abcdefghijklmnopqrstuv12==",
+        'api_key = "hunter2"': "hunter2",
+        'password="hunter2pass"': "hunter2pass",
+        "token: s3cr3t-t0ken": "s3cr3t-t0ken",
+        '{"auth_token": "abc-def"}': "abc-def",
+        "Pwd=a.b.c!d, and more": "a.b.c!d",
+        "https://host/x?token=abcdef&page=2": "abcdef",
+        "key=abc": None,
+        "the keyboard is plain and long": None,
+        "time: yesterday": None,
+    }
+    rows = [(i, t) for i, t in enumerate(values)]
+    found = secrets.candidates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = {(i, t.index(v), v) for (i, t), v in zip(rows, values.values()) if v}
+    assert {(r.doc_id, r.start, r.candidate) for r in found} == want
+
+
+def test_prose_after_a_credential_name_is_no_positive_label(spark):
+    rows = [(i, "the key: patience and patience") for i in range(20)] + [(100 + i, f"key: x{i}q-zz9v{i}") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    described = secrets.described(secrets.candidates(docs), secrets.word_counts(docs))
+    labels = {(r.label, r.coverage > 0.9) for r in secrets.distant_labels(described, 100).collect()}
+    assert labels == {(0.0, True), (1.0, False)}
+
+
+def test_long_texts_of_assignments_take_linear_time(spark):
+    text = "key = " * 50_000 + "tokentoken" * 20_000 + "=" * 100_000 + "key" + "x" * 50_000 + "=abcdefg"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert secrets.candidates(docs).count() > 0
+
+
 def test_labelled_findings_are_used(spark):
     docs = corpus(spark)
     words = secrets.word_counts(docs)
