@@ -14,7 +14,8 @@ without a shuffle.
 Defined cases: a null or empty text scores what a text without hits scores; a
 document labelled twice is toxic if any label says so; null labels are ignored;
 labels for missing documents are ignored; without usable labels the seed terms
-alone form the lexicon; repeated rows score alike; texts are folded and matched
+alone form the lexicon (the query and the pipeline give none, so that every term
+of theirs is learnt); repeated rows score alike; texts are folded and matched
 whole. Columns other than the id and the text are not read.
 """
 
@@ -43,7 +44,7 @@ HOMOGLYPHS = dict(
 )
 #: Digits and signs written for letters.
 SUBSTITUTES = dict(zip("0134578@$!", "oieastbasi"))
-#: Terms used while no labelled text holds them, with ``SEED_WEIGHT``.
+#: Default seeds of ``fit``: terms used, with ``SEED_WEIGHT``, while no labelled text holds them.
 SEED_TERMS = (
     "idiot", "moron", "stupid", "loser", "scum", "worthless", "pathetic", "disgusting",
     "trash", "clown", "imbecile", "vermin",
@@ -200,7 +201,9 @@ def logistic(x: np.ndarray, y: np.ndarray, prior: tuple[float, ...], ridge: floa
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> ToxicityModel:
+def fit(
+    docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, seeds: tuple[str, ...] = SEED_TERMS
+) -> ToxicityModel:
     """Learn lexicon and curve from ``docs`` (doc_id, text) and ``labels``
     (doc_id, toxic); the caller has left out the labels that must not be seen."""
     spark = docs.sparkSession
@@ -244,16 +247,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> Toxic
     )
     # the terms that fit toxic texts best, and the totals under the empty term
     lift = (F.col("toxic") + 0.5) / (F.col("clean") + 0.5)
+    is_seed = F.col("term").isin([f" {t} " for t in seeds])
     best = (
-        counts.where((F.col("toxic") >= MIN_DOCS) | (F.col("term") == "") | F.col("term").isin([f" {t} " for t in SEED_TERMS]))
-        .orderBy(F.col("term") != "", ~F.col("term").isin([f" {t} " for t in SEED_TERMS]), F.desc(F.log(lift) * F.col("toxic")), "term")
+        counts.where((F.col("toxic") >= MIN_DOCS) | (F.col("term") == "") | is_seed)
+        .orderBy(F.col("term") != "", ~is_seed, F.desc(F.log(lift) * F.col("toxic")), "term")
         .limit(20 * MAX_TERMS)
         .collect()
     )
     totals = {r.term: (r.toxic, r.clean) for r in best}
     toxic, clean = totals.pop("", (0, 0))
     terms = choose_terms([(t, a, b) for t, (a, b) in totals.items()], toxic, clean) if toxic and clean else []
-    terms += [(f" {t} ", SEED_WEIGHT) for t in SEED_TERMS if f" {t} " not in totals]
+    terms += [(f" {t} ", SEED_WEIGHT) for t in seeds if f" {t} " not in totals]
     draft = ToxicityModel(tuple(terms), (0.0, 0.0, 0.0))
 
     @F.pandas_udf("weight double, words long")
@@ -276,5 +280,5 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def fit_on_labels(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> ToxicityModel:
-    """``fit`` on the labels that are not held out."""
-    return fit(docs, labels.where(~held_out()), max_labelled)
+    """``fit`` on the labels that are not held out, without seed terms."""
+    return fit(docs, labels.where(~held_out()), max_labelled, seeds=())
