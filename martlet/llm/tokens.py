@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Words whose ids one worker keeps in each of two generations.
-MAX_WORDS = 250_000
+MAX_WORDS = 500_000
 #: Runs of punctuation at the ends of words whose ids one worker keeps.
 MAX_MARKS = 4_096
 #: Longer words are not kept.
