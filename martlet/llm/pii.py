@@ -12,9 +12,10 @@ Positive examples are the proposals that are a validated span or pass their kind
 own test (card checksum, IBAN remainder, readable IPv6 address, an e-mail address
 once spelt-out signs are written); all other proposals are negative. The tests are
 not features, so the score says how much a proposal looks like, and stands like,
-personal data. The trees are fitted on at most ``max_candidates`` proposals from
-about ``max_documents`` documents, both chosen by hash, the only rows that reach the
-driver. Host names are read up to ``MAX_HOST`` characters.
+personal data. Trees and thresholds are fitted on the proposals of all documents, in
+Spark; equal proposals are one weighted row. (Where the examples fill several tasks,
+sums of doubles are added in the order in which these end, which may choose another of
+two equally good splits.) Host names are read up to ``MAX_HOST`` characters.
 
 Defined cases: a null text is empty and has no spans; repeated rows give equal
 results; texts are searched whole, in time linear in their length; without
@@ -34,6 +35,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from martlet.llm.common import documents, staged
@@ -55,6 +57,8 @@ GROUP = re.compile(r"[0-9]+")
 MIN_DIGITS, MAX_DIGITS, MAX_GROUPS = 7, 19, 7
 #: Calibration examples of a kind that must be genuine for a threshold of its own.
 LEAST_POSITIVES = 10
+#: Different training examples a task holds, and bins a unit of raw score.
+TASK_EXAMPLES, SCORE_BINS = 50_000, 256
 DIGIT_GROUPS = re.compile(r"[0-9](?:[\x20()./-]{0,2}[0-9]){5,}")
 SPELT_ADDRESS = re.compile(r"[\[(]at[\])]|@", re.IGNORECASE)
 SPELT_AT = re.compile(r"\s?[\[(]at[\])]\s?", re.IGNORECASE)
@@ -313,35 +317,29 @@ def _tree_nodes(root) -> tuple[tuple[int, float, int, int, float], ...]:  # noqa
     return tuple(nodes)
 
 
-def fit(
-    docs: DataFrame,
-    max_candidates: int = 20_000,
-    max_documents: int = 20_000,
-    precision: float = 0.9,
-    seed: int = 7,
-) -> PiiModel:
-    """Fit trees and thresholds on proposals from about ``max_documents``
-    documents, at most ``max_candidates`` of them."""
-    from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.functions import array_to_vector
-
+def examples(docs: DataFrame) -> DataFrame:
+    """(kind, calibration, label, x) of every proposal of every document of ``docs``,
+    the validated e-mail and IPv4 spans as their generators would propose them."""
     kinds = [pa.string(), pa.bool_(), pa.float64(), pa.list_(pa.float64())]
     names = ["kind", "calibration", "label", "x"]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=names)
 
-    def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         for batch in batches:
             for text in batch.column(0):
                 text = text.as_py()
                 base = validated(text)
+                found = [*proposed(text), *(b for b in base if b[0] in ("email", "ip"))]
+                if not found:
+                    continue
                 held = sorted((a, b) for _, a, b in base)
                 places = group_places(text) if DIGIT.search(text) else {}
                 side = int(hashlib.md5(text.encode("utf-8", "replace")).hexdigest()[:4], 16) % 3 == 0
-                for s in [*proposed(text), *(b for b in base if b[0] in ("email", "ip"))]:
-                    if s[0] in ("email", "ip"):  # as their generators would propose them
+                for s in found:
+                    if s[0] in ("email", "ip"):
                         s = ("address" if s[0] == "email" else "digits", s[1], s[2])
                     rows.append((s[0], side, float(confirmed(s, held) or genuine(text, s)), describe(text, s, places)))
                     if len(rows) >= 5_000:
@@ -350,42 +348,83 @@ def fit(
         if rows:
             yield batch_of(rows)
 
-    total = docs.count()
-    if not total:
+    return documents(docs).select("text").mapInArrow(run, "kind string, calibration boolean, label double, x array<double>")
+
+
+def fit(docs: DataFrame, precision: float = 0.9, seed: int = 7) -> PiiModel:
+    """Fit trees and thresholds on the proposals of all documents. Only the trees
+    and a threshold a kind reach the driver."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import array_to_vector
+
+    # equal examples are one row with a weight, so copies of a text make no large partition
+    alike = ["kind", "calibration", "label", "x"]
+    rows = staged(examples(docs).groupBy(*alike).agg(F.count(F.lit(1)).cast("double").alias("weight")), "pii-examples")
+    train = rows.where("not calibration")
+    labels = [r["n"] for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()]  # two rows
+    if len(labels) < 2:
         return PiiModel()
-    # by the text's hash: the same documents in any layout
-    share = min(1.0, max_documents / total)
-    place = F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 30))
-    sample = documents(docs).select("text").where(place < F.lit(int(share * (1 << 30))))
-    found = sample.mapInArrow(examples, "kind string, calibration boolean, label double, x array<double>")
+    # the same partitions in the same order, however the documents lie
     order = [F.xxhash64("kind", "label", "x", F.lit(seed)), F.col("kind"), F.col("label"), F.col("x")]
-    # the bound is applied to rows of a few numbers, in an order of their own
-    rows = staged(found.orderBy(*order).limit(max_candidates), "pii-examples")
-    train = rows.where("not calibration").coalesce(1).sortWithinPartitions(*order)
-    train = train.select("label", array_to_vector("x").alias("features"))
-    if train.select("label").distinct().count() < 2:
-        return PiiModel()
-    fitted = GBTClassifier(maxIter=16, maxDepth=4, stepSize=0.3, seed=seed).fit(train)
+    train = train.repartition(-(-sum(labels) // TASK_EXAMPLES), *order[1:]).sortWithinPartitions(*order)
+    train = train.select("label", "weight", array_to_vector("x").alias("features"))
+    fitted = GBTClassifier(maxIter=16, maxDepth=4, stepSize=0.3, seed=seed, weightCol="weight").fit(train)
     trees = BoostedTrees(
         tuple((float(w), _tree_nodes(t._java_obj.rootNode())) for w, t in zip(fitted.treeWeights, fitted.trees))
     )
-    scored: dict[str, list[tuple[float, float]]] = {}
-    for r in rows.where("calibration").collect():  # at most max_candidates rows
-        scored.setdefault(r.kind, []).append((trees.raw(r.x), r.label))
+    found = thresholds(scored(rows.where("calibration"), trees), precision)
     # a kind without enough examples of its own goes by those of all kinds
-    pooled = threshold([p for pairs in scored.values() for p in pairs], precision)
+    pooled = found.get(None, (0.0, None))[1]
     limits = []
     for kind in ADDED_KINDS:
-        pairs = scored.get(kind, [])
-        limit = threshold(pairs, precision) if sum(label for _, label in pairs) >= LEAST_POSITIVES else pooled
+        positives, limit = found.get(kind, (0.0, None))
+        limit = limit if positives >= LEAST_POSITIVES else pooled
         if limit is not None:
             limits.append((kind, limit))
     return PiiModel(trees, tuple(limits))
 
 
+def scored(rows: DataFrame, trees: BoostedTrees) -> DataFrame:
+    """(kind, label, weight, score) of examples."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            score = pa.array([trees.raw(x) for x in batch.column("x").to_pylist()], pa.float64())
+            columns = [batch.column("kind"), batch.column("label"), batch.column("weight"), score]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "label", "weight", "score"])
+
+    return rows.mapInArrow(run, "kind string, label double, weight double, score double")
+
+
+def thresholds(examples: DataFrame, precision: float, least: int = 10) -> dict[str | None, tuple[float, float | None]]:
+    """kind (None: all kinds together) -> (positive examples, ``threshold`` over all
+    its examples), from (kind, label, weight, score). Counts run over bins of the
+    score first and then within a bin, so no task orders all scores of a kind."""
+    kinds = F.explode(F.array("kind", F.lit(None).cast("string"))).alias("kind")
+    hits = F.sum(F.col("label") * F.col("weight"))
+    ties = examples.select(kinds, "label", "weight", "score").groupBy("kind", "score")
+    ties = ties.agg(F.sum("weight").alias("n"), hits.alias("hits"))
+    ties = staged(ties.withColumn("bin", F.floor(F.col("score") * SCORE_BINS)), "pii-scores")
+    # scores lie within a few units of 0: some thousand bins at most
+    above = W.partitionBy("kind").orderBy(F.desc("bin")).rowsBetween(W.unboundedPreceding, -1)
+    bins = ties.groupBy("kind", "bin").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
+    bins = bins.select(
+        F.col("kind").alias("_kind"),
+        F.col("bin").alias("_bin"),
+        *[F.coalesce(F.sum(c).over(above), F.lit(0.0)).alias(f"{c}_above") for c in ("n", "hits")],
+    )
+    within = W.partitionBy("kind", "bin").orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, 0)
+    n, right = (F.col(f"{c}_above") + F.sum(c).over(within) for c in ("n", "hits"))
+    running = ties.join(bins, F.col("kind").eqNullSafe(F.col("_kind")) & (F.col("bin") == F.col("_bin")))
+    running = running.select("kind", "score", "hits", n.alias("so_far"), right.alias("right"))
+    enough = (F.col("so_far") >= least) & (F.col("right") >= F.lit(precision) * F.col("so_far"))
+    lowest = running.groupBy("kind").agg(F.sum("hits").alias("hits"), F.min(F.when(enough, F.col("score"))).alias("limit"))
+    return {r.kind: (r.hits, r.limit) for r in lowest.collect()}  # a row a kind
+
+
 def threshold(pairs: list[tuple[float, float]], precision: float, least: int = 10) -> float | None:
     """The lowest score at or above which ``precision`` of the examples are
-    positive, over at least ``least`` of them."""
+    positive, over at least ``least`` of them (``thresholds`` does so for a table)."""
     best, hits = None, 0.0
     ordered = sorted(pairs, key=lambda p: -p[0])
     for n, (score, label) in enumerate(ordered, 1):

@@ -214,3 +214,24 @@ def test_own_tests_of_the_added_kinds():
     }
     for (kind, body), want in cases.items():
         assert pii.genuine(f"x {body} y", (kind, 2, 2 + len(body))) is want
+
+
+def test_the_model_is_learnt_from_all_documents(spark):
+    docs = spark.createDataFrame(list(enumerate(planted(60))), "doc_id long, text string")
+    # documents without a proposal add no example: the model stays, however many there are
+    plain = spark.range(60_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("plain words "), "id").alias("text"))
+    assert pii.fit(docs.unionByName(plain)) == pii.fit(docs)
+    assert pii.examples(docs.unionByName(docs)).count() == 2 * pii.examples(docs).count()
+
+
+def test_thresholds_of_a_table_equal_those_at_hand(spark):
+    rng = random.Random(11)
+    rows = []
+    for kind, n in (("digits", 400), ("iban", 60), ("ipv6", 5), ("address", 300)):
+        for _ in range(n):
+            score = round(rng.uniform(-3, 3), rng.choice([0, 1, 6]))
+            rows.append((kind, float(rng.random() < (0.97 if score > 1 else 0.4)), float(rng.randrange(1, 4)), score))
+    found = pii.thresholds(spark.createDataFrame(rows, "kind string, label double, weight double, score double"), 0.9)
+    for kind in ("digits", "iban", "ipv6", "address", None):
+        pairs = [(score, y) for k, y, w, score in rows if kind in (k, None) for _ in range(int(w))]
+        assert found[kind] == (sum(y for _, y in pairs), pii.threshold(pairs, 0.9)), kind
