@@ -3,9 +3,10 @@
 A state is one bitmap for each group, counted column and bucket of 32,768
 consecutive ids. States of different loads or days are merged by OR, so a count over
 any period comes from stored states and reads no line again; ids seen in several
-states count once. States are built and merged by partial aggregates. Ids should be
-dense (``operators.keys`` numbers text keys densely): a bitmap takes 4 kB however few
-of its bits are set.
+states count once. Distinct ids meet as narrow rows before a bitmap is made of them, so
+no task makes a bitmap for its share of a group; states are merged by partial
+aggregates. A bitmap takes 4 kB however few of its bits are set: ids should be dense
+(``operators.keys`` numbers text keys densely), and those of one group close together.
 
 Defined cases: a null id counts nowhere, a null group is a group of its own, negative
 ids are ids like others, an empty table has no states, and a group without ids for a
@@ -23,10 +24,11 @@ STATE = ["counted", "bucket", "bitmap"]
 def states(rows: DataFrame, by: list[str], ids: list[str]) -> DataFrame:
     """``by``, counted, bucket, bitmap: the distinct ``ids`` columns of ``rows``."""
     entries = F.array(*[F.struct(F.lit(c).alias("counted"), F.col(c).cast("long").alias("id")) for c in ids])
-    one = rows.select(*by, F.inline(entries)).where(F.col("id").isNotNull())
-    return one.groupBy(*by, "counted", F.bitmap_bucket_number("id").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bitmap")
-    )
+    one = rows.select(*by, F.inline(entries)).where(F.col("id").isNotNull()).distinct()
+    group = [*by, "counted", "bucket"]
+    # at most 32,768 rows a group are left, and the aggregate needs no other exchange
+    placed = one.withColumn("bucket", F.bitmap_bucket_number("id")).repartition(*group)
+    return placed.groupBy(*group).agg(F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bitmap"))
 
 
 def merged(parts: DataFrame, by: list[Column]) -> DataFrame:

@@ -2,7 +2,8 @@
 
 A registry maps natural keys to dense numbers and only grows: a known key keeps its
 number for good, whatever comes or goes, and keys not seen before are numbered after
-the largest, in their order. It is a versioned table (``sources.versions``) of which
+the largest, in their order, or by the least value of another column that they come
+with (``near``), so that keys of one day, say, have numbers close together. It is a versioned table (``sources.versions``) of which
 every load with new keys adds one slice, so a load reads the registry once, writes
 new keys only, and a killed load leaves no half-registered key.
 
@@ -20,18 +21,21 @@ from martlet.operators.windows import global_row_number
 from martlet.sources import versions
 
 
-def register(rows: DataFrame, key: str, root: str, out: str) -> DataFrame:
-    """Number the keys of ``rows`` that the registry at ``root`` does not hold;
-    returns the registry (``key``, ``out``). Null keys are not registered."""
+def register(rows: DataFrame, key: str, root: str, out: str, near: str | None = None) -> DataFrame:
+    """Number the keys of ``rows`` that the registry at ``root`` does not hold, in
+    order of ``near`` (nulls first) if given, then key; returns the registry
+    (``key``, ``out``). Null keys are not registered."""
     spark = rows.sparkSession
     schema = T.StructType([T.StructField(key, rows.schema[key].dataType), T.StructField(out, T.LongType())])
     version, slices = versions.manifest(spark, root)
     known = versions.read_slices(spark, list(slices.values()), schema)
-    new = rows.select(key).where(F.col(key).isNotNull()).distinct()
+    rows = rows.where(F.col(key).isNotNull())
+    new = rows.groupBy(key).agg(F.min(near).alias("_near")) if near else rows.select(key).distinct()
     if slices:
         new = new.join(known, key, "left_anti")
     largest = sum(s.row_count for s in slices.values())
-    numbered = global_row_number(new, [F.asc(key)], "_n").select(key, (F.col("_n") + largest).alias(out))
+    order = [F.asc("_near"), F.asc(key)] if near else [F.asc(key)]
+    numbered = global_row_number(new, order, "_n").select(key, (F.col("_n") + largest).alias(out))
     load = versions.Load(spark, root)
     load.tables = dict(slices)
     name = f"keys-{load.version}"
@@ -43,6 +47,6 @@ def register(rows: DataFrame, key: str, root: str, out: str) -> DataFrame:
     return versions.read_slices(spark, list(load.tables.values()), schema)
 
 
-def registered(rows: DataFrame, key: str, root: str, out: str) -> DataFrame:
+def registered(rows: DataFrame, key: str, root: str, out: str, near: str | None = None) -> DataFrame:
     """``rows`` with their surrogate key ``out``; null keys have none."""
-    return rows.join(register(rows, key, root, out), key, "left")
+    return rows.join(register(rows, key, root, out, near), key, "left")

@@ -7,6 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 from martlet.operators import bitmaps
+from martlet.plans import distincts
 
 SCHEMA = "g string, a long, b int"
 
@@ -38,3 +39,19 @@ def test_nulls_and_empty_tables(spark):
         ("x", 0, 1)
     ]
     assert bitmaps.states(rows.where("false"), ["g"], ["a"]).count() == 0
+
+
+def test_orders_of_a_day_share_few_bitmaps(spark, tmp_path):
+    # 70,000 order numbers, their days by turns: three buckets of ids, twenty days
+    lines = spark.range(140_000).select(
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 70_000 % 20).cast("int")).alias("sls_order_dt"),
+        F.col("id").alias("sls_cust_id"),
+        F.format_string("SO%06d", F.col("id") % 70_000).alias("sls_ord_num"),
+        F.when(F.col("id") % 3 > 0, F.lit("p")).alias("sls_prd_key"),
+    )
+    for _ in range(2):  # the second load brings nothing new
+        distincts.add_load(lines, str(tmp_path))
+    states = distincts.stored_states(spark, str(tmp_path))
+    assert states.where("counted = 'orders'").count() <= 2 * (20 + 2)
+    got = distincts.period_counts(states).collect()
+    assert sorted(map(tuple, got)) == [("2020-01", 140_000, 70_000, 1), ("all", 140_000, 70_000, 1)]
