@@ -2,7 +2,7 @@
 
 ``parse_csv`` reads every line and says why it cannot be a row of the schema: fewer
 or more fields than columns, or fields that are not of their column's type. ``split_csv``
-parses once, writes both sides to one staged table partitioned by side, and gives
+parses once, writes both sides to one staged table, unsorted, and gives
 the typed rows and the quarantined lines with file, reason and the line as it stood,
 so that they can be mended and delivered again. Together they are all lines.
 
@@ -49,8 +49,8 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def field_count(line: Column) -> Column:
     """Fields of a line: the commas outside quotes and one."""
     # a doubled quote ends one quoted part and starts the next, so both go
-    bare = F.regexp_replace(line, '"[^"]*+"', "")
-    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    bare = F.when(F.contains(line, F.lit('"')), F.regexp_replace(line, '"[^"]*+"', "")).otherwise(line)
+    return F.octet_length(bare) - F.octet_length(F.replace(bare, F.lit(","), F.lit(""))) + 1
 
 
 def parse_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -63,28 +63,33 @@ def parse_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Dat
     parsed = read_lines(spark, path).select(
         LINE, FILE, field_count(F.col(LINE)).alias("_n"), F.from_csv(LINE, text, options).alias("_f")
     )
-    values, wrong = [], []
+    # a step at a time: one projection of all of it is too long a method for the JIT
+    # compiler, and texts and types would be worked out again at each use
+    kept = [LINE, FILE, "_n"]
+    texts = []
     for i, f in enumerate(schema.fields):
         field = F.col(f"_f.c{i}")
         value = F.when(field != NULL_MARKER, F.nullif(field, F.lit("")))
         if isinstance(f.dataType, T.StringType):
-            values.append(F.when(field == EMPTY_MARKER, F.lit("")).otherwise(value))
-        else:
-            typed = value.try_cast(f.dataType)
-            values.append(typed)
-            wrong.append(F.when(value.isNotNull() & typed.isNull(), F.lit(f.name)))
+            value = F.when(field == EMPTY_MARKER, F.lit("")).otherwise(value)
+        texts.append(value.alias(f"_t{i}"))
+    others = {i: f for i, f in enumerate(schema.fields) if not isinstance(f.dataType, T.StringType)}
+    typed = parsed.select(*kept, *texts).select(
+        "*", *[F.col(f"_t{i}").try_cast(f.dataType).alias(f"_v{i}") for i, f in others.items()]
+    )
+    wrong = [F.when(F.col(f"_t{i}").isNotNull() & F.col(f"_v{i}").isNull(), F.lit(f.name)) for i, f in others.items()]
     types = F.array_join(F.array(*wrong), ", ") if wrong else F.lit("")
+    values = [f"_v{i}" if i in others else f"_t{i}" for i in range(len(schema))]
+    typed = typed.select(*kept, *values, types.alias("_types"))
     reason = (
         F.when(F.col("_n") < len(schema), F.lit("too few fields"))
         .when(F.col("_n") > len(schema), F.lit("too many fields"))
-        .when(types != "", F.concat(F.lit("type of "), types))
+        .when(F.col("_types") != "", F.concat(F.lit("type of "), "_types"))
     )
-    judged = parsed.select(LINE, FILE, reason.alias(REASON), F.struct(*[
-        v.alias(f.name) for v, f in zip(values, schema.fields)
-    ]).alias("_row"))
+    judged = typed.select(LINE, FILE, *values, reason.alias(REASON))
     good = F.col(REASON).isNull()
     return judged.select(
-        *[F.when(good, F.col("_row")[f.name]).alias(f.name) for f in schema.fields], LINE, FILE, REASON
+        *[F.when(good, F.col(v)).alias(f.name) for v, f in zip(values, schema.fields)], LINE, FILE, REASON
     )
 
 
@@ -94,14 +99,13 @@ def split_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> tup
         schema = BRONZE[schema]
     both = work_path(spark, "csv-split")
     rows = parse_csv(spark, path, schema)
-    side = F.when(F.col(REASON).isNull(), F.lit("rows")).otherwise(F.lit("rejected"))
     # a good row needs no copy of its line
     line = F.when(F.col(REASON).isNotNull(), F.col(LINE))
-    rows.withColumn(LINE, line).withColumn("_side", side).write.partitionBy("_side").parquet(both)
+    rows.withColumn(LINE, line).write.parquet(both)
     kinds = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
-    for name in (LINE, FILE, REASON, "_side"):
+    for name in (LINE, FILE, REASON):
         kinds = kinds.add(name, T.StringType())
     stored = spark.read.schema(kinds).parquet(both)
-    good = stored.where(F.col("_side") == "rows").select(*[f.name for f in schema.fields])
-    rejected = stored.where(F.col("_side") == "rejected").select(FILE, REASON, LINE)
+    good = stored.where(F.col(REASON).isNull()).select(*[f.name for f in schema.fields])
+    rejected = stored.where(F.col(REASON).isNotNull()).select(FILE, REASON, LINE)
     return good, rejected

@@ -7,7 +7,7 @@ from decimal import Decimal
 
 from pyspark.sql.types import _parse_datatype_string
 
-from martlet.sources.quarantine import split_csv
+from martlet.sources.quarantine import parse_csv, split_csv
 
 SCHEMA = "a long, b string, c date, d decimal(6,2)"
 
@@ -53,3 +53,9 @@ def test_long_lines_and_odd_characters(spark, tmp_path):
 
 def test_header_alone(spark, tmp_path):
     assert _split(spark, tmp_path / "t", "h,h,h,h\n") == ([], [])
+
+
+def test_each_field_is_typed_once(spark, tmp_path):
+    (tmp_path / "0.csv").write_text("h,h,h,h\n1,x,2020-01-02,1.5\n")
+    plan = parse_csv(spark, str(tmp_path), _parse_datatype_string(SCHEMA))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("try_cast(") == 3
