@@ -203,12 +203,22 @@ def bronze_crm_sales_details(lineitem: DataFrame, orders: DataFrame, part: DataF
     rows = li.join(od, li.l_orderkey == od.o_orderkey, "left").join(pt, li.l_partkey == pt.p_partkey, "left")
 
     okey = F.col("l_orderkey")
-    d = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 100
     qty = F.col("l_quantity").cast("int")
     price = (F.col("l_extendedprice").cast(MONEY) / F.nullif(qty, F.lit(0))).cast(MONEY)
-    sales = (qty * price).cast(MONEY)
-    order_date = F.col("o_orderdate").cast("date")
     null_money = F.lit(None).cast(MONEY)
+    # what several columns use is worked out once, in projections short enough for the JIT compiler
+    rows = rows.select(
+        "l_orderkey",
+        "o_custkey",
+        "_prd_code",
+        F.col("o_orderdate").cast("date").alias("_ordered"),
+        F.col("l_shipdate").cast("date").alias("_shipped"),
+        qty.alias("_qty"),
+        price.alias("_price"),
+        ((okey * 7 + F.col("l_linenumber")) % 100).alias("_damage"),
+    )
+    rows = rows.select("*", (F.col("_qty") * F.col("_price")).cast(MONEY).alias("_sales"))
+    d, price, sales, order_date = (F.col(c) for c in ("_damage", "_price", "_sales", "_ordered"))
 
     out = rows.select(
         F.concat(F.lit(ORDER_NUMBER_PREFIX), okey.cast("string")).alias("sls_ord_num"),
@@ -220,14 +230,14 @@ def bronze_crm_sales_details(lineitem: DataFrame, orders: DataFrame, part: DataF
         .when(okey % BAD_ORDER_DATE_SHORT == 0, "5489")
         .otherwise(_yyyymmdd(order_date))
         .alias("sls_order_dt"),
-        F.when(d == 7, "0").otherwise(_yyyymmdd(F.col("l_shipdate").cast("date"))).alias("sls_ship_dt"),
+        F.when(d == 7, "0").otherwise(_yyyymmdd(F.col("_shipped"))).alias("sls_ship_dt"),
         _yyyymmdd(F.date_add(order_date, DUE_DAYS)).alias("sls_due_dt"),
         F.when(d == 0, -sales)
         .when(d.isin(1, 6), null_money)
         .when(d == 2, F.lit(0).cast(MONEY))
         .otherwise(sales)
         .alias("sls_sales"),
-        qty.alias("sls_quantity"),
+        F.col("_qty").alias("sls_quantity"),
         F.when(d.isin(3, 6), null_money)
         .when(d == 4, -price)
         .when(d == 5, F.lit(0).cast(MONEY))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
 import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -150,3 +153,20 @@ def test_gold_is_built_from_the_written_silver(spark, wh):
     assert fact.exceptAll(wh.fact()).count() == 0 and fact.count() == wh.fact().count()
     for layer, name in (k.split(".") for k, kind in created.items() if kind == "table" and not k.startswith("bronze")):
         assert spark.table(f"{layer}.{name}").where("dwh_create_date is null").count() == 0
+
+
+def test_line_price_is_worked_out_once(spark):
+    from martlet.sources import testdata
+
+    lines = spark.createDataFrame(
+        [(1, 1, 1, 3.0, 10.0, dt.datetime(2000, 1, 2))],
+        "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_shipdate timestamp",
+    )
+    orders = spark.createDataFrame([(1, 7, dt.datetime(2000, 1, 1))], "o_orderkey long, o_custkey long, o_orderdate timestamp")
+    part = spark.createDataFrame([(1, "a b", "STEEL", "Brand#1")], "p_partkey long, p_name string, p_type string, p_brand string")
+    sales = testdata.bronze_crm_sales_details(lines, orders, part)
+    plan = sales._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"cast\(l_extendedprice", plan)) == 1
+    assert [str(v) for v in sales.first()] == [
+        "SO1", "A-B-ST-01", "7", "20000101", "20000102", "20000131", "9.99", "3", "3.33"
+    ]
