@@ -1,15 +1,18 @@
-"""Exact BM25 top-k over an inverted index with block-max pruning.
+"""Exact BM25 top-k over an inverted index, frequent terms as matrix products.
 
 ``build_index`` cuts the documents of every input split into shards of at most
 ``shard_postings`` postings and writes them to the shared folder. Document
 frequencies, the document count and the mean length are taken over all shards.
-``search`` deals (shard, block of queries) pairs to tasks. A task loads its
-shard, inverts it, and keeps for every term the largest impact in each block of
-``BLOCK_DOCS`` documents. For a query it adds up the postings of the rarer
-terms, bounds what the frequent terms can add to a document by their block
-maxima, and evaluates in full, best bound first, only documents whose bound
-reaches the k-th best score so far. That test never rejects a top-k document,
-so merging the shards' lists gives the exact result.
+``search`` deals (group of shards, block of queries) pairs to tasks. A task
+reads its shards one after the other, inverts ``BLOCK_DOCS`` documents at a time
+and scores them roughly for all its queries: the frequent terms by a product of
+two 32-bit matrices (query weights and impacts), the rarer ones by adding up
+their postings. Impacts are positive, so the error of a rough score is at most a
+known share of it; documents that it lets reach the k-th best score so far, over
+all shards the task has seen, are evaluated in full. That test never rejects a
+top-k document, so merging the groups' lists gives the exact result, and their
+number for a query does not grow with the shards. The work is still queries x
+documents.
 
 Terms are words of letters and digits, lower-cased, each counted once in a
 query; they are kept as 64-bit hashes, whose collisions would merge two terms
@@ -41,19 +44,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from martlet.llm.common import documents, scratch, staged
+from martlet.llm.common import documents, scratch
 from martlet.llm.warc import file_system
 
 WORD = re.compile(r"[^\W_]+")
 K1, B = 1.2, 0.75
-BLOCK_DOCS = 64
+#: Documents that are scored together.
+BLOCK_DOCS = 8_192
 SHARD_POSTINGS = 4_000_000
-QUERY_BLOCK = 2_048
-#: Search tasks at most; each then takes several pairs of shard and query block.
+#: Queries for which a task reads its shards once; fewer where that would leave fewer than
+#: LEAST_BLOCKS blocks, but no less than LEAST_QUERIES.
+QUERY_BLOCK, LEAST_BLOCKS, LEAST_QUERIES = 8_192, 4, 512
+#: Each group of shards is one task for a block of queries and gives one list of k for a query.
+SHARD_GROUPS = 8
+#: Search tasks at most; each then takes several pairs of shard group and query block.
 MAX_TASKS = 20_000
-#: Terms in a larger share of a shard's documents are bounded by block, the rarer ones added
-#: up. Their idf is at most ln(1 / 0.3), so their bounds stay close to what they add.
-FREQUENT = 0.3
+#: Terms in a larger share of a block's documents are multiplied as a matrix, the rarer ones
+#: added up posting by posting: there a pair of query and document costs less than a cell.
+FREQUENT = 1 / 16
+MATRIX_TERMS, MATRIX_CELLS = 4_096, 16_000_000
+#: Queries, and postings of rarer terms, that are added up at a time.
+SCORED_QUERIES, SCORED_POSTINGS = 64, 2_000_000
 POSTINGS = "doc_id long, tie long, length int, terms array<bigint>, counts array<int>"
 RESULT = "query_id long, query_tie long, doc_id long, score double"
 
@@ -98,39 +109,35 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(f"{POSTINGS}, shard long").parquet(path)
 
 
-class Shard:
-    """One shard, inverted, with block maxima."""
+class Block:
+    """Some documents of a shard, inverted: frequent terms as rows of a matrix,
+    the others as postings."""
 
     def __init__(self, doc_ids: np.ndarray, lengths: np.ndarray, starts: np.ndarray, terms: np.ndarray,
                  counts: np.ndarray, mean_length: float):
-        # postings are held once by document (term, count) and once by term
-        # (document, impact); positions fit 32 bits by the size of a shard
-        self.doc_ids, self.starts, self.counts = doc_ids, starts, counts
+        self.doc_ids, self.starts, self.terms, self.counts = doc_ids, starts, terms, counts
         self.n_docs = len(lengths)
-        self.filled = np.diff(starts) > 0
         self.norm = K1 * (1 - B + B * lengths / max(mean_length, 1e-9))
-        order = np.argsort(terms, kind="stable")  # by term, then document
+        order = np.argsort(terms)  # documents of a term in any order
         in_order = terms[order]
         first = np.ones(len(terms), bool)
         first[1:] = in_order[1:] != in_order[:-1]
         self.vocabulary = in_order[first]
         del in_order
-        by_term = np.cumsum(first, dtype=np.int32) - np.int32(1)
         self.post_start = np.append(np.flatnonzero(first), len(terms))
-        self.term = np.empty(len(terms), np.int32)
-        self.term[order] = by_term
-        self.post_doc = np.repeat(np.arange(self.n_docs, dtype=np.int32), np.diff(starts))[order]
+        self.df = np.diff(self.post_start)
+        self.post_doc = np.repeat(np.arange(self.n_docs), np.diff(starts))[order]
         self.post_impact = self._impact(counts[order], self.norm[self.post_doc])
         del order
-        # block maxima: one entry for every (term, block) with a posting
-        blocks = self.post_doc // np.int32(BLOCK_DOCS)
-        first[1:] = (blocks[1:] != blocks[:-1]) | (by_term[1:] != by_term[:-1])
-        at = np.flatnonzero(first)
-        self.max_block = blocks[at]
-        self.max_impact = np.maximum.reduceat(self.post_impact, at) if len(at) else np.zeros(0)
-        self.max_start = np.searchsorted(at, self.post_start)
-        self.n_blocks = -(-self.n_docs // BLOCK_DOCS)
-        self.weight = np.zeros(len(self.vocabulary))
+        frequent = np.flatnonzero(self.df > max(FREQUENT * self.n_docs, 3))
+        most = min(MATRIX_TERMS, MATRIX_CELLS // max(1, self.n_docs))
+        if len(frequent) > most:
+            frequent = frequent[np.argsort(-self.df[frequent], kind="stable")[:most]]
+        self.row = np.full(len(self.vocabulary), -1)
+        self.row[frequent] = np.arange(len(frequent))
+        self.matrix = np.zeros((len(frequent), self.n_docs), np.float32)
+        at = _ranges(self.post_start[frequent], self.post_start[frequent + 1])
+        self.matrix[np.repeat(np.arange(len(frequent)), self.df[frequent]), self.post_doc[at]] = self.post_impact[at]
 
     @staticmethod
     def _impact(counts: np.ndarray, norm: np.ndarray) -> np.ndarray:
@@ -139,56 +146,111 @@ class Shard:
         out /= norm
         return out
 
-    def evaluate(self, docs: np.ndarray) -> np.ndarray:
-        """Full scores of documents for the query in ``weight``."""
-        at = _ranges(self.starts[docs], self.starts[docs + 1])
+    def evaluate(self, docs: np.ndarray, terms: np.ndarray, idf: np.ndarray) -> np.ndarray:
+        """Full scores of documents for a query; every document has a term."""
         sizes = self.starts[docs + 1] - self.starts[docs]
-        parts = self.weight[self.term[at]] * self._impact(self.counts[at], np.repeat(self.norm[docs], sizes))
+        at = _ranges(self.starts[docs], self.starts[docs + 1])
+        found = np.minimum(np.searchsorted(terms, self.terms[at]), len(terms) - 1)
+        weight = np.where(terms[found] == self.terms[at], idf[found], 0.0)
+        parts = weight * self._impact(self.counts[at], np.repeat(self.norm[docs], sizes))
         return np.add.reduceat(parts, np.cumsum(sizes) - sizes)
 
-    def top(self, terms: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(documents, scores) of the k best that share a term with the query."""
-        at = np.searchsorted(self.vocabulary, terms)
-        at[at == len(self.vocabulary)] = 0
-        here = self.vocabulary[at] == terms if len(self.vocabulary) else np.zeros(len(terms), bool)
-        ids, idf = at[here], idf[here]
-        if not len(ids):
-            return np.zeros(0, np.int64), np.zeros(0)
-        self.weight[ids] = idf
-        starts, ends = self.post_start[ids], self.post_start[ids + 1]
-        rare = ends - starts <= FREQUENT * self.n_docs
-        # idf and impacts are positive: a document without a bound has no term of the query
-        bound = np.zeros(self.n_docs)
-        if rare.any():
-            docs, parts = [], []
-            for a, b, weight in zip(starts[rare].tolist(), ends[rare].tolist(), idf[rare].tolist()):
-                docs.append(self.post_doc[a:b])
-                parts.append(weight * self.post_impact[a:b])
-            bound = np.bincount(np.concatenate(docs), np.concatenate(parts), self.n_docs)
-        if not rare.all():
-            a, b = self.max_start[ids[~rare]], self.max_start[ids[~rare] + 1]
-            at = _ranges(a, b)
-            most = np.bincount(self.max_block[at], np.repeat(idf[~rare], b - a) * self.max_impact[at], self.n_blocks)
-            bound = bound + np.repeat(most, BLOCK_DOCS)[: self.n_docs]
-        bound *= 1 + 1e-12  # sums in another order may differ in the last digits
-        best_docs, best, size = np.zeros(0, np.int64), np.zeros(0), 2 * k
-        left = np.flatnonzero((bound > 0) & self.filled)
-        while len(left):
-            if len(best) >= k:
-                left = left[bound[left] >= np.partition(best, -k)[-k]]
-            if len(left) > size:
-                pick = np.argpartition(-bound[left], size - 1)
-                now, left = left[pick[:size]], left[pick[size:]]
-            else:
-                now, left = left, left[:0]
-            scores = self.evaluate(now) if len(now) else np.zeros(0)
-            best_docs, best = np.concatenate((best_docs, now)), np.concatenate((best, scores))
-            size *= 4
-        self.weight[ids] = 0.0
-        found = best > 0
-        best_docs, best = best_docs[found], best[found]
-        order = np.lexsort((self.doc_ids[best_docs], -best))[:k]
-        return best_docs[order], best[order]
+    def search(self, queries: Queries, best: Best) -> None:
+        """Add to ``best`` the documents that belong there."""
+        if not len(self.vocabulary) or not len(queries.terms):
+            return
+        at = np.minimum(np.searchsorted(self.vocabulary, queries.distinct), len(self.vocabulary) - 1)
+        number = np.where(self.vocabulary[at] == queries.distinct, at, -1)[queries.number]
+        here = number >= 0
+        query, number, idf = queries.query[here], number[here], queries.idf[here]
+        row = self.row[number]
+        sizes = np.where(row < 0, self.df[number], 0)
+        frequent = np.bincount(query[row >= 0], minlength=len(queries))
+        # sums in 32 bits, of positive parts only
+        slack = (frequent + 16) * 2.0**-23
+        for low, high in _cuts(np.bincount(query, sizes, len(queries))):
+            a, b = np.searchsorted(query, [low, high])
+            q, is_row = query[a:b] - low, row[a:b] >= 0
+            weights = np.zeros((high - low, len(self.matrix)), np.float32)
+            weights[q[is_row], row[a:b][is_row]] = idf[a:b][is_row]
+            n, size = number[a:b][~is_row], sizes[a:b][~is_row]
+            post = _ranges(self.post_start[n], self.post_start[n + 1])
+            cells = np.repeat(q[~is_row] * self.n_docs, size)
+            cells += self.post_doc[post]
+            parts = np.repeat(idf[a:b][~is_row], size)
+            parts *= self.post_impact[post]
+            scores = np.bincount(cells, parts, (high - low) * self.n_docs).reshape(high - low, self.n_docs)
+            scores += weights @ self.matrix
+            self._keep(queries, best, low, scores, slack[low:high])
+
+    def _keep(self, queries: Queries, best: Best, low: int, scores: np.ndarray, slack: np.ndarray) -> None:
+        """Evaluate the documents whose rough score allows the k best."""
+        least = np.maximum(best.least(low, low + len(scores)) * (1 - 2 * slack), np.nextafter(0, 1))
+        q, docs = np.nonzero(scores >= least[:, None])
+        ends = np.cumsum(np.bincount(q, minlength=len(scores))).tolist()
+        a, found = 0, []
+        for i, b in enumerate(ends):
+            if a < b:
+                now = docs[a:b]
+                if b - a > best.k:
+                    rough = scores[i, now]
+                    now = now[rough >= np.partition(rough, -best.k)[-best.k] * (1 - 4 * slack[i])]
+                found.append((low + i, now, self.evaluate(now, *queries.of(low + i))))
+            a = b
+        if found:
+            which = np.repeat([i for i, _, _ in found], [len(now) for _, now, _ in found])
+            best.add(which, self.doc_ids[np.concatenate([now for _, now, _ in found])], np.concatenate([s for *_, s in found]))
+
+
+class Queries:
+    """A block of queries: ids, and their terms one query after the other."""
+
+    def __init__(self, ids: list, ties: list, starts: np.ndarray, terms: np.ndarray, idf: np.ndarray):
+        self.ids, self.ties, self.starts, self.terms, self.idf = ids, ties, starts, terms, idf
+        self.query = np.repeat(np.arange(len(ids)), np.diff(starts))
+        self.distinct, self.number = np.unique(terms, return_inverse=True)
+
+    def __len__(self) -> int:
+        return len(self.ids)
+
+    def of(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        a, b = self.starts[i], self.starts[i + 1]
+        return self.terms[a:b], self.idf[a:b]
+
+
+class Best:
+    """The k best documents so far of every query of a block."""
+
+    def __init__(self, n: int, k: int):
+        self.k = k
+        self.docs, self.scores = np.zeros((n, k), np.int64), np.zeros((n, k))
+
+    def least(self, low: int, high: int) -> np.ndarray:
+        """The k-th best scores; 0 where fewer are found."""
+        return self.scores[low:high, -1]
+
+    def add(self, query: np.ndarray, docs: np.ndarray, scores: np.ndarray) -> None:
+        """``query`` ascending; ranks by score, then document."""
+        rows, row = np.unique(query, return_inverse=True)
+        row = np.concatenate((np.repeat(np.arange(len(rows)), self.k), row))
+        docs, scores = np.concatenate((self.docs[rows].ravel(), docs)), np.concatenate((self.scores[rows].ravel(), scores))
+        order = np.lexsort((docs, -scores, row))
+        row = row[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        order, row, rank = order[rank < self.k], row[rank < self.k], rank[rank < self.k]
+        self.docs[rows[row], rank], self.scores[rows[row], rank] = docs[order], scores[order]
+
+
+def _cuts(postings: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of queries that are scored together."""
+    low, held = 0, 0.0
+    for i, n in enumerate(postings.tolist()):
+        if i > low and (i - low == SCORED_QUERIES or held + n > SCORED_POSTINGS):
+            yield low, i
+            low, held = i, 0.0
+        held += n
+    if low < len(postings):
+        yield low, len(postings)
 
 
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -220,35 +282,39 @@ def _lists(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(values) if values else np.zeros(0, np.int64), starts
 
 
-#: The shard this worker holds; the one before goes before the next is read.
-_HELD: dict[tuple[str, float], Shard] = {}
-
-
-def load_shard(path: str, mean_length: float) -> Shard:
-    if (path, mean_length) not in _HELD:
-        _HELD.clear()
-        narrow = _read(path, ["doc_id", "length"])
-        last = np.iinfo(np.int64).max
-        doc_ids = pc.fill_null(narrow.column("doc_id"), last).to_numpy()
-        lengths = narrow.column("length").to_numpy().astype(float)
-        terms, starts = _lists(_read(path, ["terms"]), "terms")
-        counts, _ = _lists(_read(path, ["counts"]), "counts")
-        _HELD[path, mean_length] = Shard(doc_ids, lengths, starts, terms, counts.astype(np.int32), mean_length)
-    return _HELD[path, mean_length]
+def load_blocks(path: str, mean_length: float, k: int) -> Iterator[Block]:
+    """The documents of a shard, at most ``BLOCK_DOCS`` at a time. Of equal
+    texts only the ``k`` first by id are held: k equal scores rank before the
+    others for every query."""
+    table = _read(path, ["doc_id", "tie", "length", "terms", "counts"])
+    doc_ids = pc.fill_null(table.column("doc_id"), np.iinfo(np.int64).max).to_numpy()
+    tie, lengths = table.column("tie").to_numpy(), table.column("length").to_numpy()
+    terms, starts = _lists(table, "terms")
+    counts = _lists(table, "counts")[0].astype(np.int32)
+    del table
+    order = np.lexsort((doc_ids, lengths, tie))
+    new = np.ones(len(order), bool)
+    new[1:] = (tie[order][1:] != tie[order][:-1]) | (lengths[order][1:] != lengths[order][:-1])
+    copy = np.arange(len(order)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+    held = np.sort(order[(copy < k) & (lengths[order] > 0)])
+    for at in range(0, len(held), BLOCK_DOCS):
+        now = held[at : at + BLOCK_DOCS]
+        post = _ranges(starts[now], starts[now + 1])
+        begin = np.append(0, np.cumsum(starts[now + 1] - starts[now]))
+        yield Block(doc_ids[now], lengths[now].astype(float), begin, terms[post], counts[post], mean_length)
 
 
 @lru_cache(maxsize=1)
-def load_queries(path: str) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+def load_queries(path: str) -> Queries:
     table = _read(path, ["query_id", "query_tie", "terms", "idf"])
     (terms, starts), (idf, _) = _lists(table, "terms"), _lists(table, "idf")
-    ends = zip(starts[:-1].tolist(), starts[1:].tolist())
-    names = zip(table.column("query_id").to_pylist(), table.column("query_tie").to_pylist())
-    return [(query_id, tie, terms[a:b], idf[a:b]) for (query_id, tie), (a, b) in zip(names, ends)]
+    return Queries(table.column("query_id").to_pylist(), table.column("query_tie").to_pylist(), starts, terms, idf)
 
 
-def search(index_path: str, queries: DataFrame, k: int = 10) -> DataFrame:
-    """The ``k`` best documents of the index for every query of ``queries``
-    (query_id, query_tie, terms): query_id, query_tie, rank, doc_id, score."""
+def group_best(index_path: str, queries: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best documents of each of at most ``SHARD_GROUPS`` groups of
+    shards for every query: query_id, query_tie, doc_id (the largest long for
+    null), score."""
     spark = queries.sparkSession
     postings = read_index(spark, index_path)
     total = postings.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean")).first()
@@ -261,7 +327,8 @@ def search(index_path: str, queries: DataFrame, k: int = 10) -> DataFrame:
         .groupBy("query_id", "query_tie")
         .agg(F.array_sort(F.collect_list(F.struct("term", idf.alias("idf")))).alias("t"))
     )
-    n_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    count = queries.count()
+    n_blocks = max(1, -(-count // QUERY_BLOCK), min(LEAST_BLOCKS, -(-count // LEAST_QUERIES)))
     query_path = scratch(spark, "bm25-queries")
     weighed.select(
         "query_id",
@@ -271,29 +338,37 @@ def search(index_path: str, queries: DataFrame, k: int = 10) -> DataFrame:
         F.pmod(F.xxhash64("query_id", "query_tie"), F.lit(n_blocks)).alias("block"),
     ).write.partitionBy("block").parquet(query_path)
     blocks = spark.read.schema("query_id long, block long").parquet(query_path).select("block").distinct()
-    blocks = [r.block for r in blocks.collect()]  # one number for each QUERY_BLOCK queries
+    blocks = sorted(r.block for r in blocks.collect())  # one number for each block of queries
+    shards = sorted(r.shard for r in postings.select("shard").distinct().collect())  # and for each shard
+    groups = [shards[g::SHARD_GROUPS] for g in range(min(SHARD_GROUPS, len(shards)))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, kinds = [f.split()[0] for f in RESULT.split(", ")], [pa.int64(), pa.int64(), pa.int64(), pa.float64()]
         for batch in batches:
-            for shard_id, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                shard = load_shard(f"{index_path}/shard={shard_id}", mean_length)
-                rows: list[tuple] = []
-                for query_id, query_tie, terms, weights in load_queries(f"{query_path}/block={block}"):
-                    docs, scores = shard.top(terms, weights, k)
-                    rows += [(query_id, query_tie, int(shard.doc_ids[d]), float(s)) for d, s in zip(docs, scores)]
-                columns = list(zip(*rows)) or [()] * 4
+            for task in batch.column(0).to_pylist():
+                here = load_queries(f"{query_path}/block={blocks[task // len(groups)]}")
+                best = Best(len(here), k)
+                for shard in groups[task % len(groups)]:
+                    for docs in load_blocks(f"{index_path}/shard={shard}", mean_length, k):
+                        docs.search(here, best)
+                query, rank = np.nonzero(best.scores)
+                at = pa.array(query)
+                columns = [pa.array(ids, pa.int64()).take(at) for ids in (here.ids, here.ties)]
+                columns += [best.docs[query, rank], best.scores[query, rank]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
 
-    shards = postings.select("shard").distinct()
-    pairs = shards.select("shard", F.explode(F.lit(blocks or [0]).cast("array<bigint>")).alias("block"))
-    pairs = staged(pairs if blocks else pairs.where("false"), "bm25-tasks")  # two numbers a task
-    # a task that has several pairs of a shard loads it once
-    dealt = pairs.repartition(min(MAX_TASKS, max(1, pairs.count())), "shard", "block").sortWithinPartitions("shard")
+    n_tasks = len(blocks) * len(groups)
+    tasks = spark.range(0, n_tasks, 1, min(MAX_TASKS, max(1, n_tasks)))  # a group of shards and a block of queries
+    return tasks.mapInArrow(run, RESULT)
+
+
+def search(index_path: str, queries: DataFrame, k: int = 10) -> DataFrame:
+    """The ``k`` best documents of the index for every query of ``queries``
+    (query_id, query_tie, terms): query_id, query_tie, rank, doc_id, score."""
     best = W.partitionBy("query_id", "query_tie").orderBy(F.desc("score"), "doc_id")
     last = F.lit(int(np.iinfo(np.int64).max))
     return (
-        dealt.mapInArrow(run, RESULT)
+        group_best(index_path, queries, k)
         .withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
         .select("query_id", "query_tie", "rank", F.nullif(F.col("doc_id"), last).alias("doc_id"), "score")

@@ -72,3 +72,32 @@ def test_odd_rows(spark):
     path = scratch(spark, "t")
     bm25.build_index(df.where("false"), path)
     assert bm25.search(path, bm25.self_queries(spark, path), 10).count() == 0
+
+
+def test_rows_do_not_grow_with_shards(spark):
+    rng = random.Random(5)
+    docs = [(i, " ".join(f"w{int(rng.paretovariate(0.7))}" for _ in range(20))) for i in range(400)]
+    path = scratch(spark, "t")
+    bm25.build_index(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), path, shard_postings=40)
+    shards = bm25.read_index(spark, path).select("shard").distinct().count()
+    assert shards > 5 * bm25.SHARD_GROUPS
+    found = bm25.search(path, bm25.self_queries(spark, path, 4), 7)
+    check(found.collect(), brute(docs, 7, 4))
+    assert bm25.group_best(path, bm25.self_queries(spark, path, 4), 7).count() <= 100 * 7 * bm25.SHARD_GROUPS
+
+
+def test_matrix_postings_and_copies(spark, monkeypatch):
+    """Frequent terms and rare ones, close scores, more copies than ranks, cuts of every kind."""
+    rng = random.Random(6)
+    common, rare = [f"c{i}" for i in range(12)], [f"r{i}" for i in range(900)]
+    docs = [(i, " ".join(rng.sample(common, 6) + rng.choices(rare, k=rng.randrange(0, 9)) + [f"f{i}"] * i)) for i in range(1, 500)]
+    docs += [(500 + i * 7 % 60, " ".join(common)) for i in range(60)] + [(None, " ".join(common))] * 3
+    docs += [(600 + i, " ".join(common * 40) + " c0" * i) for i in range(40)]
+    path = scratch(spark, "t")
+    monkeypatch.setattr(bm25, "BLOCK_DOCS", 150)
+    monkeypatch.setattr(bm25, "LEAST_QUERIES", 16)
+    monkeypatch.setattr(bm25, "SCORED_QUERIES", 5)
+    monkeypatch.setattr(bm25, "SCORED_POSTINGS", 60)
+    monkeypatch.setattr(bm25, "MATRIX_TERMS", 9)
+    bm25.build_index(spark.createDataFrame(docs, "doc_id long, text string").repartition(2), path, shard_postings=2_000)
+    check(bm25.search(path, bm25.self_queries(spark, path, 5), 6).collect(), brute(docs, 6, 5))
