@@ -53,8 +53,8 @@ K1, B = 1.2, 0.75
 BLOCK_DOCS = 8_192
 SHARD_POSTINGS = 4_000_000
 #: Queries for which a task reads its shards once; fewer where that would leave fewer than
-#: LEAST_BLOCKS blocks, but no less than LEAST_QUERIES.
-QUERY_BLOCK, LEAST_BLOCKS, LEAST_QUERIES = 8_192, 4, 512
+#: LEAST_BLOCKS blocks, but no less than LEAST_QUERIES, for which terms are looked up at a time.
+QUERY_BLOCK, LEAST_BLOCKS, LEAST_QUERIES = 4_096, 4, 512
 #: Each group of shards is one task for a block of queries and gives one list of k for a query.
 SHARD_GROUPS = 8
 #: Search tasks at most; each then takes several pairs of shard group and query block.
@@ -160,17 +160,23 @@ class Block:
         if not len(self.vocabulary) or not len(queries.terms):
             return
         at = np.minimum(np.searchsorted(self.vocabulary, queries.distinct), len(self.vocabulary) - 1)
-        number = np.where(self.vocabulary[at] == queries.distinct, at, -1)[queries.number]
+        number = np.where(self.vocabulary[at] == queries.distinct, at, -1)
+        for first in range(0, len(queries), LEAST_QUERIES):
+            self._score(queries, best, first, min(first + LEAST_QUERIES, len(queries)), number)
+
+    def _score(self, queries: Queries, best: Best, first: int, last: int, number: np.ndarray) -> None:
+        now = slice(queries.starts[first], queries.starts[last])
+        query, number, idf = queries.query[now] - first, number[queries.number[now]], queries.idf[now]
         here = number >= 0
-        query, number, idf = queries.query[here], number[here], queries.idf[here]
+        query, number, idf = query[here], number[here], idf[here]
         row = self.row[number]
         sizes = np.where(row < 0, self.df[number], 0)
-        frequent = np.bincount(query[row >= 0], minlength=len(queries))
+        frequent = np.bincount(query[row >= 0], minlength=last - first)
         # sums in 32 bits, of positive parts only
         slack = (frequent + 16) * 2.0**-23
-        for low, high in _cuts(np.bincount(query, sizes, len(queries))):
+        for low, high in _cuts(np.bincount(query, sizes, last - first)):
             a, b = np.searchsorted(query, [low, high])
-            q, is_row = query[a:b] - low, row[a:b] >= 0
+            q, is_row = query[a:b].astype(np.int64) - low, row[a:b] >= 0
             weights = np.zeros((high - low, len(self.matrix)), np.float32)
             weights[q[is_row], row[a:b][is_row]] = idf[a:b][is_row]
             n, size = number[a:b][~is_row], sizes[a:b][~is_row]
@@ -181,7 +187,7 @@ class Block:
             parts *= self.post_impact[post]
             scores = np.bincount(cells, parts, (high - low) * self.n_docs).reshape(high - low, self.n_docs)
             scores += weights @ self.matrix
-            self._keep(queries, best, low, scores, slack[low:high])
+            self._keep(queries, best, first + low, scores, slack[low:high])
 
     def _keep(self, queries: Queries, best: Best, low: int, scores: np.ndarray, slack: np.ndarray) -> None:
         """Evaluate the documents whose rough score allows the k best."""
@@ -207,8 +213,9 @@ class Queries:
 
     def __init__(self, ids: list, ties: list, starts: np.ndarray, terms: np.ndarray, idf: np.ndarray):
         self.ids, self.ties, self.starts, self.terms, self.idf = ids, ties, starts, terms, idf
-        self.query = np.repeat(np.arange(len(ids)), np.diff(starts))
-        self.distinct, self.number = np.unique(terms, return_inverse=True)
+        self.query = np.repeat(np.arange(len(ids), dtype=np.int32), np.diff(starts))
+        self.distinct, number = np.unique(terms, return_inverse=True)
+        self.number = number.astype(np.int32)
 
     def __len__(self) -> int:
         return len(self.ids)
@@ -284,8 +291,8 @@ def _lists(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
 
 def load_blocks(path: str, mean_length: float, k: int) -> Iterator[Block]:
     """The documents of a shard, at most ``BLOCK_DOCS`` at a time. Of equal
-    texts only the ``k`` first by id are held: k equal scores rank before the
-    others for every query."""
+    texts (equal hash and length) only the ``k`` first by id are held: k equal
+    scores rank before the others for every query."""
     table = _read(path, ["doc_id", "tie", "length", "terms", "counts"])
     doc_ids = pc.fill_null(table.column("doc_id"), np.iinfo(np.int64).max).to_numpy()
     tie, lengths = table.column("tie").to_numpy(), table.column("length").to_numpy()
