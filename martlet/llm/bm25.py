@@ -48,30 +48,41 @@ from martlet.llm.common import documents, scratch
 from martlet.llm.warc import file_system
 
 WORD = re.compile(r"[^\W_]+")
+#: Of ASCII characters those of words, lower-cased; the others are blanks.
+ASCII_WORDS = "".join(c.lower() if WORD.fullmatch(c) else " " for c in map(chr, range(128)))
 K1, B = 1.2, 0.75
 #: Documents that are scored together.
 BLOCK_DOCS = 8_192
 SHARD_POSTINGS = 4_000_000
 #: Queries for which a task reads its shards once; fewer where that would leave fewer than
 #: LEAST_BLOCKS blocks, but no less than LEAST_QUERIES, for which terms are looked up at a time.
-QUERY_BLOCK, LEAST_BLOCKS, LEAST_QUERIES = 4_096, 4, 512
-#: Each group of shards is one task for a block of queries and gives one list of k for a query.
-SHARD_GROUPS = 8
+QUERY_BLOCK, LEAST_BLOCKS, LEAST_QUERIES = 16_384, 2, 512
+#: Each group of shards is one task for a block of queries and gives one list of k for a query. There
+#: are this many groups, or fewer if that is enough for TASKS_A_CORE tasks: each group starts without
+#: k-th best scores.
+SHARD_GROUPS, TASKS_A_CORE = 8, 4
 #: Search tasks at most; each then takes several pairs of shard group and query block.
 MAX_TASKS = 20_000
-#: Terms in a larger share of a block's documents are multiplied as a matrix, the rarer ones
-#: added up posting by posting: there a pair of query and document costs less than a cell.
-FREQUENT = 1 / 16
+#: Terms in a larger share of a block's documents can be multiplied as a matrix; they are, for some
+#: queries, if more than a share WORTH of their pairs of query and document have the term.
+FREQUENT, WORTH = 1 / 32, 1 / 150
+#: Otherwise postings are added up: those of terms in more than this share of the documents are joined
+#: as whole lists, the others picked one by one.
+LISTED = 1 / 256
+#: Queries are put in ALIKE groups by their ALIKE_TERMS most frequent terms.
+ALIKE, ALIKE_TERMS = 8, 256
 MATRIX_TERMS, MATRIX_CELLS = 4_096, 16_000_000
-#: Queries, and postings of rarer terms, that are added up at a time.
-SCORED_QUERIES, SCORED_POSTINGS = 64, 2_000_000
+#: Queries that are multiplied, and postings of the rarest terms that are picked, at a time.
+SCORED_QUERIES, SCORED_POSTINGS = 512, 1_000_000
 POSTINGS = "doc_id long, tie long, length int, terms array<bigint>, counts array<int>"
+#: A posting of a term: a document of the block, and what the term adds to its score.
+SCORED = np.dtype([("doc", np.int32), ("score", np.float32)])
 RESULT = "query_id long, query_tie long, doc_id long, score double"
 
 
 def terms_of(text: str) -> tuple[int, np.ndarray, np.ndarray]:
     """Words; sorted hashes of the distinct ones; their counts."""
-    counts = Counter(WORD.findall(text.lower()))
+    counts = Counter(text.translate(ASCII_WORDS).split() if text.isascii() else WORD.findall(text.lower()))
     hashes = np.fromiter((xxhash.xxh64_intdigest(w.encode()) for w in counts), np.uint64, len(counts)).view(np.int64)
     n = np.fromiter(counts.values(), np.int32, len(counts))
     order = np.argsort(hashes, kind="stable")
@@ -95,11 +106,13 @@ def build_index(docs: DataFrame, path: str, shard_postings: int = SHARD_POSTINGS
                 held += len(terms)
                 tie = xxhash.xxh64_intdigest(text.encode("utf-8", "replace"))
                 rows.append((doc_id, tie - (1 << 64) if tie >> 63 else tie, length, terms, counts, shard))
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64()]
-            columns = list(zip(*rows)) or [()] * 6
+            ids, ties, lengths, terms, counts, shards = list(zip(*rows)) or [()] * 6
+            starts = pa.array(np.cumsum([0, *map(len, terms)]), pa.int32())
+            columns = [pa.array(c, k) for c, k in zip((ids, ties, lengths), (pa.int64(), pa.int64(), pa.int32()))]
+            for lists, kind in ((terms, pa.int64()), (counts, pa.int32())):
+                columns.append(pa.ListArray.from_arrays(starts, pa.array(np.concatenate([np.zeros(0, kind.to_pandas_dtype()), *lists]))))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(columns, kinds)],
-                names=["doc_id", "tie", "length", "terms", "counts", "shard"],
+                [*columns, pa.array(shards, pa.int64())], names=["doc_id", "tie", "length", "terms", "counts", "shard"]
             )
 
     documents(docs).mapInArrow(run, f"{POSTINGS}, shard long").write.partitionBy("shard").parquet(path)
@@ -110,120 +123,159 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 class Block:
-    """Some documents of a shard, inverted: frequent terms as rows of a matrix,
-    the others as postings."""
+    """Some documents of a shard, inverted and weighed for a block of queries:
+    frequent terms as rows of a matrix, the others as postings."""
 
     def __init__(self, doc_ids: np.ndarray, lengths: np.ndarray, starts: np.ndarray, terms: np.ndarray,
-                 counts: np.ndarray, mean_length: float):
-        self.doc_ids, self.starts, self.terms, self.counts = doc_ids, starts, terms, counts
+                 counts: np.ndarray, mean_length: float, queries: Queries):
+        self.doc_ids, self.starts, self.counts, self.queries = doc_ids, starts, counts, queries
         self.n_docs = len(lengths)
         self.norm = K1 * (1 - B + B * lengths / max(mean_length, 1e-9))
         order = np.argsort(terms)  # documents of a term in any order
         in_order = terms[order]
         first = np.ones(len(terms), bool)
         first[1:] = in_order[1:] != in_order[:-1]
-        self.vocabulary = in_order[first]
+        vocabulary = in_order[first]
         del in_order
         self.post_start = np.append(np.flatnonzero(first), len(terms))
         self.df = np.diff(self.post_start)
-        self.post_doc = np.repeat(np.arange(self.n_docs), np.diff(starts))[order]
-        self.post_impact = self._impact(counts[order], self.norm[self.post_doc])
-        del order
-        frequent = np.flatnonzero(self.df > max(FREQUENT * self.n_docs, 3))
+        #: for every posting of a document the number of its term
+        self.numbers = np.empty(len(terms), np.int32)
+        self.numbers[order] = np.cumsum(first, dtype=np.int32) - 1
+        #: for every term of the queries its number, or -1
+        self.number = np.full(len(queries.distinct), -1, np.int32)
+        self.idf = np.zeros(len(vocabulary))
+        if len(vocabulary):
+            at = np.minimum(np.searchsorted(vocabulary, queries.distinct), len(vocabulary) - 1)
+            here = vocabulary[at] == queries.distinct
+            self.number[here] = at[here]
+            self.idf[at[here]] = queries.idf[here]
+        docs = np.repeat(np.arange(self.n_docs, dtype=np.int32), np.diff(starts))[order]
+        scores = self._impact(counts[order], self.norm[docs])
+        del order, first
+        scores *= np.repeat(self.idf, self.df)
+        self.postings = np.empty(len(docs), SCORED)
+        self.postings["doc"], self.postings["score"] = docs, scores
+        del docs, scores
+        asked = self.idf > 0
+        frequent = np.flatnonzero(asked & (self.df > max(FREQUENT * self.n_docs, 3)))
         most = min(MATRIX_TERMS, MATRIX_CELLS // max(1, self.n_docs))
         if len(frequent) > most:
             frequent = frequent[np.argsort(-self.df[frequent], kind="stable")[:most]]
-        self.row = np.full(len(self.vocabulary), -1)
+        self.row = np.full(len(vocabulary), -1, np.int32)
         self.row[frequent] = np.arange(len(frequent))
+        self.row_df = self.df[frequent]
         self.matrix = np.zeros((len(frequent), self.n_docs), np.float32)
-        at = _ranges(self.post_start[frequent], self.post_start[frequent + 1])
-        self.matrix[np.repeat(np.arange(len(frequent)), self.df[frequent]), self.post_doc[at]] = self.post_impact[at]
+        now = self.postings[_ranges(self.post_start[frequent], self.post_start[frequent + 1])]
+        self.matrix[np.repeat(np.arange(len(frequent)), self.df[frequent]), now["doc"]] = now["score"]
+        listed = np.flatnonzero(asked & (self.df > max(LISTED * self.n_docs, 3)))
+        self.list = np.full(len(vocabulary), -1, np.int32)
+        self.list[listed] = np.arange(len(listed))
+        ends = zip(self.post_start[listed].tolist(), self.post_start[listed + 1].tolist())
+        self.lists = [self.postings[a:b].tobytes() for a, b in ends]
 
     @staticmethod
     def _impact(counts: np.ndarray, norm: np.ndarray) -> np.ndarray:
-        out = counts * (K1 + 1)
-        norm += counts  # the caller's copy
-        out /= norm
-        return out
-
-    def evaluate(self, docs: np.ndarray, terms: np.ndarray, idf: np.ndarray) -> np.ndarray:
-        """Full scores of documents for a query; every document has a term."""
-        sizes = self.starts[docs + 1] - self.starts[docs]
-        at = _ranges(self.starts[docs], self.starts[docs + 1])
-        found = np.minimum(np.searchsorted(terms, self.terms[at]), len(terms) - 1)
-        weight = np.where(terms[found] == self.terms[at], idf[found], 0.0)
-        parts = weight * self._impact(self.counts[at], np.repeat(self.norm[docs], sizes))
-        return np.add.reduceat(parts, np.cumsum(sizes) - sizes)
-
-    def search(self, queries: Queries, best: Best) -> None:
+        return counts * (K1 + 1) / (counts + norm)
+
+    def evaluate(self, doc: int, asked: np.ndarray, idf: np.ndarray) -> float:
+        """Full score of a document for the terms of a query, as ascending numbers."""
+        a, b = self.starts[doc], self.starts[doc + 1]
+        numbers = self.numbers[a:b]
+        at = numbers.searchsorted(asked)
+        at[at == b - a] = 0
+        here = numbers[at] == asked
+        return float((idf[here] * self._impact(self.counts[a:b][at[here]], self.norm[doc])).sum())
+
+    def search(self, best: Best) -> None:
         """Add to ``best`` the documents that belong there."""
-        if not len(self.vocabulary) or not len(queries.terms):
+        if not len(self.idf) or not len(self.queries.number):
             return
-        at = np.minimum(np.searchsorted(self.vocabulary, queries.distinct), len(self.vocabulary) - 1)
-        number = np.where(self.vocabulary[at] == queries.distinct, at, -1)
-        for first in range(0, len(queries), LEAST_QUERIES):
-            self._score(queries, best, first, min(first + LEAST_QUERIES, len(queries)), number)
-
-    def _score(self, queries: Queries, best: Best, first: int, last: int, number: np.ndarray) -> None:
-        now = slice(queries.starts[first], queries.starts[last])
-        query, number, idf = queries.query[now] - first, number[queries.number[now]], queries.idf[now]
-        here = number >= 0
-        query, number, idf = query[here], number[here], idf[here]
+        for first in range(0, len(self.queries), LEAST_QUERIES):
+            last = min(first + LEAST_QUERIES, len(self.queries))
+            starts = self.queries.starts[first : last + 1]
+            query, number = np.repeat(np.arange(last - first), np.diff(starts)), self.number[self.queries.number[starts[0] : starts[-1]]]
+            query, number = query[number >= 0], number[number >= 0]
+            self._score(best, first, last - first, query, number)
+
+    def _score(self, best: Best, first: int, n_queries: int, query: np.ndarray, number: np.ndarray) -> None:
+        """``query``: for every term the place of its query after ``first``."""
         row = self.row[number]
-        sizes = np.where(row < 0, self.df[number], 0)
-        frequent = np.bincount(query[row >= 0], minlength=last - first)
-        # sums in 32 bits, of positive parts only
-        slack = (frequent + 16) * 2.0**-23
-        for low, high in _cuts(np.bincount(query, sizes, last - first)):
+        pairs = np.bincount(row[row >= 0], minlength=len(self.matrix)) * self.row_df
+        rows = np.flatnonzero(pairs > WORTH * n_queries * self.n_docs)
+        matrix = self.matrix[rows]
+        place = np.full(len(self.matrix) + 1, -1)
+        place[rows] = np.arange(len(rows))
+        row = place[row]  # the last one is none
+        of_list = np.where(row >= 0, -1, self.list[number])
+        is_row, is_list = row >= 0, of_list >= 0
+        is_picked = ~(is_row | is_list)
+        sizes = np.where(is_picked, self.df[number], 0)
+        # sums of positive parts that are held in 32 bits
+        slack = (np.bincount(query[is_row], minlength=n_queries) + 16) * 2.0**-23
+        for low, high in _cuts(np.bincount(query, sizes, n_queries)):
             a, b = np.searchsorted(query, [low, high])
-            q, is_row = query[a:b].astype(np.int64) - low, row[a:b] >= 0
-            weights = np.zeros((high - low, len(self.matrix)), np.float32)
-            weights[q[is_row], row[a:b][is_row]] = idf[a:b][is_row]
-            n, size = number[a:b][~is_row], sizes[a:b][~is_row]
-            post = _ranges(self.post_start[n], self.post_start[n + 1])
-            cells = np.repeat(q[~is_row] * self.n_docs, size)
-            cells += self.post_doc[post]
-            parts = np.repeat(idf[a:b][~is_row], size)
-            parts *= self.post_impact[post]
-            scores = np.bincount(cells, parts, (high - low) * self.n_docs).reshape(high - low, self.n_docs)
-            scores += weights @ self.matrix
-            self._keep(queries, best, first + low, scores, slack[low:high])
-
-    def _keep(self, queries: Queries, best: Best, low: int, scores: np.ndarray, slack: np.ndarray) -> None:
+            q, in_row, in_list, picks = query[a:b] - low, is_row[a:b], is_list[a:b], number[a:b][is_picked[a:b]]
+            weights = np.zeros((high - low, len(rows)), np.float32)
+            weights[q[in_row], row[a:b][in_row]] = 1
+            scores = weights @ matrix
+            lists = of_list[a:b][in_list].tolist()
+            list_ends = np.searchsorted(q[in_list], np.arange(high - low), "right").tolist()
+            picked = self.postings[_ranges(self.post_start[picks], self.post_start[picks + 1])]
+            ends = np.cumsum(np.bincount(q, sizes[a:b], high - low)).astype(np.int64).tolist()
+            list_at = at = 0
+            for i, (list_end, end) in enumerate(zip(list_ends, ends)):
+                if list_at < list_end or at < end:
+                    parts = [self.lists[j] for j in lists[list_at:list_end]]
+                    parts.append(picked[at:end].tobytes())
+                    now = np.frombuffer(b"".join(parts), SCORED)
+                    sums = np.bincount(now["doc"].astype(np.intp), now["score"].astype(np.float64), self.n_docs)
+                    scores[i] += sums.astype(np.float32)
+                list_at, at = list_end, end
+            now = np.searchsorted(q, np.arange(high - low + 1)).tolist()
+            self._keep(best, first + low, scores, slack[low:high], number[a:b], now)
+
+    def _keep(self, best: Best, low: int, scores: np.ndarray, slack: np.ndarray, number: np.ndarray, starts: list[int]) -> None:
         """Evaluate the documents whose rough score allows the k best."""
-        least = np.maximum(best.least(low, low + len(scores)) * (1 - 2 * slack), np.nextafter(0, 1))
-        q, docs = np.nonzero(scores >= least[:, None])
-        ends = np.cumsum(np.bincount(q, minlength=len(scores))).tolist()
-        a, found = 0, []
-        for i, b in enumerate(ends):
-            if a < b:
-                now = docs[a:b]
-                if b - a > best.k:
-                    rough = scores[i, now]
-                    now = now[rough >= np.partition(rough, -best.k)[-best.k] * (1 - 4 * slack[i])]
-                found.append((low + i, now, self.evaluate(now, *queries.of(low + i))))
-            a = b
-        if found:
-            which = np.repeat([i for i, _, _ in found], [len(now) for _, now, _ in found])
-            best.add(which, self.doc_ids[np.concatenate([now for _, now, _ in found])], np.concatenate([s for *_, s in found]))
+        least = best.least(low, low + len(scores)) * (1 - 2 * slack)
+        least = np.maximum(least, np.finfo(np.float32).tiny).astype(np.float32)
+        idf, query, docs, full = self.idf[number], [], [], []
+        for i in np.flatnonzero(scores.max(axis=1) >= least).tolist():
+            now = np.flatnonzero(scores[i] >= least[i])
+            if len(now) > best.k:
+                rough = scores[i, now]
+                now = now[rough >= np.partition(rough, -best.k)[-best.k] * (1 - 4 * slack[i])]
+            now, terms = now.tolist(), slice(starts[i], starts[i + 1])
+            query += [low + i] * len(now)
+            docs += now
+            full += [self.evaluate(doc, number[terms], idf[terms]) for doc in now]
+        if docs:
+            best.add(np.array(query), self.doc_ids[docs], np.array(full))
 
 
 class Queries:
-    """A block of queries: ids, and their terms one query after the other."""
+    """A block of queries: ids, the distinct terms with their idf, and the
+    numbers of the terms, one query after the other."""
 
     def __init__(self, ids: list, ties: list, starts: np.ndarray, terms: np.ndarray, idf: np.ndarray):
-        self.ids, self.ties, self.starts, self.terms, self.idf = ids, ties, starts, terms, idf
-        self.query = np.repeat(np.arange(len(ids), dtype=np.int32), np.diff(starts))
-        self.distinct, number = np.unique(terms, return_inverse=True)
-        self.number = number.astype(np.int32)
+        order = np.argsort(terms)
+        in_order = terms[order]
+        first = np.ones(len(terms), bool)
+        first[1:] = in_order[1:] != in_order[:-1]
+        self.distinct = in_order[first]
+        number = np.empty(len(terms), np.int32)
+        number[order] = np.cumsum(first, dtype=np.int32) - 1
+        del in_order, order, first
+        self.idf = np.zeros(len(self.distinct))
+        self.idf[number] = idf  # one for a term, whatever the query
+        order = _alike(starts, number, len(self.distinct))
+        self.ids, self.ties = [ids[i] for i in order], [ties[i] for i in order]
+        self.number = number[_ranges(starts[order], starts[order + 1])]
+        self.starts = np.append(0, np.cumsum(starts[order + 1] - starts[order]))
 
     def __len__(self) -> int:
         return len(self.ids)
 
-    def of(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        a, b = self.starts[i], self.starts[i + 1]
-        return self.terms[a:b], self.idf[a:b]
-
 
 class Best:
     """The k best documents so far of every query of a block."""
@@ -237,7 +289,7 @@ class Best:
         return self.scores[low:high, -1]
 
     def add(self, query: np.ndarray, docs: np.ndarray, scores: np.ndarray) -> None:
-        """``query`` ascending; ranks by score, then document."""
+        """Ranks by score, then document."""
         rows, row = np.unique(query, return_inverse=True)
         row = np.concatenate((np.repeat(np.arange(len(rows)), self.k), row))
         docs, scores = np.concatenate((self.docs[rows].ravel(), docs)), np.concatenate((self.scores[rows].ravel(), scores))
@@ -248,6 +300,29 @@ class Best:
         self.docs[rows[row], rank], self.scores[rows[row], rank] = docs[order], scores[order]
 
 
+def _alike(starts: np.ndarray, number: np.ndarray, n_terms: int) -> np.ndarray:
+    """An order of the queries that puts those with the same frequent terms
+    together, as those of one language: scored together, they need fewer rows."""
+    n = len(starts) - 1
+    df = np.bincount(number, minlength=n_terms)
+    frequent = np.argsort(-df, kind="stable")[:ALIKE_TERMS]
+    place = np.full(n_terms, -1)
+    place[frequent] = np.arange(len(frequent))
+    at = place[number]
+    query = np.repeat(np.arange(n), np.diff(starts))[at >= 0]
+    has = np.zeros((n, len(frequent)), np.float32)
+    has[query, at[at >= 0]] = 1
+    has -= has.mean(axis=0) if n else 0
+    has /= np.maximum(np.sqrt((has * has).sum(axis=1, keepdims=True)), 1e-9)
+    centres = has[:1]
+    for _ in range(ALIKE - 1):  # each is the query that is least like those before
+        centres = np.vstack((centres, has[np.argmin((has @ centres.T).max(axis=1))][None])) if n else centres
+    for _ in range(5):
+        of = np.argmax(has @ centres.T, axis=1) if n else np.zeros(0, int)
+        centres = np.vstack([has[of == c].mean(axis=0) if (of == c).any() else centres[c] for c in range(len(centres))] or [centres])
+    return np.argsort(of, kind="stable")
+
+
 def _cuts(postings: np.ndarray) -> Iterator[tuple[int, int]]:
     """Ranges of queries that are scored together."""
     low, held = 0, 0.0
@@ -289,7 +364,7 @@ def _lists(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(values) if values else np.zeros(0, np.int64), starts
 
 
-def load_blocks(path: str, mean_length: float, k: int) -> Iterator[Block]:
+def load_blocks(path: str, mean_length: float, k: int, queries: Queries) -> Iterator[Block]:
     """The documents of a shard, at most ``BLOCK_DOCS`` at a time. Of equal
     texts (equal hash and length) only the ``k`` first by id are held: k equal
     scores rank before the others for every query."""
@@ -308,7 +383,7 @@ def load_blocks(path: str, mean_length: float, k: int) -> Iterator[Block]:
         now = held[at : at + BLOCK_DOCS]
         post = _ranges(starts[now], starts[now + 1])
         begin = np.append(0, np.cumsum(starts[now + 1] - starts[now]))
-        yield Block(doc_ids[now], lengths[now].astype(float), begin, terms[post], counts[post], mean_length)
+        yield Block(doc_ids[now], lengths[now].astype(float), begin, terms[post], counts[post], mean_length, queries)
 
 
 @lru_cache(maxsize=1)
@@ -347,7 +422,9 @@ def group_best(index_path: str, queries: DataFrame, k: int) -> DataFrame:
     blocks = spark.read.schema("query_id long, block long").parquet(query_path).select("block").distinct()
     blocks = sorted(r.block for r in blocks.collect())  # one number for each block of queries
     shards = sorted(r.shard for r in postings.select("shard").distinct().collect())  # and for each shard
-    groups = [shards[g::SHARD_GROUPS] for g in range(min(SHARD_GROUPS, len(shards)))]
+    n_groups = -(-TASKS_A_CORE * spark.sparkContext.defaultParallelism // max(1, len(blocks)))
+    n_groups = max(1, min(n_groups, SHARD_GROUPS, len(shards)))
+    groups = [shards[g::n_groups] for g in range(n_groups if shards else 0)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, kinds = [f.split()[0] for f in RESULT.split(", ")], [pa.int64(), pa.int64(), pa.int64(), pa.float64()]
@@ -356,8 +433,8 @@ def group_best(index_path: str, queries: DataFrame, k: int) -> DataFrame:
                 here = load_queries(f"{query_path}/block={blocks[task // len(groups)]}")
                 best = Best(len(here), k)
                 for shard in groups[task % len(groups)]:
-                    for docs in load_blocks(f"{index_path}/shard={shard}", mean_length, k):
-                        docs.search(here, best)
+                    for docs in load_blocks(f"{index_path}/shard={shard}", mean_length, k, here):
+                        docs.search(best)
                 query, rank = np.nonzero(best.scores)
                 at = pa.array(query)
                 columns = [pa.array(ids, pa.int64()).take(at) for ids in (here.ids, here.ties)]

@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from martlet.llm import bm25
@@ -101,3 +102,45 @@ def test_matrix_postings_and_copies(spark, monkeypatch):
     monkeypatch.setattr(bm25, "MATRIX_TERMS", 9)
     bm25.build_index(spark.createDataFrame(docs, "doc_id long, text string").repartition(2), path, shard_postings=2_000)
     check(bm25.search(path, bm25.self_queries(spark, path, 5), 6).collect(), brute(docs, 6, 5))
+
+
+def test_queries_of_one_language_are_scored_together():
+    """They share frequent terms, so a product needs only the rows of these."""
+    rng = random.Random(7)
+    terms, starts = [], [0]
+    for i in range(60):
+        own = [1_000 * (i % 3) + t for t in rng.sample(range(20), 12)]
+        terms += sorted(own + [9_000 + t for t in rng.sample(range(50), 3)])
+        starts.append(len(terms))
+    queries = bm25.Queries(list(range(60)), [0] * 60, np.array(starts), np.array(terms), np.array(terms) / 10_000)
+    assert sorted(queries.ids) == list(range(60))
+    assert sum(a % 3 != b % 3 for a, b in zip(queries.ids, queries.ids[1:])) < bm25.ALIKE
+    for at, i in enumerate(queries.ids):
+        numbers = queries.number[queries.starts[at] : queries.starts[at + 1]]
+        assert queries.distinct[numbers].tolist() == terms[starts[i] : starts[i + 1]]
+        assert (queries.idf[numbers] * 10_000).round().tolist() == terms[starts[i] : starts[i + 1]]
+
+
+def test_rows_and_lists_are_chosen_for_each_batch(spark, monkeypatch):
+    """Two languages, frequent terms that few queries have, and scores that tie."""
+    rng = random.Random(8)
+    words = [[f"{lang}{i}" for i in range(40)] for lang in "xy"] + [[f"ñ{i}" for i in range(40)]]
+    docs = [(i, " ".join(rng.sample(words[i % 3], 15) + [f"m{i % 11}", f"R{i % 37}"])) for i in range(600)]
+    docs += [(600 + i, " ".join([*words[0][:10], f"u{i}", f"v{i}"])) for i in range(40)]
+    monkeypatch.setattr(bm25, "BLOCK_DOCS", 200)
+    monkeypatch.setattr(bm25, "LEAST_QUERIES", 16)
+    for worth in (0.0, 0.05, 2.0):
+        monkeypatch.setattr(bm25, "WORTH", worth)
+        path = scratch(spark, "t")
+        bm25.build_index(spark.createDataFrame(docs, "doc_id long, text string").repartition(2), path, shard_postings=4_000)
+        check(bm25.search(path, bm25.self_queries(spark, path, 5), 6).collect(), brute(docs, 6, 5))
+
+
+def test_words_of_ascii_texts():
+    rng = random.Random(9)
+    for _ in range(300):
+        text = "".join(chr(rng.randrange(128)) for _ in range(60))
+        length, terms, counts = bm25.terms_of(text)
+        wide = bm25.terms_of(text + " é")
+        assert length == len(re.findall(r"[^\W_]+", text.lower())) == wide[0] - 1
+        assert set(zip(terms.tolist(), counts.tolist())) < set(zip(wide[1].tolist(), wide[2].tolist()))
