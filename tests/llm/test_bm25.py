@@ -144,3 +144,11 @@ def test_words_of_ascii_texts():
         wide = bm25.terms_of(text + " é")
         assert length == len(re.findall(r"[^\W_]+", text.lower())) == wide[0] - 1
         assert set(zip(terms.tolist(), counts.tolist())) < set(zip(wide[1].tolist(), wide[2].tolist()))
+
+
+def test_order_of_terms():
+    rng = np.random.default_rng(10)
+    for terms in (rng.integers(-(2**63), 2**63 - 1, 5_000), rng.integers(-9, 9, 5_000), np.zeros(0, np.int64)):
+        order, in_order = bm25._order(terms)
+        assert (terms[order] == in_order).all() and (in_order == np.sort(terms)).all()
+        assert sorted(order) == list(range(len(terms)))
